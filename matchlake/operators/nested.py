@@ -67,9 +67,10 @@ def flatten_shallow(df: DataFrame, col: str, keep: Iterable[str] = ()) -> DataFr
 
 
 def _keep_cols(keep) -> list[Column]:
+    """Parent columns to carry; strings are column paths (``"s.player_puuid"``)."""
     if isinstance(keep, Mapping):
-        return [(F.col(q(src)) if isinstance(src, str) else src).alias(dst) for dst, src in keep.items()]
-    return [F.col(q(k)) if isinstance(k, str) else k for k in keep]
+        return [(F.col(src) if isinstance(src, str) else src).alias(dst) for dst, src in keep.items()]
+    return [F.col(k) if isinstance(k, str) else k for k in keep]
 
 
 def explode_child(df: DataFrame, array_col: str | Column, keep=(), alias: str = "child",

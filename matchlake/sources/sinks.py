@@ -58,14 +58,16 @@ def snapshot(ids: DataFrame, run_time: str, id_col: str = "matchid") -> DataFram
     return ids.select(parse_ts(F.lit(run_time)).alias("datetime"), F.col(id_col).alias("matchid"))
 
 
-def error_log(responses: DataFrame, run_time: str, ok_status: int = 200) -> DataFrame:
+def error_log(responses: DataFrame, run_time, ok_status: int = 200) -> DataFrame:
     """Rows for failed calls: ``id, datetime, name, tag, endpoint, status``.
 
     ``id`` is the MD5 of run time + name + tag; ``run_time`` is local
-    text in ``yyyy-MM-dd'T'HH:mm:ss``.
+    text in ``yyyy-MM-dd'T'HH:mm:ss``, one string for the whole run or a
+    column holding each call's own time.
     """
+    rt = F.lit(run_time) if isinstance(run_time, str) else run_time
     failed = responses.filter(F.col("status") != ok_status)
     return failed.select(
-        md5_key(F.lit(run_time), "name", "tag").alias("id"),
-        parse_ts(F.lit(run_time), ISO_SECONDS).alias("datetime"),
+        md5_key(rt, "name", "tag").alias("id"),
+        parse_ts(rt, ISO_SECONDS).alias("datetime"),
         "name", "tag", "endpoint", F.col("status").cast("int").alias("status"))

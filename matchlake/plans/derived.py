@@ -63,11 +63,13 @@ def order_lines(T: Tables) -> DataFrame:
         F.count_if(F.col("l_linestatus") == "O").alias("o_lines"))
 
 
-def line_players(T: Tables) -> DataFrame:
-    """One aggregate per (order, supplier) feeding all per-player tables."""
+def line_players(T: Tables, lines: DataFrame | None = None, by=()) -> DataFrame:
+    """One aggregate per (order, supplier) feeding all per-player tables
+    (``by`` adds grouping columns, e.g. a document chunk)."""
     def flag_qty(flag):
         return F.sum(F.when(F.col("l_returnflag") == flag, qty()).otherwise(0))
-    return T.lineitem.groupBy(F.col("l_orderkey").alias("matchid"), F.col("l_suppkey").alias("puuid")).agg(
+    src = T.lineitem if lines is None else lines
+    return src.groupBy(F.col("l_orderkey").alias("matchid"), *by, F.col("l_suppkey").alias("puuid")).agg(
         F.when(F.min("l_linestatus") == "F", "Red").otherwise("Blue").alias("team"),
         F.count(F.lit(1)).alias("level"),
         F.sum(qty()).alias("damage_made"),

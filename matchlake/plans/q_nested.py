@@ -166,3 +166,43 @@ def assets_callouts(spark, d):
 
 
 __all__ = ["CALLOUT_CHUNK"]
+
+
+_STAR_COUNTS = """
+WITH o AS (SELECT COUNT(*) AS n FROM orders),
+     p AS (SELECT COUNT(*) AS n FROM (SELECT DISTINCT l_orderkey, l_suppkey FROM lineitem)),
+     l AS (SELECT COUNT(*) AS n, COUNT_IF(l_returnflag = 'R') AS r, COUNT_IF(l_returnflag = 'A') AS a,
+                  COUNT_IF(l_linestatus = 'O') AS o, COUNT_IF(l_quantity >= 10) AS dmg FROM lineitem),
+     c AS (
+       SELECT 'metadata' AS table_name, (SELECT n FROM o) AS n
+       UNION ALL SELECT 'teams', (SELECT n FROM o)
+       UNION ALL SELECT unnest(['player', 'player_ability_casts', 'player_assets', 'player_behavior',
+                                'player_economy', 'player_platform', 'player_session_playtime',
+                                'player_stats']), (SELECT n FROM p)
+       UNION ALL SELECT unnest(['round', 'round_plant_events', 'round_defuse_events', 'round_player_stats',
+                                'kills', 'player_locations_on_kill']), (SELECT n FROM l)
+       UNION ALL SELECT 'player_locations_on_plant', (SELECT r FROM l)
+       UNION ALL SELECT 'player_locations_on_defuse', (SELECT a FROM l)
+       UNION ALL SELECT 'assistants', (SELECT o FROM l)
+       UNION ALL SELECT 'round_player_damage_events', (SELECT dmg FROM l))
+SELECT table_name, CAST(n AS BIGINT) AS n_rows, CAST(n AS BIGINT) AS n_keys FROM c"""
+
+
+@register("star_from_documents", _STAR_COUNTS)
+def star_from_documents(spark, d):
+    """Match documents (one per order) loaded into the 20-table star by the
+    incremental loader, then per table: rows and distinct key values."""
+    from functools import reduce
+
+    from ..operators import count_distinct
+    from .documents import match_docs
+    from .load import load_documents, read_star
+    from .star import TABLE_KEYS
+
+    warehouse = scratch_path(spark, "warehouse")
+    load_documents(spark, match_docs(Tables(spark, d)), warehouse)
+    star = read_star(spark, warehouse)
+    parts = [df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_rows"),
+                    count_distinct(*TABLE_KEYS[name]).alias("n_keys"))
+             for name, df in star.items()]
+    return reduce(lambda a, b: a.unionByName(b), parts)

@@ -1,0 +1,75 @@
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from matchlake.operators import (cond_count_distinct, count_distinct, first_per_group, flag_first,
+                                 full_group_flag, only_new, roster_filter, union_by_name)
+
+from conftest import rows
+
+DATA = [("g1", 3, "a"), ("g1", None, "b"), ("g1", 3, "c"), ("g2", 1, "d"), ("g2", 5, "e"), ("g3", None, "f")]
+SCHEMA = "g string, v int, id string"
+
+
+def test_first_per_group_nulls_first_ascending(spark):
+    df = spark.createDataFrame(DATA, SCHEMA)
+    out = first_per_group(df, ["g"], ["v", "id"])
+    assert rows(out) == [("g1", None, "b"), ("g2", 1, "d"), ("g3", None, "f")]
+
+
+def test_first_per_group_desc_nulls_last_with_tie_break(spark):
+    df = spark.createDataFrame(DATA, SCHEMA)
+    out = first_per_group(df, ["g"], [("v", "desc"), ("id", "desc")])
+    assert rows(out) == [("g1", 3, "c"), ("g2", 5, "e"), ("g3", None, "f")]
+
+
+def test_first_per_group_plans_partial_group_limit(spark):
+    df = spark.createDataFrame(DATA, SCHEMA)
+    plan = first_per_group(df, ["g"], ["v", "id"])._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
+
+
+def test_flag_first_equals_window_row_number(spark):
+    df = spark.createDataFrame(DATA, SCHEMA)
+    got = flag_first(df, ["g"], [("v", "desc"), "id"], ["id"], "first")
+    w = Window.partitionBy("g").orderBy(F.col("v").desc_nulls_last(), F.col("id").asc_nulls_first())
+    want = df.withColumn("first", F.row_number().over(w) == 1)
+    assert rows(got) == rows(want)
+
+
+def test_count_distinct_family(spark):
+    df = spark.createDataFrame([("m1", 0, True), ("m1", 0, True), ("m1", 1, False), ("m2", None, True),
+                                ("m2", 1, None)], "m string, r int, fb boolean")
+    out = df.agg(count_distinct("m", "r").alias("n"),
+                 cond_count_distinct(F.col("fb"), "m", "r").alias("t"),
+                 cond_count_distinct(~F.col("fb"), "m", "r").alias("f")).first()
+    assert (out.n, out.t, out.f) == (3, 1, 1)
+
+
+def test_full_group_flag(spark):
+    df = spark.createDataFrame([("m1", "a"), ("m1", "b"), ("m1", "b"), ("m2", "a"), ("m2", None)], "m string, p string")
+    assert rows(full_group_flag(df, ["m"], "p", 2, "full")) == [("m1", True), ("m2", False)]
+
+
+def test_roster_filter_list_and_frame(spark):
+    df = spark.createDataFrame([(1,), (2,), (3,), (None,)], "k int")
+    assert rows(roster_filter(df, "k", [1, 3])) == [(1,), (3,)]
+    roster = spark.createDataFrame([(2,), (2,), (None,)], "x int")
+    assert rows(roster_filter(df, "k", roster)) == [(2,)]
+
+
+def test_only_new(spark):
+    df = spark.createDataFrame([("a",), ("b",), ("c",)], "id string")
+    done = spark.createDataFrame([("b",), ("z",)], "matchid string")
+    assert rows(only_new(df, done, "id", "matchid")) == [("a",), ("c",)]
+
+
+def test_union_by_name_fills_missing(spark):
+    a = spark.createDataFrame([(1, "x")], "k int, n string")
+    b = spark.createDataFrame([(2, 5)], "k int, extra int")
+    assert rows(union_by_name(a, b), "k", "n", "extra") == [(1, "x", None), (2, None, 5)]
+
+
+def test_three_valued_comparison_keeps_null_group(spark):
+    df = spark.createDataFrame([("Red", "Red"), ("Red", "Blue"), (None, "Red")], "team string, winner string")
+    out = df.groupBy((F.col("team") == F.col("winner")).alias("won")).count()
+    assert rows(out) == [(False, 1), (None, 1), (True, 1)]

@@ -100,7 +100,7 @@ def roster_filter(df: DataFrame, col: str, roster) -> DataFrame:
     broadcast only when the roster's measured size is under the threshold.
     """
     if isinstance(roster, DataFrame):
-        r = roster.select(F.col(roster.columns[0]).alias("_roster_key")).distinct()
+        r = roster.select(F.col(roster.columns[0]).alias("_roster_key"))
         return df.join(r, F.col(q(col)) == F.col("_roster_key"), "left_semi")
     return df.filter(F.col(q(col)).isin(list(roster)))
 

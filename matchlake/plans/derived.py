@@ -70,12 +70,15 @@ def line_players(T: Tables, lines: DataFrame | None = None, by=()) -> DataFrame:
         return F.sum(F.when(F.col("l_returnflag") == flag, qty()).otherwise(0))
     src = T.lineitem if lines is None else lines
     return src.groupBy(F.col("l_orderkey").alias("matchid"), *by, F.col("l_suppkey").alias("puuid")).agg(
-        F.when(F.min("l_linestatus") == "F", "Red").otherwise("Blue").alias("team"),
+        # count_if tests instead of min(string): string buffers would turn
+        # the whole aggregate into a sort-based one.
+        F.when(F.count_if(F.col("l_linestatus") == "F") > 0, "Red").otherwise("Blue").alias("team"),
         F.count(F.lit(1)).alias("level"),
         F.sum(qty()).alias("damage_made"),
         F.sum(F.col("l_linenumber").cast("bigint")).alias("damage_received"),
         F.min("l_linenumber").cast("bigint").alias("currenttier"),
-        F.min("l_returnflag").alias("character"),
+        F.when(F.count_if(F.col("l_returnflag") == "R") > 0, "Raze")
+         .when(F.count_if(F.col("l_returnflag") == "A") > 0, "Astra").otherwise("Neon").alias("character"),
         F.sum(qty()).alias("score"),
         flag_qty("A").alias("headshots"), flag_qty("N").alias("bodyshots"), flag_qty("R").alias("legshots"),
         F.max("l_discount").alias("max_discount"), F.min("l_tax").alias("min_tax"),
@@ -137,12 +140,13 @@ order_lines AS (
   FROM lineitem GROUP BY l_orderkey),
 line_players AS (
   SELECT l_orderkey AS matchid, l_suppkey AS puuid,
-         CASE WHEN MIN(l_linestatus) = 'F' THEN 'Red' ELSE 'Blue' END AS team,
+         CASE WHEN COUNT_IF(l_linestatus = 'F') > 0 THEN 'Red' ELSE 'Blue' END AS team,
          COUNT(*) AS level,
          CAST(SUM(CAST(l_quantity AS BIGINT)) AS BIGINT) AS damage_made,
          CAST(SUM(CAST(l_linenumber AS BIGINT)) AS BIGINT) AS damage_received,
          CAST(MIN(l_linenumber) AS BIGINT) AS currenttier,
-         MIN(l_returnflag) AS "character",
+         CASE WHEN COUNT_IF(l_returnflag = 'R') > 0 THEN 'Raze'
+              WHEN COUNT_IF(l_returnflag = 'A') > 0 THEN 'Astra' ELSE 'Neon' END AS "character",
          CAST(SUM(CAST(l_quantity AS BIGINT)) AS BIGINT) AS score,
          CAST(SUM(CASE WHEN l_returnflag = 'A' THEN CAST(l_quantity AS BIGINT) ELSE 0 END) AS BIGINT) AS headshots,
          CAST(SUM(CASE WHEN l_returnflag = 'N' THEN CAST(l_quantity AS BIGINT) ELSE 0 END) AS BIGINT) AS bodyshots,

@@ -200,7 +200,7 @@ def star_from_documents(spark, d):
     from .star import TABLE_KEYS
 
     warehouse = scratch_path(spark, "warehouse")
-    load_documents(spark, match_docs(Tables(spark, d)), warehouse)
+    load_documents(spark, match_docs(Tables(spark, d)), warehouse, dedupe=False)  # one per order
     star = read_star(spark, warehouse)
     parts = [df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_rows"),
                     count_distinct(*TABLE_KEYS[name]).alias("n_keys"))

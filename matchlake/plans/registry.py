@@ -34,8 +34,11 @@ class Tables:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self._cache: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return read_table(self.spark, self.sf_dir, name)
+        if name not in self._cache:  # one file listing / footer read per table
+            self._cache[name] = read_table(self.spark, self.sf_dir, name)
+        return self._cache[name]

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.time import ts_to_epoch
+from ..session import materialize
 from .registry import Tables
 
 # Fixed values of the bindings.
@@ -89,9 +90,13 @@ def line_players(T: Tables, lines: DataFrame | None = None, by=()) -> DataFrame:
 
 
 def order_star(T: Tables) -> dict[str, DataFrame]:
-    lp = line_players(T)
+    """The order star.  The per-(order, supplier) aggregate and the per-order
+    counts are stored once (as a load would store the star's tables); the
+    per-player tables are projections of the stored aggregate, so joining
+    them back does not recompute it."""
+    lp = materialize(line_players(T), "line_players")
     keys = ["matchid", "puuid"]
-    ol = order_lines(T)
+    ol = materialize(order_lines(T), "order_lines")
     o = T.orders.select(F.col("o_orderkey").alias("matchid"), "o_orderpriority", "o_orderdate", "o_orderstatus")
     metadata = o.join(ol, "matchid", "left").select(
         "matchid", F.col("o_orderpriority").alias("map"), ts_to_epoch("o_orderdate").alias("game_start"),

@@ -75,146 +75,155 @@ def maps_docs(T: Tables) -> DataFrame:
                                      F.col("r_name").alias("displayName"), "callouts")).alias("data"))
 
 
-def match_id(order_key: str) -> Column:
+def _ts_epoch_sql(ts: str) -> str:
+    return (f"(CAST(unix_date(to_date({ts})) AS BIGINT) * 86400 + hour({ts}) * 3600 "
+            f"+ minute({ts}) * 60 + second({ts}))")
+
+
+def match_id_sql(order_key: str) -> str:
     """Fixed-width (UUID) match id of an order, as real match ids are.
 
     Fixed width matters: the round key concatenates ``matchid || round``
     without a separator, which is only collision-free for fixed-width ids.
     """
-    from ..functions.keys import concat_key, uuid5
-    return uuid5(concat_key(F.lit("order-"), order_key))
+    from ..functions.keys import uuid5_sql
+    return uuid5_sql(f"concat('order-', CAST({order_key} AS STRING))")
+
+
+def _empty(t: str) -> str:
+    return f"CAST(array() AS array<{t}>)"
+
+
+# Written as one SQL statement over DataFrame parameters: the nested
+# construction is parsed once on the JVM side instead of being assembled
+# from thousands of Column calls.
+_MATCH_DOCS_SQL = """
+WITH lines AS (
+  SELECT l.*, CAST(FLOOR(l.l_linenumber / {line_chunk}) AS BIGINT) AS line_chunk, s.s_name, s.s_nationkey,
+         CAST(l.l_suppkey AS STRING) AS sid,
+         named_struct('x', l.l_partkey, 'y', l.l_suppkey) AS loc,
+         CASE WHEN l.l_linestatus = 'F' THEN 'Red' ELSE 'Blue' END AS side
+  FROM {lineitem} l LEFT JOIN {supplier} s ON l.l_suppkey = s.s_suppkey),
+per_slice AS (
+  SELECT l_orderkey, line_chunk, array_sort(collect_list(named_struct(
+    'sort_line', l_linenumber, 'sort_part', l_partkey, 'sort_supp', l_suppkey, 'sort_ship', l_shipdate,
+    'winning_team', side, 'end_type', l_returnflag,
+    'plant_events', named_struct(
+      'plant_time_in_round', CASE WHEN l_returnflag = 'R' THEN CAST(l_linenumber * 1000 AS BIGINT) END,
+      'plant_location', CASE WHEN l_returnflag = 'R' THEN loc END,
+      'planted_by', CASE WHEN l_returnflag = 'R' THEN named_struct('puuid', sid) END,
+      'player_locations_on_plant', CASE WHEN l_returnflag = 'R'
+                                        THEN array(named_struct('player_puuid', sid, 'location', loc)) END),
+    'defuse_events', named_struct(
+      'defuse_time_in_round', CASE WHEN l_returnflag = 'A' THEN CAST(l_linenumber * 2000 AS BIGINT) END,
+      'defuse_location', CASE WHEN l_returnflag = 'A' THEN loc END,
+      'defused_by', CASE WHEN l_returnflag = 'A' THEN named_struct('puuid', sid) END,
+      'player_locations_on_defuse', CASE WHEN l_returnflag = 'A'
+                                         THEN array(named_struct('player_puuid', sid, 'location', loc)) END),
+    'player_stats', array(named_struct(
+      'player_puuid', sid, 'player_display_name', s_name,
+      'headshots', CASE WHEN l_linestatus = 'F' THEN CAST(l_quantity AS BIGINT) ELSE 0L END,
+      'bodyshots', CASE WHEN l_linestatus = 'O' THEN CAST(l_quantity AS BIGINT) ELSE 0L END,
+      'legshots', CAST(l_linenumber AS BIGINT),
+      'economy', named_struct('weapon', named_struct('name', l_returnflag)),
+      'ability_casts', named_struct('c_casts', 1L, 'e_cast', CAST(NULL AS BIGINT),
+                                    'q_casts', CAST(l_linenumber AS BIGINT), 'x_cast', 0L),
+      'damage_events', CASE WHEN l_quantity >= 10
+                            THEN array(named_struct('receiver_puuid', CAST(l_partkey AS STRING),
+                                                    'damage', CAST(l_quantity AS BIGINT)))
+                            ELSE {empty_damage} END,
+      'kill_events', {empty_kill_events})),
+    'kill', named_struct(
+      'kill_time_in_round', CAST(l_linenumber * 100 AS BIGINT), 'killer_puuid', sid,
+      'killer_display_name', s_name, 'killer_team', side,
+      'victim_puuid', CAST(l_partkey AS STRING), 'victim_display_name', concat('Part#', CAST(l_partkey AS STRING)),
+      'assistants', CASE WHEN l_linestatus = 'O' THEN array(named_struct('assistant_puuid', sid))
+                         ELSE {empty_assistants} END,
+      'player_locations_on_kill', array(named_struct('player_puuid', sid,
+                                                     'location', named_struct('x', 0L, 'y', 0L))))
+  ))) AS lines
+  FROM lines GROUP BY l_orderkey, line_chunk),
+slices AS (
+  SELECT l_orderkey, line_chunk,
+    transform(lines, x -> named_struct('winning_team', x.winning_team, 'end_type', x.end_type,
+                                       'plant_events', x.plant_events, 'defuse_events', x.defuse_events,
+                                       'player_stats', x.player_stats)) AS rounds,
+    transform(lines, (x, i) -> named_struct('round', CAST(i AS BIGINT),
+      'kill_time_in_round', x.kill.kill_time_in_round, 'killer_puuid', x.kill.killer_puuid,
+      'killer_display_name', x.kill.killer_display_name, 'killer_team', x.kill.killer_team,
+      'victim_puuid', x.kill.victim_puuid, 'victim_display_name', x.kill.victim_display_name,
+      'assistants', x.kill.assistants, 'player_locations_on_kill', x.kill.player_locations_on_kill)) AS kills
+  FROM per_slice),
+player_rows AS (
+  SELECT l_orderkey, line_chunk, l_suppkey, s_name, s_nationkey,
+    CASE WHEN count_if(l_linestatus = 'F') > 0 THEN 'Red' ELSE 'Blue' END AS team,
+    count(1) AS level, sum(CAST(l_quantity AS BIGINT)) AS damage_made,
+    sum(CAST(l_linenumber AS BIGINT)) AS damage_received, CAST(min(l_linenumber) AS BIGINT) AS currenttier,
+    CASE WHEN count_if(l_returnflag = 'R') > 0 THEN 'Raze'
+         WHEN count_if(l_returnflag = 'A') > 0 THEN 'Astra' ELSE 'Neon' END AS character,
+    sum(CASE WHEN l_returnflag = 'A' THEN CAST(l_quantity AS BIGINT) ELSE 0L END) AS headshots,
+    sum(CASE WHEN l_returnflag = 'N' THEN CAST(l_quantity AS BIGINT) ELSE 0L END) AS bodyshots,
+    sum(CASE WHEN l_returnflag = 'R' THEN CAST(l_quantity AS BIGINT) ELSE 0L END) AS legshots,
+    max(l_discount) AS max_discount, min(l_tax) AS min_tax,
+    count_if(l_linestatus = 'O') AS c_cast, CAST(max(l_linenumber) AS BIGINT) AS x_cast,
+    min(l_partkey) AS min_part, max(l_partkey) AS max_part
+  FROM lines GROUP BY l_orderkey, line_chunk, l_suppkey, s_name, s_nationkey),
+players AS (
+  SELECT l_orderkey AS p_order, line_chunk AS p_chunk, array_sort(collect_list(named_struct(
+    'puuid', CAST(l_suppkey AS STRING), 'name', s_name, 'tag', CAST(s_nationkey AS STRING), 'team', team,
+    'level', level, 'currenttier', currenttier, 'character', character, 'damage_made', damage_made,
+    'damage_received', damage_received,
+    'session_playtime', named_struct('milliseconds', damage_received * 1000),
+    'behavior', named_struct('b1', max_discount, 'b2', min_tax, 'b3', CAST(level AS DOUBLE),
+                             'b4', CAST(damage_made AS DOUBLE)),
+    'platform', named_struct('type', 'PC', 'os', named_struct('name', team)),
+    'ability_casts', named_struct('c_cast', c_cast, 'x_cast', x_cast),
+    'assets', named_struct('agent', named_struct('small', concat('P', CAST(min_part AS STRING)),
+                                                 'killfeed', concat('P', CAST(max_part AS STRING)))),
+    'stats', named_struct('score', damage_made, 'bodyshots', bodyshots, 'headshots', headshots,
+                          'legshots', legshots),
+    'economy', named_struct('spent', named_struct('overall', damage_made))))) AS all_players
+  FROM player_rows GROUP BY l_orderkey, line_chunk),
+order_lines AS (
+  SELECT l_orderkey AS ol_order, count(1) AS n_lines, count_if(l_linestatus = 'F') AS f_lines,
+         count_if(l_linestatus = 'O') AS o_lines
+  FROM {lineitem} GROUP BY l_orderkey)
+SELECT
+  named_struct('matchid', {match_id}, 'map', o.o_orderpriority, 'game_start', {game_start},
+               'rounds_played', CAST(coalesce(ol.n_lines, 0) AS BIGINT)) AS metadata,
+  named_struct('all_players', coalesce(p.all_players, {empty_players})) AS players,
+  named_struct('red', named_struct('has_won', o.o_orderstatus = 'F', 'rounds_won', ol.f_lines,
+                                   'rounds_lost', ol.o_lines),
+               'blue', named_struct('has_won', o.o_orderstatus = 'O', 'rounds_won', ol.o_lines,
+                                    'rounds_lost', ol.f_lines)) AS teams,
+  coalesce(sl.rounds, {empty_rounds}) AS rounds,
+  coalesce(sl.kills, {empty_kills}) AS kills
+FROM {orders} o
+LEFT JOIN order_lines ol ON o.o_orderkey = ol.ol_order
+LEFT JOIN slices sl ON o.o_orderkey = sl.l_orderkey
+LEFT JOIN players p ON sl.l_orderkey = p.p_order AND sl.line_chunk = p.p_chunk
+"""
 
 
 def match_docs(T: Tables) -> DataFrame:
     """Match documents in the reference's shape, one per order.
 
-    metadata <- the order; players <- suppliers of its lines (aggregated
-    per (order, supplier)); rounds and kills <- its lines, in line order.
-    Return flag R lines carry a plant (with one location), A lines a
-    defuse; lines of 10 or more units carry one damage event; O lines one
-    assistant.  Orders without lines have empty players / rounds / kills.
+    metadata <- the order (UUID-shaped match id); players <- suppliers of
+    its lines (aggregated per order and supplier); rounds and kills <- its
+    lines, in line order.  Return flag R lines carry a plant (with one
+    location), A lines a defuse; lines of 10 or more units carry one damage
+    event; O lines one assistant.  A document is one (order, line chunk)
+    slice, so it is bounded by LINE_CHUNK lines; orders without lines get
+    empty players / rounds / kills.
     """
-    from ..functions.time import ts_to_epoch
-    from .derived import line_players, order_lines
-
-    l = T.lineitem
-    s = T.supplier.select("s_suppkey", "s_name", "s_nationkey")
-    sid = F.col("l_suppkey").cast("string")
-    loc = F.struct(F.col("l_partkey").alias("x"), F.col("l_suppkey").alias("y"))
-    team = F.when(F.col("l_linestatus") == "F", "Red").otherwise("Blue")
-    l = l.withColumn("line_chunk", chunk("l_linenumber", LINE_CHUNK))
-    line = l.join(s, F.col("l_suppkey") == F.col("s_suppkey"), "left").select(
-        "l_orderkey", "line_chunk",
-        F.struct(
-            F.col("l_linenumber").alias("sort_line"), F.col("l_partkey").alias("sort_part"),
-            F.col("l_suppkey").alias("sort_supp"), F.col("l_shipdate").alias("sort_ship"),
-            team.alias("winning_team"), F.col("l_returnflag").alias("end_type"),
-            F.struct(
-                F.when(F.col("l_returnflag") == "R", F.col("l_linenumber") * 1000).cast("bigint")
-                 .alias("plant_time_in_round"),
-                F.when(F.col("l_returnflag") == "R", loc).alias("plant_location"),
-                F.when(F.col("l_returnflag") == "R", F.struct(sid.alias("puuid"))).alias("planted_by"),
-                F.when(F.col("l_returnflag") == "R", F.array(F.struct(sid.alias("player_puuid"), loc.alias("location"))))
-                 .alias("player_locations_on_plant")).alias("plant_events"),
-            F.struct(
-                F.when(F.col("l_returnflag") == "A", F.col("l_linenumber") * 2000).cast("bigint")
-                 .alias("defuse_time_in_round"),
-                F.when(F.col("l_returnflag") == "A", loc).alias("defuse_location"),
-                F.when(F.col("l_returnflag") == "A", F.struct(sid.alias("puuid"))).alias("defused_by"),
-                F.when(F.col("l_returnflag") == "A", F.array(F.struct(sid.alias("player_puuid"), loc.alias("location"))))
-                 .alias("player_locations_on_defuse")).alias("defuse_events"),
-            F.array(F.struct(
-                sid.alias("player_puuid"), F.col("s_name").alias("player_display_name"),
-                F.when(F.col("l_linestatus") == "F", F.col("l_quantity").cast("bigint")).otherwise(0).alias("headshots"),
-                F.when(F.col("l_linestatus") == "O", F.col("l_quantity").cast("bigint")).otherwise(0).alias("bodyshots"),
-                F.col("l_linenumber").cast("bigint").alias("legshots"),
-                F.struct(F.struct(F.col("l_returnflag").alias("name")).alias("weapon")).alias("economy"),
-                F.struct(F.lit(1).cast("bigint").alias("c_casts"), F.lit(None).cast("bigint").alias("e_cast"),
-                         F.col("l_linenumber").cast("bigint").alias("q_casts"),
-                         F.lit(0).cast("bigint").alias("x_cast")).alias("ability_casts"),
-                F.when(F.col("l_quantity") >= 10, F.array(F.struct(
-                    F.col("l_partkey").cast("string").alias("receiver_puuid"),
-                    F.col("l_quantity").cast("bigint").alias("damage"))))
-                 .otherwise(F.array().cast("array<struct<receiver_puuid: string, damage: bigint>>"))
-                 .alias("damage_events"),
-                F.array().cast("array<struct<kill_time_in_round: bigint>>").alias("kill_events"),
-            )).alias("player_stats"),
-            # kill fields
-            (F.col("l_linenumber") * 100).cast("bigint").alias("kill_time_in_round"),
-            sid.alias("killer_puuid"), F.col("s_name").alias("killer_display_name"), team.alias("killer_team"),
-            F.col("l_partkey").cast("string").alias("victim_puuid"),
-            F.concat(F.lit("Part#"), F.col("l_partkey").cast("string")).alias("victim_display_name"),
-            F.when(F.col("l_linestatus") == "O", F.array(F.struct(sid.alias("assistant_puuid"))))
-             .otherwise(F.array().cast("array<struct<assistant_puuid: string>>")).alias("assistants"),
-        ).alias("line"))
-    per_order = line.groupBy("l_orderkey", "line_chunk").agg(
-        F.array_sort(F.collect_list("line")).alias("lines"))
-    rounds = F.transform("lines", lambda x: x.dropFields(
-        "sort_line", "sort_part", "sort_supp", "sort_ship", "kill_time_in_round", "killer_puuid",
-        "killer_display_name", "killer_team", "victim_puuid", "victim_display_name", "assistants"))
-    kills = F.transform("lines", lambda x, i: F.struct(
-        i.cast("bigint").alias("round"), x["kill_time_in_round"].alias("kill_time_in_round"),
-        x["killer_puuid"].alias("killer_puuid"), x["killer_display_name"].alias("killer_display_name"),
-        x["killer_team"].alias("killer_team"), x["victim_puuid"].alias("victim_puuid"),
-        x["victim_display_name"].alias("victim_display_name"), x["assistants"].alias("assistants"),
-        F.array(x["player_stats"][0]["player_puuid"]).alias("_p")))
-    per_order = per_order.select("l_orderkey", "line_chunk", rounds.alias("rounds"), kills.alias("kills"))
-    per_order = per_order.withColumn("kills", F.transform("kills", lambda k: F.struct(
-        k["round"].alias("round"), k["kill_time_in_round"].alias("kill_time_in_round"),
-        k["killer_puuid"].alias("killer_puuid"), k["killer_display_name"].alias("killer_display_name"),
-        k["killer_team"].alias("killer_team"), k["victim_puuid"].alias("victim_puuid"),
-        k["victim_display_name"].alias("victim_display_name"), k["assistants"].alias("assistants"),
-        F.array(F.struct(k["_p"][0].alias("player_puuid"),
-                         F.struct(F.lit(0).cast("bigint").alias("x"), F.lit(0).cast("bigint").alias("y"))
-                          .alias("location"))).alias("player_locations_on_kill"))))
-
-    lp = line_players(T, l, by=["line_chunk"]).join(s, F.col("puuid") == F.col("s_suppkey"), "left")
-    player = F.struct(
-        F.col("puuid").cast("string").alias("puuid"), F.col("s_name").alias("name"),
-        F.col("s_nationkey").cast("string").alias("tag"), "team", "level", "currenttier", "character",
-        "damage_made", "damage_received",
-        F.struct((F.col("damage_received") * 1000).alias("milliseconds")).alias("session_playtime"),
-        F.struct(F.col("max_discount").alias("b1"), F.col("min_tax").alias("b2"),
-                 F.col("level").cast("double").alias("b3"), F.col("score").cast("double").alias("b4"))
-         .alias("behavior"),
-        F.struct(F.lit("PC").alias("type"), F.struct(F.col("team").alias("name")).alias("os")).alias("platform"),
-        F.struct("c_cast", "x_cast").alias("ability_casts"),
-        F.struct(F.struct(F.col("agent_small").alias("small"), F.col("agent_killfeed").alias("killfeed"))
-                 .alias("agent")).alias("assets"),
-        F.struct("score", "bodyshots", "headshots", "legshots").alias("stats"),
-        F.struct(F.struct(F.col("damage_made").alias("overall")).alias("spent")).alias("economy"))
-    # A document is one (order, line chunk) slice: its players are the
-    # suppliers of those lines, so it is bounded by LINE_CHUNK lines.
-    players = lp.groupBy(F.col("matchid").alias("p_order"), F.col("line_chunk").alias("p_chunk")).agg(
-        F.array_sort(F.collect_list(player)).alias("all_players"))
-    slices = per_order.join(players, (F.col("l_orderkey") == F.col("p_order"))
-                            & (F.col("line_chunk") == F.col("p_chunk")), "left")
-
-    ol = order_lines(T)
-    o = T.orders.join(ol, F.col("o_orderkey") == F.col("matchid"), "left")
-    docs = o.select(
-        "o_orderkey",
-        F.struct(match_id("o_orderkey").alias("matchid"), F.col("o_orderpriority").alias("map"),
-                 ts_to_epoch("o_orderdate").alias("game_start"),
-                 F.coalesce(F.col("n_lines"), F.lit(0)).cast("bigint").alias("rounds_played")).alias("metadata"),
-        F.struct(
-            F.struct((F.col("o_orderstatus") == "F").alias("has_won"), F.col("f_lines").alias("rounds_won"),
-                     F.col("o_lines").alias("rounds_lost")).alias("red"),
-            F.struct((F.col("o_orderstatus") == "O").alias("has_won"), F.col("o_lines").alias("rounds_won"),
-                     F.col("f_lines").alias("rounds_lost")).alias("blue")).alias("teams"))
-    docs = docs.join(slices, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-    return docs.select(
-        "metadata",
-        F.struct(F.coalesce("all_players", F.array().cast(f"array<{_PLAYER_TYPE}>")).alias("all_players"))
-         .alias("players"),
-        "teams",
-        F.coalesce("rounds", F.array().cast(f"array<{_ROUND_TYPE}>")).alias("rounds"),
-        F.coalesce("kills", F.array().cast(f"array<{_KILL_TYPE}>")).alias("kills"))
-
-
-def _types():
     from ..schemas import KILL, PLAYER, ROUND
-    return PLAYER, ROUND, KILL
-
-
-_PLAYER_TYPE, _ROUND_TYPE, _KILL_TYPE = _types()
+    text = _MATCH_DOCS_SQL.replace("{line_chunk}", str(LINE_CHUNK)) \
+        .replace("{empty_damage}", _empty("struct<receiver_puuid: string, damage: bigint>")) \
+        .replace("{empty_kill_events}", _empty("struct<kill_time_in_round: bigint>")) \
+        .replace("{empty_assistants}", _empty("struct<assistant_puuid: string>")) \
+        .replace("{empty_players}", _empty(PLAYER)).replace("{empty_rounds}", _empty(ROUND)) \
+        .replace("{empty_kills}", _empty(KILL)) \
+        .replace("{match_id}", match_id_sql("o.o_orderkey")) \
+        .replace("{game_start}", _ts_epoch_sql("o.o_orderdate"))
+    from ..session import spread
+    return T.spark.sql(text, lineitem=spread(T.lineitem), supplier=T.supplier, orders=T.orders)

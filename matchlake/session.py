@@ -63,6 +63,29 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/matchlake/{name}-{uuid.uuid4().hex}"
 
 
+def spread(df):
+    """Round-robin ``df`` over every core when its scan is under-split.
+
+    For CPU-heavy per-row work (building nested documents) over one small
+    file: a single row group gives one or a few scan tasks.  When the input
+    has at least as many splits as the session has cores -- any large table
+    -- this returns ``df`` unchanged, so it adds no shuffle at scale.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
+def materialize(df, name: str):
+    """Write ``df`` once under the checkpoint root and read it back.
+
+    A stored table: every later use reads (and prunes) it instead of
+    recomputing the lineage, and a lost executor only re-reads files.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 

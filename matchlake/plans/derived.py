@@ -78,8 +78,8 @@ def line_players(T: Tables, lines: DataFrame | None = None, by=()) -> DataFrame:
         F.sum(qty()).alias("damage_made"),
         F.sum(F.col("l_linenumber").cast("bigint")).alias("damage_received"),
         F.min("l_linenumber").cast("bigint").alias("currenttier"),
-        F.when(F.count_if(F.col("l_returnflag") == "R") > 0, "Raze")
-         .when(F.count_if(F.col("l_returnflag") == "A") > 0, "Astra").otherwise("Neon").alias("character"),
+        F.when(F.count_if(F.col("l_returnflag") == "R") > 0, "striker")
+         .when(F.count_if(F.col("l_returnflag") == "A") > 0, "support").otherwise("scout").alias("character"),
         F.sum(qty()).alias("score"),
         flag_qty("A").alias("headshots"), flag_qty("N").alias("bodyshots"), flag_qty("R").alias("legshots"),
         F.max("l_discount").alias("max_discount"), F.min("l_tax").alias("min_tax"),
@@ -150,8 +150,8 @@ line_players AS (
          CAST(SUM(CAST(l_quantity AS BIGINT)) AS BIGINT) AS damage_made,
          CAST(SUM(CAST(l_linenumber AS BIGINT)) AS BIGINT) AS damage_received,
          CAST(MIN(l_linenumber) AS BIGINT) AS currenttier,
-         CASE WHEN COUNT_IF(l_returnflag = 'R') > 0 THEN 'Raze'
-              WHEN COUNT_IF(l_returnflag = 'A') > 0 THEN 'Astra' ELSE 'Neon' END AS "character",
+         CASE WHEN COUNT_IF(l_returnflag = 'R') > 0 THEN 'striker'
+              WHEN COUNT_IF(l_returnflag = 'A') > 0 THEN 'support' ELSE 'scout' END AS "character",
          CAST(SUM(CAST(l_quantity AS BIGINT)) AS BIGINT) AS score,
          CAST(SUM(CASE WHEN l_returnflag = 'A' THEN CAST(l_quantity AS BIGINT) ELSE 0 END) AS BIGINT) AS headshots,
          CAST(SUM(CASE WHEN l_returnflag = 'N' THEN CAST(l_quantity AS BIGINT) ELSE 0 END) AS BIGINT) AS bodyshots,

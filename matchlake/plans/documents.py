@@ -159,8 +159,8 @@ player_rows AS (
     CASE WHEN count_if(l_linestatus = 'F') > 0 THEN 'Red' ELSE 'Blue' END AS team,
     count(1) AS level, sum(CAST(l_quantity AS BIGINT)) AS damage_made,
     sum(CAST(l_linenumber AS BIGINT)) AS damage_received, CAST(min(l_linenumber) AS BIGINT) AS currenttier,
-    CASE WHEN count_if(l_returnflag = 'R') > 0 THEN 'Raze'
-         WHEN count_if(l_returnflag = 'A') > 0 THEN 'Astra' ELSE 'Neon' END AS character,
+    CASE WHEN count_if(l_returnflag = 'R') > 0 THEN 'striker'
+         WHEN count_if(l_returnflag = 'A') > 0 THEN 'support' ELSE 'scout' END AS character,
     sum(CASE WHEN l_returnflag = 'A' THEN CAST(l_quantity AS BIGINT) ELSE 0L END) AS headshots,
     sum(CASE WHEN l_returnflag = 'N' THEN CAST(l_quantity AS BIGINT) ELSE 0L END) AS bodyshots,
     sum(CASE WHEN l_returnflag = 'R' THEN CAST(l_quantity AS BIGINT) ELSE 0L END) AS legshots,

@@ -54,7 +54,11 @@ def explode_envelope(df: DataFrame, keep=("name", "tag", "endpoint", "status"),
     return explode_child(df, data, keep=list(keep), alias=alias)
 
 
-def maps_callouts(maps: DataFrame, skip_name: str | None = "The Range", digits: int = 1) -> DataFrame:
+# Fixed value: the map name the asset loader leaves out (a practice map).
+SKIPPED_MAP = "The Range"
+
+
+def maps_callouts(maps: DataFrame, skip_name: str | None = SKIPPED_MAP, digits: int = 1) -> DataFrame:
     """Map callout dimension from ``{data: [{uuid, displayName, callouts}]}``.
 
     Maps named ``skip_name`` are left out (NULL names are kept), callouts

@@ -62,8 +62,8 @@ def test_roster_map_to_rows(spark):
 def test_maps_callouts(spark):
     maps = spark.read.schema(MAPS).option("multiLine", True).json(os.path.join(FIXTURES, "maps.json"))
     out = maps_callouts(maps)
-    assert rows(out) == sorted([("map-1", "Ascent", "Mid", "A", 1.3, -2.4),
-                                ("map-1", "Ascent", "Top", "B", 10.0, 4.0)], key=repr)
+    assert rows(out) == sorted([("map-1", "Harbor", "Mid", "A", 1.3, -2.4),
+                                ("map-1", "Harbor", "Top", "B", 10.0, 4.0)], key=repr)
 
 
 def test_ids_from_landed_files(spark):

@@ -122,13 +122,16 @@ def order_star(T: Tables) -> dict[str, DataFrame]:
 def round_player_stats(T: Tables) -> DataFrame:
     """Line level: player = supplier, weapon = return flag; head shots =
     quantity on F lines, body shots = quantity on O lines, leg shots = the
-    line number."""
-    s = T.supplier.select(F.col("s_suppkey").alias("player_puuid"), F.col("s_name").alias("player_display_name"))
+    line number.  Display names come separately (:func:`player_names`)."""
     return T.lineitem.select(
         F.col("l_suppkey").alias("player_puuid"), F.col("l_returnflag").alias("economy_weapon_name"),
         F.when(F.col("l_linestatus") == "F", qty()).otherwise(0).alias("headshots"),
         F.when(F.col("l_linestatus") == "O", qty()).otherwise(0).alias("bodyshots"),
-        F.col("l_linenumber").cast("bigint").alias("legshots")).join(s, "player_puuid", "left")
+        F.col("l_linenumber").cast("bigint").alias("legshots"))
+
+
+def player_names(T: Tables) -> DataFrame:
+    return T.supplier.select(F.col("s_suppkey").alias("player_puuid"), F.col("s_name").alias("player_display_name"))
 
 
 SQL_ROSTER_SUPPLIERS = f"""

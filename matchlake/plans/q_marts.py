@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from . import marts
 from .derived import (FULL_TEAM, SQL_ARENA, SQL_ORDER_STAR, SQL_ROSTER_SUPPLIERS, arena, order_star,
-                      roster_supplier_keys, roster_supplier_names, roster_users, round_player_stats)
+                      player_names, roster_supplier_keys, roster_supplier_names, roster_users,
+                      round_player_stats)
 from .registry import Tables, register
 
 
@@ -31,7 +32,7 @@ SELECT player_puuid, player_display_name, economy_weapon_name, headshots,
 FROM g""")
 def mart_rate_by_group(spark, d):
     T = Tables(spark, d)
-    return marts.rate_by_group(round_player_stats(T), roster_supplier_keys(T))
+    return marts.rate_by_group(round_player_stats(T), roster_supplier_keys(T), names=player_names(T))
 
 
 @register("mart_first_event_ratio", f"""

@@ -94,7 +94,9 @@ def order_star(T: Tables) -> dict[str, DataFrame]:
     counts are stored once (as a load would store the star's tables); the
     per-player tables are projections of the stored aggregate, so joining
     them back does not recompute it."""
-    lp = materialize(line_players(T), "line_players")
+    names = T.supplier.select(F.col("s_suppkey").alias("puuid"), F.col("s_name").alias("name"),
+                              F.col("s_nationkey").cast("string").alias("tag"))
+    lp = materialize(line_players(T).join(names, "puuid", "left"), "line_players", bucket_by=["matchid", "puuid"])
     keys = ["matchid", "puuid"]
     ol = materialize(order_lines(T), "order_lines")
     o = T.orders.select(F.col("o_orderkey").alias("matchid"), "o_orderpriority", "o_orderdate", "o_orderstatus")
@@ -106,10 +108,8 @@ def order_star(T: Tables) -> dict[str, DataFrame]:
         F.col("f_lines").alias("red_rounds_won"), F.col("o_lines").alias("red_rounds_lost"),
         (F.col("o_orderstatus") == "O").alias("blue_has_won"),
         F.col("o_lines").alias("blue_rounds_won"), F.col("f_lines").alias("blue_rounds_lost"))
-    names = T.supplier.select(F.col("s_suppkey").alias("puuid"), F.col("s_name").alias("name"),
-                              F.col("s_nationkey").cast("string").alias("tag"))
-    player = lp.select(*keys, "team", "level", "damage_made", "damage_received", "currenttier", "character") \
-        .join(names, "puuid", "left")
+    player = lp.select(*keys, "team", "level", "damage_made", "damage_received", "currenttier", "character",
+                       "name", "tag")
     return {
         "metadata": metadata, "teams": teams, "player": player,
         "player_stats": lp.select(*keys, "score", "bodyshots", "headshots", "legshots"),

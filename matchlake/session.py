@@ -75,15 +75,25 @@ def spread(df):
     return df.repartition(target) if df.rdd.getNumPartitions() < target else df
 
 
-def materialize(df, name: str):
+def materialize(df, name: str, bucket_by: list[str] | None = None, buckets: int | None = None):
     """Write ``df`` once under the checkpoint root and read it back.
 
     A stored table: every later use reads (and prunes) it instead of
     recomputing the lineage, and a lost executor only re-reads files.
+    With ``bucket_by`` the table is bucketed (and sorted) on those columns
+    and registered in the session catalog, so joins of its projections on
+    the bucket columns need no shuffle at all.
     """
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    if not bucket_by:
+        df.write.parquet(path)
+        return spark.read.parquet(path)
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = f"matchlake_{name}_{uuid.uuid4().hex[:12]}"
+    (df.write.bucketBy(n, *bucket_by).sortBy(*bucket_by).format("parquet")
+       .option("path", path).saveAsTable(table))
+    return spark.table(table)
 
 
 def table_path(sf_dir: str, name: str) -> str:

@@ -84,6 +84,8 @@ def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     names = argv[2:] or sorted(entry.queries())
     spark = build_session("local[8]")
+    if os.environ.get("SESSION_TZ"):  # the driver's session zone may differ
+        spark.conf.set("spark.sql.session.timeZone", os.environ["SESSION_TZ"])
     con = duck(sf_dir)
     bad = 0
     for n in names:

@@ -83,7 +83,11 @@ def main(argv):
     import __spark_entry__ as entry
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     names = argv[2:] or sorted(entry.queries())
-    spark = build_session("local[8]")
+    if os.environ.get("PLAIN_SESSION"):  # a default session, as a caller might have
+        from pyspark.sql import SparkSession
+        spark = SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false").getOrCreate()
+    else:
+        spark = build_session("local[8]")
     if os.environ.get("SESSION_TZ"):  # the driver's session zone may differ
         spark.conf.set("spark.sql.session.timeZone", os.environ["SESSION_TZ"])
     con = duck(sf_dir)

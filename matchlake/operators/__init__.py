@@ -1,7 +1,7 @@
 """DataFrame -> DataFrame operators (nested, relational, contract, checks)."""
 
 from .checks import Check, check_not_null, check_report, check_unique
-from .contract import cast_first_n, check_castable, contract_types, enforce
+from .contract import cast_first_n, check_castable, contract_types, enforce, warehouse_schema
 from .nested import (drop_fields, explode_child, explode_positional, flatten_shallow,
                      flatten_struct, vertical_split)
 from .relational import (cond_count_distinct, count_distinct, dedupe, first_per_group, flag_first,
@@ -10,7 +10,7 @@ from .relational import (cond_count_distinct, count_distinct, dedupe, first_per_
 
 __all__ = [
     "Check", "check_not_null", "check_report", "check_unique",
-    "cast_first_n", "check_castable", "contract_types", "enforce",
+    "cast_first_n", "check_castable", "contract_types", "enforce", "warehouse_schema",
     "drop_fields", "explode_child", "explode_positional", "flatten_shallow", "flatten_struct",
     "vertical_split",
     "cond_count_distinct", "count_distinct", "dedupe", "first_per_group", "flag_first",

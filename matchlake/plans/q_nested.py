@@ -4,13 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.numeric import round_dec  # noqa: F401  (documented use in maps_callouts)
 from ..operators import (explode_child, explode_positional, flatten_shallow, flatten_struct, union_by_name,
                          vertical_split)
 from ..session import scratch_path
 from ..sources import explode_envelope, map_to_rows, maps_callouts, read_documents
-from .documents import (CALLOUT_CHUNK, ORDER_CHUNK, TURN_CHUNK, conversation_docs, customer_docs,
-                        envelope_docs, maps_docs)
+from .documents import ORDER_CHUNK, TURN_CHUNK, conversation_docs, customer_docs, envelope_docs, maps_docs
 from .registry import Tables, register
 
 CONVERSATION_DOC = "conv_id bigint, chunk bigint, turns array<struct<turn: bigint, role: string, text: string>>"
@@ -165,8 +163,6 @@ def assets_callouts(spark, d):
     return maps_callouts(maps_docs(Tables(spark, d)), skip_name="EUROPE", digits=1)
 
 
-__all__ = ["CALLOUT_CHUNK"]
-
 
 _STAR_COUNTS = """
 WITH o AS (SELECT COUNT(*) AS n FROM orders),

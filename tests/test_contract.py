@@ -31,3 +31,12 @@ def test_check_castable_counts_rejected(spark):
 def test_cast_first_n(spark):
     df = spark.createDataFrame([(1.0, 2.7, 3.2, 4.9, 5.5)], "a double, b double, c double, d double, e double")
     assert cast_first_n(df, 4).first() == (1, 2, 3, 4, 5.5)
+
+
+def test_warehouse_schema_maps_or_raises(spark, star):
+    import pytest as _pytest
+    from matchlake.operators import warehouse_schema
+    got = warehouse_schema(star["teams"])
+    assert got[0] == {"name": "red_has_won", "type": "BOOLEAN"} and got[1]["type"] == "INTEGER"
+    with _pytest.raises(TypeError):
+        warehouse_schema(star["round"].select("round_id").selectExpr("array(round_id) AS a"))

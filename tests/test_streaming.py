@@ -31,3 +31,28 @@ def test_dedupe_within_watermark(spark):
     stream = dedupe_within_watermark(file_stream(spark, f"{base}/in", SCHEMA), ["user_id"], "ts", "2 days")
     run_available(stream, f"{base}/out", f"{base}/ck")
     assert rows(spark.read.parquet(f"{base}/out"), "user_id") == [(7,), (8,)]
+
+
+def test_stream_documents_into_star(spark):
+    import os
+    import shutil
+
+    from matchlake.plans.load import read_star
+    from matchlake.streaming import stream_documents
+
+    from conftest import FIXTURES, M1, M2, M3
+
+    base = scratch_path(spark, "docstream")
+    landing = f"{base}/landing"
+    os.makedirs(landing)
+    src = os.path.join(FIXTURES, "matches")
+    shutil.copy(os.path.join(src, f"{M1}.json"), landing)
+    stream_documents(spark, landing, f"{base}/wh", f"{base}/ck")
+    assert rows(read_star(spark, f"{base}/wh")["metadata"], "matchid") == [(M1,)]
+    for m in (M2, M3):
+        shutil.copy(os.path.join(src, f"{m}.json"), landing)
+    stream_documents(spark, landing, f"{base}/wh", f"{base}/ck")
+    stream_documents(spark, landing, f"{base}/wh", f"{base}/ck")          # nothing new
+    star = read_star(spark, f"{base}/wh")
+    assert rows(star["metadata"], "matchid") == [(M1,), (M2,), (M3,)]
+    assert star["kills"].count() == 8 and star["player"].count() == 9

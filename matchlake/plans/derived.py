@@ -199,10 +199,15 @@ def arena_users(T: Tables) -> DataFrame:
 
 
 def arena(T: Tables) -> dict[str, DataFrame]:
-    k = arena_kills(T)
+    """The arena star.  Kills (events with the killer's team) are stored
+    once, bucketed and sorted by match, as a load would store the kills
+    table: every per-match aggregate and top-1 below reads it without a
+    shuffle, and the events-to-customer join runs once."""
     users = arena_users(T)
-    kt = k.join(users.select(F.col("puuid").alias("killer_puuid"), F.col("team").alias("killer_team")),
-                "killer_puuid", "left")
+    kt = materialize(arena_kills(T).join(
+        users.select(F.col("puuid").alias("killer_puuid"), F.col("team").alias("killer_team")),
+        "killer_puuid", "left"), "arena_kills", bucket_by=["matchid"])
+    k = kt
     player = k.select("matchid", F.col("killer_puuid").alias("puuid")).distinct().join(users, "puuid", "left")
     metadata = k.groupBy("matchid").agg(F.count_distinct("round").alias("rounds_played")) \
         .withColumn("map", F.date_format(F.to_date("matchid"), "EEEE"))

@@ -93,7 +93,9 @@ def order_star(T: Tables) -> dict[str, DataFrame]:
     """The order star.  The per-(order, supplier) aggregate and the per-order
     counts are stored once (as a load would store the star's tables); the
     per-player tables are projections of the stored aggregate, so joining
-    them back does not recompute it."""
+    them back does not recompute it.  The aggregate has one row per
+    (matchid, puuid), so bucketing on that key cannot concentrate a hot
+    key in one bucket, and its projections join without a shuffle."""
     names = T.supplier.select(F.col("s_suppkey").alias("puuid"), F.col("s_name").alias("name"),
                               F.col("s_nationkey").cast("string").alias("tag"))
     lp = materialize(line_players(T).join(names, "puuid", "left"), "line_players", bucket_by=["matchid", "puuid"])
@@ -200,13 +202,15 @@ def arena_users(T: Tables) -> DataFrame:
 
 def arena(T: Tables) -> dict[str, DataFrame]:
     """The arena star.  Kills (events with the killer's team) are stored
-    once, bucketed and sorted by match, as a load would store the kills
-    table: every per-match aggregate and top-1 below reads it without a
-    shuffle, and the events-to-customer join runs once."""
+    once, as a load would store the kills table, so the events-to-customer
+    join runs once for the five tables below.  Deliberately not bucketed
+    by match: a match here is a whole day, and a bucket per day would put
+    a hot day's rows in one task; the shuffled plans reduce map-side first
+    (partial aggregates, partial group limits)."""
     users = arena_users(T)
     kt = materialize(arena_kills(T).join(
         users.select(F.col("puuid").alias("killer_puuid"), F.col("team").alias("killer_team")),
-        "killer_puuid", "left"), "arena_kills", bucket_by=["matchid"])
+        "killer_puuid", "left"), "arena_kills")
     k = kt
     player = k.select("matchid", F.col("killer_puuid").alias("puuid")).distinct().join(users, "puuid", "left")
     metadata = k.groupBy("matchid").agg(F.count_distinct("round").alias("rounds_played")) \

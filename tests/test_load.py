@@ -70,3 +70,22 @@ def test_ids_from_landed_files(spark):
     from matchlake.sources import list_stored_ids
     ids = list_stored_ids(spark, os.path.join(FIXTURES, "matches"))
     assert rows(ids) == [(M1,), (M2,), (M3,)]
+
+
+def test_bucketed_catalog_load_and_colocated_join(spark, docs):
+    import uuid as _uuid
+    db = f"star_{_uuid.uuid4().hex[:8]}"
+    wh = scratch_path(spark, "wh")
+    load_documents(spark, docs, wh, database=db, buckets=8)
+    assert load_documents(spark, docs, wh, database=db, buckets=8) is None      # nothing new
+    star = read_star(spark, wh, database=db)
+    assert {k: v.count() for k, v in star.items()}["player"] == 9
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = star["player"].join(star["player_stats"], ["matchid", "puuid"]).join(
+            star["player_economy"], ["matchid", "puuid"])
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert j.count() == 9 and "Exchange" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

@@ -60,7 +60,10 @@ def flag_first(df: DataFrame, keys: Sequence[str], order: Sequence[OrderItem],
     task: the top-1 rows are found with :func:`first_per_group`
     (map-side reduced) and joined back on ``keys + identity``.
     ``identity`` must identify a row within its group (e.g. a match id);
-    the join is then on a near-unique key and cannot skew.
+    the join is then on a near-unique key and cannot skew.  ``df`` is
+    evaluated twice (top-1 side and row side): pass a stored table, or a
+    narrow relation, when it is expensive -- the consolidated mart computes
+    its latest-match flag on (puuid, matchid, game_start) for that reason.
     """
     keys, identity = list(keys), list(identity)
     on = list(dict.fromkeys(keys + identity))

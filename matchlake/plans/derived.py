@@ -146,7 +146,7 @@ roster AS (
 SQL_ORDER_STAR = """
 order_lines AS (
   SELECT l_orderkey AS matchid, COUNT(*) AS n_lines,
-         COUNT_IF(l_linestatus = 'F') AS f_lines, COUNT_IF(l_linestatus = 'O') AS o_lines
+         CAST(COUNT_IF(l_linestatus = 'F') AS BIGINT) AS f_lines, CAST(COUNT_IF(l_linestatus = 'O') AS BIGINT) AS o_lines
   FROM lineitem GROUP BY l_orderkey),
 line_players AS (
   SELECT l_orderkey AS matchid, l_suppkey AS puuid,
@@ -162,7 +162,7 @@ line_players AS (
          CAST(SUM(CASE WHEN l_returnflag = 'N' THEN CAST(l_quantity AS BIGINT) ELSE 0 END) AS BIGINT) AS bodyshots,
          CAST(SUM(CASE WHEN l_returnflag = 'R' THEN CAST(l_quantity AS BIGINT) ELSE 0 END) AS BIGINT) AS legshots,
          MAX(l_discount) AS max_discount, MIN(l_tax) AS min_tax,
-         COUNT_IF(l_linestatus = 'O') AS c_cast, CAST(MAX(l_linenumber) AS BIGINT) AS x_cast,
+         CAST(COUNT_IF(l_linestatus = 'O') AS BIGINT) AS c_cast, CAST(MAX(l_linenumber) AS BIGINT) AS x_cast,
          'P' || CAST(MIN(l_partkey) AS VARCHAR) AS agent_small,
          'P' || CAST(MAX(l_partkey) AS VARCHAR) AS agent_killfeed
   FROM lineitem GROUP BY l_orderkey, l_suppkey),

@@ -66,8 +66,8 @@ WITH per_order AS (
   SELECT o.o_orderkey, bool_and(l.l_returnflag = 'R') AS all_returned
   FROM orders o LEFT JOIN lineitem l ON o.o_orderkey = l.l_orderkey GROUP BY o.o_orderkey)
 SELECT all_returned, COUNT(*) AS n_orders,
-       COUNT_IF(all_returned IS TRUE) AS n_true, COUNT_IF(all_returned IS FALSE) AS n_false,
-       COUNT_IF(all_returned IS NULL) AS n_unknown
+       CAST(COUNT_IF(all_returned IS TRUE) AS BIGINT) AS n_true, CAST(COUNT_IF(all_returned IS FALSE) AS BIGINT) AS n_false,
+       CAST(COUNT_IF(all_returned IS NULL) AS BIGINT) AS n_unknown
 FROM per_order GROUP BY all_returned""")
 def three_valued(spark, d):
     T = Tables(spark, d)

@@ -105,9 +105,9 @@ def flatten_struct_q(spark, d):
 
 @register("teams_wide", """
 SELECT l_orderkey,
-       COUNT_IF(l_linestatus = 'F') AS f_lines,
+       CAST(COUNT_IF(l_linestatus = 'F') AS BIGINT) AS f_lines,
        CAST(SUM(CASE WHEN l_linestatus = 'F' THEN CAST(l_quantity AS BIGINT) ELSE 0 END) AS BIGINT) AS f_qty,
-       COUNT_IF(l_linestatus = 'O') AS o_lines,
+       CAST(COUNT_IF(l_linestatus = 'O') AS BIGINT) AS o_lines,
        CAST(SUM(CASE WHEN l_linestatus = 'O' THEN CAST(l_quantity AS BIGINT) ELSE 0 END) AS BIGINT) AS o_qty
 FROM lineitem GROUP BY l_orderkey""")
 def teams_wide(spark, d):

@@ -17,6 +17,11 @@ import duckdb
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+# Spark type -> the DuckDB type an oracle column must have.
+SPARK2DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "float": "FLOAT", "string": "VARCHAR",
+              "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE",
+              "date": "DATE"}
+
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
 
@@ -63,6 +68,13 @@ def compare(spark, sf_dir: str, name: str, con=None) -> dict:
     if name not in ORACLES:
         out["oracle"] = None
         return out
+    rel = con.sql(ORACLES[name])
+    dtypes = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    stypes = {c: SPARK2DUCK.get(t, t) for c, t in sdf.dtypes}
+    out["types_match"] = stypes == dtypes
+    if not out["types_match"]:
+        out["type_diff"] = {c: (stypes.get(c), dtypes.get(c)) for c in set(stypes) | set(dtypes)
+                            if stypes.get(c) != dtypes.get(c)}
     res = con.execute(ORACLES[name])
     dcols = [d[0] for d in res.description]
     drows = res.fetchall()
@@ -97,7 +109,7 @@ def main(argv):
             r = compare(spark, sf_dir, n, con)
         except Exception as e:  # report and continue
             r = {"name": n, "error": f"{type(e).__name__}: {str(e)[:400]}"}
-        ok = r.get("values_match") and r.get("cols_match")
+        ok = r.get("values_match") and r.get("cols_match") and r.get("types_match")
         if r.get("oracle", 1) is None:
             ok = True
         bad += not ok

@@ -30,6 +30,7 @@ def test_query_matches_oracle(spark, con, name):
     r = compare(spark, SF, name, con)
     assert r["cols_match"], r
     assert r["values_match"], r
+    assert r["types_match"], r
 
 
 def test_entry_smoke(spark):

@@ -47,14 +47,20 @@ def checkpoint_root(spark: SparkSession) -> str:
     is made and registered, so ``DataFrame.checkpoint()`` works too.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no context; the conf must name the folder
+        if not root:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
+        return root.rstrip("/")
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
+        root = sc.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="matchlake-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
+        sc.setCheckpointDir(root)
         spark.conf.set("spark.checkpoint.dir", root)
-    elif not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(root)
+    elif not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
@@ -71,8 +77,12 @@ def spread(df):
     has at least as many splits as the session has cores -- any large table
     -- this returns ``df`` unchanged, so it adds no shuffle at scale.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. a Spark Connect session): leave as is
+        return df
+    return df.repartition(target) if splits < target else df
 
 
 def materialize(df, name: str, bucket_by: list[str] | None = None, buckets: int | None = None):

@@ -101,9 +101,14 @@ def materialize(df, name: str, bucket_by: list[str] | None = None, buckets: int
         return spark.read.parquet(path)
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     table = f"matchlake_{name}_{uuid.uuid4().hex[:12]}"
-    (df.write.bucketBy(n, *bucket_by).sortBy(*bucket_by).format("parquet")
-       .option("path", path).saveAsTable(table))
-    return spark.table(table)
+    try:
+        (df.write.bucketBy(n, *bucket_by).sortBy(*bucket_by).format("parquet")
+           .option("path", path).saveAsTable(table))
+        return spark.table(table)
+    except Exception:  # a catalog without table support: same rows, unbucketed
+        fallback = scratch_path(spark, name)
+        df.write.parquet(fallback)
+        return spark.read.parquet(fallback)
 
 
 def table_path(sf_dir: str, name: str) -> str:

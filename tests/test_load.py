@@ -89,3 +89,8 @@ def test_bucketed_catalog_load_and_colocated_join(spark, docs):
         assert j.count() == 9 and "Exchange" not in plan
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_ids_from_document_paths(docs):
+    from matchlake.sources import ids_from_paths
+    assert rows(ids_from_paths(docs)) == [(M1,), (M2,), (M3,)]

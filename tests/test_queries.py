@@ -43,6 +43,6 @@ def test_oracles_run_over_whole_tables():
     covers the whole tables."""
     import re
     for name, sql in entry.oracle_sql().items():
-        upper = sql.upper()
-        assert not re.search(r"\bLIMIT\b|\bSAMPLE\b|\bTABLESAMPLE\b|\bUSING SAMPLE\b", upper), name
-        assert not re.search(r"\bWHERE\b[^;]*%", upper), name
+        code = re.sub(r"'[^']*'", "''", sql).upper()       # string literals (date formats) removed
+        assert not re.search(r"\bLIMIT\b|\bSAMPLE\b|\bTABLESAMPLE\b", code), name
+        assert "%" not in code and " MOD(" not in code, name

@@ -7,6 +7,7 @@ builder here is for tests, ``bench.py`` and command-line use.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -42,26 +43,20 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names for checkpoints.
 
-    Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir).
-    Only when neither is set -- a laptop or a test -- a private temp folder
-    is made and registered, so ``DataFrame.checkpoint()`` works too.
+    Read from ``spark.checkpoint.dir`` (or the context's checkpoint folder).
+    Where neither is set, a session that runs in one process (``local[...]``:
+    tests, a laptop) gets a private folder; on a cluster that is an error,
+    since executors would each write to a disk of their own.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    try:
-        sc = spark.sparkContext
-    except Exception:  # Spark Connect: no context; the conf must name the folder
-        if not root:
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
+    if root:
         return root.rstrip("/")
-    if not root:
-        root = sc.getCheckpointDir()
-    if not root:
-        root = tempfile.mkdtemp(prefix="matchlake-ckpt-")
-        sc.setCheckpointDir(root)
-        spark.conf.set("spark.checkpoint.dir", root)
-    elif not sc.getCheckpointDir():
-        sc.setCheckpointDir(root)
-    return root.rstrip("/")
+    sc = spark.sparkContext
+    if not sc.getCheckpointDir():
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="matchlake-ckpt-"))
+    return sc.getCheckpointDir().rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

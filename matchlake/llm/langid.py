@@ -81,7 +81,7 @@ def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 class Model:
     languages: list          # sorted
     table: np.ndarray        # bucket x language: log probability less the languages' mean
-    allowed: np.ndarray      # script x language; script 0 fits all
+    allowed: np.ndarray      # script x language; script 0 fits all, a row of False is a script none of them uses
 
 
 @dataclass
@@ -160,7 +160,6 @@ def learn(docs: DataFrame, text_col: str = "text", label_col: str = "lang", id_c
     log = np.log((grams + 0.5) / (grams.sum(axis=0) + 0.5 * BUCKETS))
     allowed = letters >= np.maximum(1, SCRIPT_SHARE * letters.sum(axis=0))
     allowed[0] = True
-    allowed[~allowed.any(axis=1)] = True
     return Model(languages, (log - log.mean(axis=1, keepdims=True)).astype(np.float32), allowed)
 
 
@@ -196,7 +195,9 @@ def label_words(words: Words, model: Model, n_docs: int, penalty: float = SWITCH
     """
     score = np.add.reduceat(model.table[words.grams], words.gram_first, axis=0).astype(np.float64)
     np.clip(score, -WORD_BOUND, WORD_BOUND, out=score)
-    score[~model.allowed[words.script]] = FAR
+    fits = model.allowed[words.script]
+    score[~fits] = FAR
+    score[~fits.any(axis=1)] = 0.0
     label = np.empty(len(score), dtype=np.int64)
     cuts = np.searchsorted(words.doc, np.arange(n_docs + 1))
     for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):

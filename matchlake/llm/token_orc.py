@@ -18,27 +18,25 @@ An empty table writes files without rows.
 
 from __future__ import annotations
 
-import re
 import zlib
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from .common import append_columns, slices, texts_of
+from .common import append_columns, slices
 
 END_ID = 1
 MARK = "\x01"
-CACHE = 400_000  # pieces of text between white space whose ids a task remembers
-# str.split() also parts at these four, which are no white space to the tokenizer
-ODD = re.compile(r"[\x1c-\x1f]")
-WHITE = re.compile(r"[^\S\x1c-\x1f]+")
-
-
+# A Latin letter (one that normalising and lower case leave one letter) and one of these are never in one token: such
+# tokenizers part letters from other characters first.  Not so the apostrophe of contractions and what special tokens
+# are written with.
+WORD_END, PARTED = r"""([A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{12F}\x{131}-\x{17F}])([!"#$%&()*+,\-./:;=>?@\[\]^_`{}~])""", r"\1 \2"
+CACHE = 1_000_000  # pieces of text between white space whose ids a task remembers
 @lru_cache(4)
 def _tokenizer(spec: str):
     from tokenizers import Tokenizer
@@ -59,59 +57,92 @@ class _Numbers(dict):
 
 
 class Encoder:
-    """Encodes whole texts through the ids of their parts between white space.
+    """Encodes whole texts through the ids of their parts between ASCII white space and after words.
 
     White space never takes part in a token of this kind of tokenizer (its
     normaliser makes every run one space and its pre-tokenizer drops it), so
     the ids of a text are those of its parts; a part that repeats is encoded
-    once.  New parts go to the tokenizer as one text with a control character
-    between them, whose own id then parts the result.
+    once.  New parts go to the tokenizer many at a time.  Parts of letters are
+    one word each, whose last token bears the vocabulary's end-of-word mark;
+    between other parts stands a control character whose own id parts the
+    result.  Whenever such a count does not come out, parts go one by one.
     """
 
     def __init__(self, spec: str):
         self.tokenizer = _tokenizer(spec)
         mark = self.tokenizer.encode(MARK, add_special_tokens=False).ids
-        self.mark_id = mark[0] if len(mark) == 1 else None
+        self.mark_id = mark[0] if len(mark) == 1 else -1
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.is_end = np.zeros(self.tokenizer.get_vocab_size() + 1, dtype=bool)
+        if suffix:
+            self.is_end[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(suffix)]] = True
+        added = pa.array([t.content for t in self.tokenizer.get_added_tokens_decoder().values()], pa.string())
+        self.parted = not pc.any(pc.match_substring_regex(added, WORD_END)).as_py()
         self._forget()
 
     def _forget(self) -> None:
         self.number = _Numbers()
         self.pool, self.first, self.size = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
+    def _encoded(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=np.int32)
+
+    def _together(self, parts: list[str], words: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the parts, concatenated, and the number of each part's ids."""
+        joined = (" " if words else f" {MARK} ").join(parts)
+        ids = self._encoded(joined)
+        if words:
+            ends = np.flatnonzero(self.is_end[ids]) + 1
+            if len(ends) == len(parts) and ends[-1] == len(ids):
+                return ids, np.diff(ends, prepend=0)
+        elif self.mark_id >= 0 and joined.count(MARK) == len(parts) - 1:
+            marks = ids == self.mark_id
+            cuts = np.flatnonzero(marks)
+            return ids[~marks], np.diff(np.concatenate([[-1], cuts, [len(ids)]])) - 1
+        each = [self._encoded(p) for p in parts]
+        return np.concatenate(each), np.array([len(x) for x in each], dtype=np.int64)
+
     def _learn(self, parts: list[str]) -> None:
-        ids: list[np.ndarray] = []
-        for a in range(0, len(parts), 2000):
-            some = parts[a:a + 2000]
-            if self.mark_id is None or any(MARK in p for p in some):
-                ids += [np.array(self.tokenizer.encode(p, add_special_tokens=False).ids, dtype=np.int32) for p in some]
-            else:
-                all_ids = np.array(self.tokenizer.encode(f" {MARK} ".join(some), add_special_tokens=False).ids, dtype=np.int32)
-                cuts = np.flatnonzero(all_ids == self.mark_id)
-                ids += [all_ids[x:y] for x, y in zip([0, *(cuts + 1).tolist()], [*cuts.tolist(), len(all_ids)])]
-        size = np.array([len(x) for x in ids], dtype=np.int64)
-        self.first = np.concatenate([self.first, len(self.pool) + np.cumsum(size) - size])
-        self.size = np.concatenate([self.size, size])
-        self.pool = np.concatenate([self.pool, *ids])
-
-    def ids(self, texts: list[str], end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        kinds: tuple = ([], [])
+        for i, p in enumerate(parts):
+            kinds[p.isalpha()].append(i)
+        first, size, pool, have = np.zeros(len(parts), np.int64), np.zeros(len(parts), np.int64), [self.pool], len(self.pool)
+        for words, places in enumerate(kinds):
+            for a in range(0, len(places), 1000):
+                some = places[a:a + 1000]
+                ids, n = self._together([parts[i] for i in some], bool(words))
+                first[some], size[some] = have + np.cumsum(n) - n, n
+                pool.append(ids)
+                have += len(ids)
+        self.first, self.size, self.pool = np.concatenate([self.first, first]), np.concatenate([self.size, size]), np.concatenate(pool)
+
+    def ids(self, texts: pa.Array, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, concatenated, each followed by ``end``; and the number of ids of each."""
         if len(self.number) > CACHE:
             self._forget()
-        rows = [t.split() if not ODD.search(t) else [p for p in WHITE.split(t) if p] for t in texts]
-        counts = np.fromiter(map(len, rows), dtype=np.int64, count=len(rows))
+        texts = pc.fill_null(texts, "")
+        rows = pc.ascii_split_whitespace(pc.replace_substring_regex(texts, WORD_END, PARTED) if self.parted else texts)
+        parts = rows.flatten().dictionary_encode()
         number = self.number
-        parts = np.fromiter(map(number.__getitem__, chain.from_iterable(rows)), dtype=np.int64, count=int(counts.sum()))
+        known = np.fromiter(map(number.__getitem__, parts.dictionary.to_pylist()), dtype=np.int64, count=len(parts.dictionary))
         if number.new:
             self._learn(number.new)
             number.new = []
+        parts = known[parts.indices.to_numpy()]
         size = self.size[parts]
         sums = np.concatenate([[0], np.cumsum(size)])
         flat = self.pool[np.repeat(self.first[parts] - sums[:-1], size) + np.arange(sums[-1])]
-        ends = sums[np.cumsum(counts)]
+        ends = sums[np.cumsum(rows.value_lengths().to_numpy())]
         n = np.diff(np.concatenate([[0], ends]))
         return (flat, n) if end is None else (np.insert(flat, ends, end), n + 1)
 
 
+@lru_cache(2)
+def _encoder(spec: str) -> Encoder:
+    """One for the Python worker, whose next tasks go on with the parts it knows."""
+    return Encoder(spec)
+
+
 def write_tokens(docs: DataFrame, path: str, tokenizer_file: str, id_col: str = "doc_id", text_col: str = "text",
                  end_id: int = END_ID, stride: int = 1000, stripe_bytes: int = 16 << 20) -> None:
     """ORC files of (part, doc_id, at, n_tokens, ids) under ``path``, in ascending order of the id."""
@@ -123,10 +154,10 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_file: str, id_col: str =
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        encoder, at, part = Encoder(spec.value), 0, None
+        encoder, at = _encoder(spec.value), 0
         for batch in batches:
-            for rows in slices(batch, 1, 1 << 20):
-                flat, n = encoder.ids(texts_of(rows.column(1)), end_id)
+            for rows in slices(batch, 1, 4 << 20):
+                flat, n = encoder.ids(rows.column(1), end_id)
                 ends = np.cumsum(n)
                 yield pa.RecordBatch.from_arrays(
                     [rows.column(2), rows.column(0), pa.array(at + ends - n), pa.array(n, pa.int32()),

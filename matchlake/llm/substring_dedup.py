@@ -7,23 +7,30 @@ documents.
 Sparse suffixes: of every window of ``length`` bytes the anchor is the position
 whose next ``GRAM`` bytes have the least hash (the leftmost of equals).  It
 depends on the window's bytes alone, so equal windows have equal anchors, and
-about one position in 76 is one.  Consecutive windows with one anchor make a
+about one position in 70 is one.  Consecutive windows with one anchor make a
 region; an entry of the suffix array is (hash of the anchor's bytes, hash of
 the region's bytes), together 128 bits.
 
-Index family: documents come in batches; a batch's entries are sorted and
+Index family: documents come in batches; a batch's suffixes are sorted and
 counted, scanned together with the levels of equal size that exist, and the
-merged run makes a level of twice the size, so an entry is rewritten
-logarithmically often.  Entries that meet in a merge are long matches: the
-windows of a region that occurs twice are all repeated.  Regions that differ
-while their anchors agree can still share windows (at the ends of a match, or
-at edits); only their windows are hashed one by one, from one document for
-each different region, and met by hash.
-
-Each document is addressed by (id, hash of text), so null or repeated ids do no
-harm.  Counts are partially aggregated and joined back, so an anchor or region
-that a third of all documents share is spread by the skew join; what is
-gathered per document is bounded by the document.
+merged run makes a level of twice the size, so a suffix is rewritten
+logarithmically often.  The last batch is scanned against all levels; anchors
+that meet are the candidates, all other entries are done with.
+
+Long matches: a region that occurs twice is repeated whole.  Regions that
+differ while their anchors agree can still share windows (at the ends of a
+match, or at edits).  Of each different one a single copy is compared: up to
+``GROUP`` regions of an anchor byte by byte to either side of it; beyond that,
+where comparing pairs would grow with the square, by the hashes of their
+windows.
+
+Each document is addressed by (id, hash of id and text), so null or repeated
+ids do no harm.  Counts are partially aggregated and joined back, so an anchor
+or region that a third of all documents share is spread by the skew join; what
+is gathered per document is bounded by the document.  The joins that would
+shuffle all texts or entries pass Spark's runtime Bloom filter first, of at
+most ``FILTER_BITS`` bits; on larger corpora it lets more rows through, never
+fewer than belong.
 
 Defined cases: null text is empty; text shorter than ``length`` loses nothing;
 equal documents of ``length`` bytes or more are removed whole, repeated rows
@@ -33,6 +40,7 @@ included.  Empty tables give empty results.
 from __future__ import annotations
 
 import hashlib
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +51,8 @@ from pyspark.sql import functions as F
 from .common import append_columns, mix64, slices, store
 from .decontaminate import merged
 
-LENGTH, GRAM, BATCHES = 200, 48, 4
+LENGTH, GRAM, BATCHES, GROUP = 200, 48, 4, 32
+FILTER_BITS = 1 << 27      # 16 MB
 STARTS = 1 << 21            # windows that are looked at together
 LOW = np.uint64((1 << 24) - 1)
 
@@ -66,12 +75,12 @@ def _gram_hashes(b: np.ndarray) -> np.ndarray:
     return mix64(h[:len(h) - 16] * factor + sixteen[32:])
 
 
-def regions(buffer: bytes, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First and last window start of each region of one document, and the hash of its anchor."""
+def regions(buffer: bytes, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of each region of one document: first window start, number of windows, anchor's place in it, anchor's hash."""
     n = len(buffer) - length + 1
     empty = np.zeros(0, dtype=np.int64)
     if n <= 0:
-        return empty, empty, empty
+        return empty, empty, empty, empty
     data = np.frombuffer(buffer, dtype=np.uint8)
     firsts, anchors, hashes = [], [], []
     span = length - GRAM + 1            # grams of a window
@@ -93,12 +102,8 @@ def regions(buffer: bytes, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray
             hashes.append(h[anchor[new]])
     first, anchor, gram = np.concatenate(firsts), np.concatenate(anchors), np.concatenate(hashes)
     new = np.concatenate([[True], anchor[1:] != anchor[:-1]])
-    first, gram = first[new], gram[new]
-    return first, np.append(first[1:], n) - 1, gram.view(np.int64)
-
-
-def _signed64(h: int) -> int:
-    return h - (1 << 64) if h >> 63 else h
+    first, anchor, gram = first[new], anchor[new], gram[new]
+    return first, np.diff(first, append=n), anchor - first, gram.view(np.int64)
 
 
 def _bytes_of(scalar) -> bytes:
@@ -107,65 +112,107 @@ def _bytes_of(scalar) -> bytes:
 
 
 def suffix_entries(keyed: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(id, th, first, last, gram, region) of every region of ``keyed`` (id, th, text)."""
+    """(id, th, first, count, lead, gram, region) of every region of ``keyed`` (id, th, text)."""
     def run(batches):
         for batch in batches:
             for part in slices(batch, 2):
-                rows, cols = [], [[], [], [], []]
+                rows, cols = [], [[], [], [], [], []]
                 for i in range(part.num_rows):
                     raw = _bytes_of(part.column(2)[i])
-                    first, last, gram = regions(raw, length)
+                    first, count, lead, gram = regions(raw, length)
                     if len(first):
-                        digest = xxhash.xxh3_64_intdigest
-                        cols[3].append(np.array([digest(raw[a:b]) for a, b in zip(first.tolist(), (last + length).tolist())], dtype=np.uint64).view(np.int64))
-                        for c, x in zip(cols, (first, last, gram)):
+                        digest, end = xxhash.xxh3_64_intdigest, first + count - 1 + length
+                        region = np.array([digest(raw[a:b]) for a, b in zip(first.tolist(), end.tolist())], dtype=np.uint64).view(np.int64)
+                        for c, x in zip(cols, (first, count, lead, gram, region)):
                             c.append(x)
                         rows.append(np.full(len(first), i))
                 if rows:
                     take = pa.array(np.concatenate(rows))
-                    first, last, gram, region = map(np.concatenate, cols)
-                    yield pa.RecordBatch.from_arrays([part.column(0).take(take), part.column(1).take(take), pa.array(first, pa.int32()),
-                                                      pa.array(last, pa.int32()), pa.array(gram), pa.array(region)],
-                                                     names=["id", "th", "first", "last", "gram", "region"])
+                    first, count, lead, gram, region = map(np.concatenate, cols)
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column(0).take(take), part.column(1).take(take), pa.array(first, pa.int32()), pa.array(count, pa.int32()),
+                         pa.array(lead, pa.int32()), pa.array(gram), pa.array(region)],
+                        names=["id", "th", "first", "count", "lead", "gram", "region"])
 
-    return keyed.mapInArrow(run, "id bigint, th bigint, first int, last int, gram bigint, region bigint")
+    return keyed.mapInArrow(run, "id bigint, th bigint, first int, count int, lead int, gram bigint, region bigint")
 
 
 class LevelFamily:
-    """Sorted runs of (gram, region, n); equal-sized runs are merged, so there are logarithmically many."""
+    """Sorted runs of (gram, n); equal-sized runs are merged, so there are logarithmically many."""
 
     def __init__(self):
         self.levels: list[tuple[int, DataFrame]] = []
 
-    def add(self, entries: DataFrame) -> None:
-        """Sort a batch's entries, scan them with the equal-sized levels, and keep the merged run."""
-        run, rank = entries.select("gram", "region", F.lit(1).cast("bigint").alias("n")), 0
-        while self.levels and self.levels[-1][0] == rank:
-            run, rank = run.unionByName(self.levels.pop()[1]), rank + 1
-        self.levels.append((rank, store(self._scan(run).sortWithinPartitions("gram", "region"), "level")))
+    @staticmethod
+    def _run(entries: DataFrame) -> DataFrame:
+        return entries.select("gram", F.lit(1).cast("bigint").alias("n"))
 
     @staticmethod
     def _scan(runs: DataFrame) -> DataFrame:
-        return runs.groupBy("gram", "region").agg(F.sum("n").alias("n"))
-
-    def matches(self) -> DataFrame:
-        """(gram, region, n) over all levels."""
-        if len(self.levels) == 1:
-            return self.levels[0][1]
-        runs = self.levels[0][1]
-        for _, level in self.levels[1:]:
-            runs = runs.unionByName(level)
-        return self._scan(runs)
-
-
-def _shared_windows(keyed: DataFrame, entries: DataFrame, matches: DataFrame, length: int) -> DataFrame:
-    """(gram, region, starts): window offsets in the regions that differ from others with their anchor and yet
-    hold a window that another one holds."""
-    several = matches.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
-    contested = matches.select("gram", "region").join(several, "gram")
-    one = entries.join(contested, ["gram", "region"]).groupBy("gram", "region") \
-        .agg(F.min(F.struct("id", "th", "first", "last")).alias("at")).select("gram", "region", "at.*")
-    per_document = one.groupBy("id", "th").agg(F.collect_list(F.struct("first", "last", "gram", "region")).alias("places"))
+        return runs.groupBy("gram").agg(F.sum("n").alias("n"))
+
+    def add(self, entries: DataFrame) -> None:
+        """Sort a batch's suffixes, scan them with the equal-sized levels, and keep the merged run."""
+        run, rank = self._run(entries), 0
+        while self.levels and self.levels[-1][0] == rank:
+            run, rank = run.unionByName(self.levels.pop()[1]), rank + 1
+        self.levels.append((rank, store(self._scan(run).sortWithinPartitions("gram"), "level")))
+
+    def matches(self, last: DataFrame | None = None) -> DataFrame:
+        """(gram, n) of the suffixes that meet in a scan of all levels and the last batch."""
+        runs = [level for _, level in self.levels] + ([] if last is None else [self._run(last)])
+        scanned = runs[0]
+        for r in runs[1:]:
+            scanned = scanned.unionByName(r)
+        return self._scan(scanned).where("n > 1")
+
+
+@contextmanager
+def _bloom_filters(spark):
+    """Let inner joins that run inside filter their larger side by a Bloom filter of the smaller one's keys."""
+    name = "spark.sql.optimizer.runtime.bloomFilter."
+    items = str(FILTER_BITS // 8)
+    conf = {"enabled": "true", "creationSideThreshold": "100g", "applicationSideScanSizeThreshold": "0", "expectedNumItems": items,
+            "maxNumItems": items, "numBits": str(FILTER_BITS), "maxNumBits": str(FILTER_BITS)}
+    before = {k: spark.conf.get(name + k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(name + k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(name + k, v)
+
+
+def shared_spans(group: list[dict], length: int) -> list[list[tuple[int, int]]]:
+    """For each of the different regions around one anchor (lead, count, bytes): the spans of its windows that
+    another one holds too, from common bytes to the left and right of the anchor."""
+    out: list[list[tuple[int, int]]] = [[] for _ in group]
+    parts = [(g["bytes"][:g["lead"]], g["bytes"][g["lead"]:]) for g in group]
+    for i, (left, right) in enumerate(parts):
+        for j in range(i):
+            other = parts[j]
+            n = min(len(left), len(other[0]))
+            x = int.from_bytes(left[len(left) - n:], "little") ^ int.from_bytes(other[0][len(other[0]) - n:], "little")
+            back = n - (x.bit_length() + 7) // 8
+            n = min(len(right), len(other[1]))
+            x = int.from_bytes(right[:n], "big") ^ int.from_bytes(other[1][:n], "big")
+            on = n - (x.bit_length() + 7) // 8
+            if back + on >= length:
+                for k in (i, j):
+                    lead = group[k]["lead"]
+                    out[k].append((lead - back, lead + on))
+    return out
+
+
+def _shared_windows(keyed: DataFrame, classes: DataFrame, length: int) -> DataFrame:
+    """(gram, region, spans): of regions that occur once, what they share with other regions of their anchor
+    (spans from the region's start)."""
+    several = classes.groupBy("gram").agg(F.count(F.lit(1)).alias("rivals")).where("rivals > 1")
+    contested = classes.join(several, "gram")
+    place = F.struct("at.first", "at.count", "at.lead", "gram", "region", F.col("rivals") <= GROUP)
+    per_document = store(contested.groupBy("at.id", "at.th").agg(F.collect_list(place).alias("places"))
+                         .withColumn("n", F.size("places")), "contested")
 
     def expand(batches):
         digest = xxhash.xxh64_intdigest
@@ -173,61 +220,91 @@ def _shared_windows(keyed: DataFrame, entries: DataFrame, matches: DataFrame, le
             for part in slices(batch, 0):
                 for i in range(part.num_rows):
                     raw = _bytes_of(part.column(0)[i])
-                    places = part.column(1)[i].as_py()
-                    for a in range(0, len(places), 2000):
-                        some = places[a:a + 2000]
-                        count = np.array([p["last"] - p["first"] + 1 for p in some])
-                        windows = [digest(raw[x:x + length]) for p in some for x in range(p["first"], p["last"] + 1)]
-                        offset = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.repeat([p["gram"] for p in some], count), pa.int64()),
-                             pa.array(np.repeat([p["region"] for p in some], count), pa.int64()),
-                             pa.array(offset, pa.int32()), pa.array(np.array(windows, dtype=np.uint64).view(np.int64))],
-                            names=["gram", "region", "offset", "window"])
-
-    same = keyed["id"].eqNullSafe(per_document["id"]) & (keyed["th"] == per_document["th"])
-    windows = store(keyed.join(per_document, same).select("text", "places")
-                    .mapInArrow(expand, "gram bigint, region bigint, offset int, window bigint"), "windows")
+                    rows: list[tuple] = []
+                    for p in part.column(1)[i].as_py():
+                        first, count, lead, gram, region, few = p.values()
+                        if few:
+                            rows.append((gram, region, lead, count, raw[first:first + count - 1 + length], None, None))
+                        else:
+                            rows += [(gram, region, lead, count, None, k, digest(raw[first + k:first + k + length])) for k in range(count)]
+                    cols = list(zip(*rows))
+                    windows = [None if w is None else w - (1 << 64) if w >> 63 else w for w in cols[6]]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int32()), pa.array(cols[3], pa.int32()),
+                         pa.array(cols[4], pa.binary()), pa.array(cols[5], pa.int32()), pa.array(windows, pa.int64())],
+                        names=["gram", "region", "lead", "count", "bytes", "offset", "window"])
+
+    same = (keyed["th"] == per_document["th"]) & keyed["id"].eqNullSafe(per_document["id"])
+    with _bloom_filters(keyed.sparkSession):
+        pieces = store(keyed.join(per_document.where("n > 0"), same).select("text", "places").mapInArrow(
+            expand, "gram bigint, region bigint, lead int, count int, bytes binary, offset int, window bigint"), "pieces")
+
+    def compare(batches):
+        for batch in batches:
+            rows: list[tuple] = []
+            for gram, group in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                # equal rows of the table give a region twice
+                group = list({g["region"]: g for g in group}.values())
+                for g, spans in zip(group, shared_spans(group, length)):
+                    if spans:
+                        rows.append((gram, g["region"], [{"start": a, "end": b} for a, b in merged(spans)]))
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()),
+                                              pa.array([r[2] for r in rows], SPANS)], names=["gram", "region", "spans"])
+
+    few = pieces.where("bytes is not null").groupBy("gram").agg(F.collect_list(F.struct("region", "lead", "count", "bytes")).alias("group")) \
+        .mapInArrow(compare, f"gram bigint, region bigint, spans {SPANS_DDL}")
+    windows = pieces.where("bytes is null").select("gram", "region", "offset", "window")
     repeated = windows.groupBy("gram", "window").agg(F.min("region").alias("x"), F.max("region").alias("y")) \
         .where("x != y").select("gram", "window")
-    return windows.join(repeated, ["gram", "window"]).groupBy("gram", "region").agg(F.collect_set("offset").alias("starts"))
+    many = windows.join(repeated, ["gram", "window"]).groupBy("gram", "region").agg(F.collect_set("offset").alias("starts")) \
+        .select("gram", "region", F.transform("starts", lambda x: F.struct(x.alias("start"), (x + length).alias("end"))).alias("spans"))
+    return few.unionByName(many)
+
+
+SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+SPANS_DDL = "array<struct<start:int,end:int>>"
+
+
+def repeated_spans(keyed: DataFrame, length: int, batches: int) -> DataFrame:
+    """(id, th, spans): what is repeated in each document of ``keyed`` (id, th, text); spans may overlap."""
+    spark = keyed.sparkSession
+    entries = store(suffix_entries(keyed, length), "suffixes")
+    family = LevelFamily()
+    parts = [entries.where(F.pmod("th", F.lit(batches)) == b) for b in range(batches)]
+    for batch in parts[:-1]:
+        family.add(batch)
+    matches = store(family.matches(parts[-1]), "matches")
+    with _bloom_filters(spark):
+        candidates = store(entries.join(matches.where("n > 1").select("gram"), "gram"), "candidates")
+    classes = store(candidates.groupBy("gram", "region").agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "th", "first", "count", "lead")).alias("at")), "regions")
+    partial = _shared_windows(keyed, classes, length)
+    # a region that occurs twice is covered whole, whatever its windows share with others
+    covered = classes.join(partial, ["gram", "region"], "left").where("n > 1 or spans is not null") \
+        .select("gram", "region", F.when(F.col("n") == 1, F.col("spans")).alias("spans"))
+    whole = F.array(F.struct(F.lit(0).alias("start"), (F.col("count") - 1 + length).alias("end")))
+    moved = F.transform(F.coalesce("spans", whole), lambda x: F.struct((F.col("first") + x["start"]).alias("start"), (F.col("first") + x["end"]).alias("end")))
+    return candidates.join(covered, ["gram", "region"]).select("id", "th", moved.alias("s")) \
+        .groupBy("id", "th").agg(F.flatten(F.collect_set("s")).alias("found"))
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, batches: int = BATCHES,
                    keep_text: bool = False) -> DataFrame:
-    """(id_col, n_bytes, n_removed, n_spans, kept_sha256, spans array<struct<start,end>>[, kept binary]) per row."""
+    """(id_col, n_bytes, n_removed, n_spans, kept_sha256, spans array<struct<start,end>>[, kept string]) per row;
+    ``kept`` may hold cut characters, so it is binary."""
     if length < 2 * GRAM:
         raise ValueError(f"length must be {2 * GRAM} or more")
-    keyed = docs.select(F.col(id_col).cast("bigint").alias("id"), F.xxhash64(F.coalesce(text_col, F.lit(""))).alias("th"), F.col(text_col).alias("text"))
-    entries = store(suffix_entries(keyed, length), "suffixes")
-    family = LevelFamily()
-    for b in range(batches):
-        family.add(entries.where(F.pmod("th", F.lit(batches)) == b))
-    matches = family.matches()
-    partial = _shared_windows(keyed, entries, matches, length)
-    whole = matches.where("n > 1").select("gram", "region", F.lit(None).cast("array<int>").alias("starts"))
-    # a region that occurs twice is covered whole, whatever its windows share with others
-    covered = whole.unionByName(partial.join(whole.select("gram", "region"), ["gram", "region"], "left_anti"))
-    spans = entries.join(covered, ["gram", "region"]) \
-        .select("id", "th", F.struct("first", "last", "starts").alias("s")) \
-        .groupBy("id", "th").agg(F.collect_set("s").alias("found"))
-    same = keyed["id"].eqNullSafe(spans["id"]) & (keyed["th"] == spans["th"])
-    joined = keyed.join(spans, same, "left").select(keyed["id"], "text", "found")
-    span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    keyed = docs.select(F.col(id_col).cast("bigint").alias("id"), F.xxhash64(text, F.col(id_col)).alias("th"), text.alias("text"))
+    spans = store(repeated_spans(keyed, length, batches).withColumn("n", F.size("found")), "spans")
+    same = (keyed["th"] == spans["th"]) & keyed["id"].eqNullSafe(spans["id"])
 
     def start():
         def work(text, found):
             cols: list[list] = [[] for _ in range(6)]
             for i in range(len(text)):
                 raw = _bytes_of(text[i])
-                cut = []
-                for r in found[i].as_py() or []:
-                    starts = r["starts"]
-                    if starts is None:
-                        cut.append((r["first"], r["last"] + length))
-                    else:
-                        cut += [(r["first"] + x, r["first"] + x + length) for x in starts]
-                cut = merged(cut)
+                cut = merged([(x["start"], x["end"]) for x in found[i].as_py()])
                 at, kept = 0, []
                 for a, b in cut:
                     kept.append(raw[at:a])
@@ -236,10 +313,20 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 for c, v in zip(cols, (len(raw), len(raw) - len(kept), len(cut), hashlib.sha256(kept).hexdigest(),
                                        [{"start": a, "end": b} for a, b in cut], kept if keep_text else None)):
                     c.append(v)
-            return [*[pa.array(c, pa.int64()) for c in cols[:3]], pa.array(cols[3]), pa.array(cols[4], span),
+            return [*[pa.array(c, pa.int64()) for c in cols[:3]], pa.array(cols[3], pa.string()), pa.array(cols[4], SPANS),
                     *([pa.array(cols[5], pa.binary())] if keep_text else [])]
         return work
 
     fields = [("n_bytes", "bigint"), ("n_removed", "bigint"), ("n_spans", "bigint"), ("kept_sha256", "string"),
-              ("spans", "array<struct<start:int,end:int>>"), *([("kept", "binary")] if keep_text else [])]
-    return append_columns(joined, ["text", "found"], fields, start, "text", keep=["id"]).withColumnRenamed("id", id_col)
+              ("spans", SPANS_DDL), *([("kept", "binary")] if keep_text else [])]
+    with _bloom_filters(docs.sparkSession):
+        cut = keyed.join(spans.where("n > 0"), same).select(keyed["id"], "text", "found")
+        cut = store(append_columns(cut, ["text", "found"], fields, start, "text", keep=["id"]), "cut")
+    # the rest is told from the text where it stands; it moves only if its text has to be given back
+    raw = F.col("text").cast("binary")
+    zero = F.lit(0).cast("bigint")
+    plain = keyed.select("id", "th", F.octet_length("text").cast("bigint").alias("n_bytes"), zero.alias("n_removed"), zero.alias("n_spans"),
+                         F.sha2(raw, 256).alias("kept_sha256"), F.array().cast(SPANS_DDL).alias("spans"), *([raw.alias("kept")] if keep_text else []))
+    rest = plain.join(spans.select(F.col("id").alias("_id"), F.col("th").alias("_th")),
+                      (F.col("th") == F.col("_th")) & F.col("id").eqNullSafe(F.col("_id")), "left_anti").drop("th")
+    return cut.unionByName(rest).withColumnRenamed("id", id_col)

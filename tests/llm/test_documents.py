@@ -192,8 +192,9 @@ def test_repeats_against_all_windows(spark, docs_rows):
     assert got == sorted(remove_repeats(docs_rows), key=repr)
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_repeats_of_planted_strings(spark, seed):
+@pytest.mark.parametrize("seed, group", [(1, 32), (2, 1), (3, 3)])
+def test_repeats_of_planted_strings(spark, seed, group, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "GROUP", group)     # both ways to compare the regions of an anchor
     random.seed(seed)
 
     def noise(n, letters="abcdefgh ijé"):
@@ -226,10 +227,11 @@ def test_levels_are_logarithmic(spark):
     family = substring_dedup.LevelFamily()
     sizes = []
     for k in range(5):
-        family.add(spark.createDataFrame([(k, 0), (7, 7)], "gram long, region long"))
+        family.add(spark.createDataFrame([(k,), (7,)], "gram long"))
         sizes.append([r for r, _ in family.levels])
     assert sizes == [[0], [1], [1, 0], [2], [2, 0]]
-    assert {(r["gram"], r["n"]) for r in family.matches().collect()} == {(0, 1), (1, 1), (2, 1), (3, 1), (4, 1), (7, 5)}
+    last = spark.createDataFrame([(0,), (9,)], "gram long")
+    assert {(r["gram"], r["n"]) for r in family.matches(last).collect()} == {(0, 2), (7, 5)}
 
 
 # -- 7 ---------------------------------------------------------------------

@@ -1,8 +1,8 @@
 """DataFrame -> DataFrame operators (nested, relational, contract, checks)."""
 
 from .checks import Check, check_not_null, check_report, check_unique
-from .contract import cast_first_n, check_castable, contract_types, enforce, warehouse_schema
-from .nested import (drop_fields, explode_child, explode_positional, flatten_shallow,
+from .contract import cast_first_n, check_castable, contract_types, enforce, read_contract, warehouse_schema
+from .nested import (explode_child, explode_positional, flatten_shallow,
                      flatten_struct, vertical_split)
 from .relational import (cond_count_distinct, count_distinct, dedupe, first_per_group, flag_first,
                          full_group_flag, is_false, is_true, only_new, roster_filter, sort_cols,
@@ -10,8 +10,8 @@ from .relational import (cond_count_distinct, count_distinct, dedupe, first_per_
 
 __all__ = [
     "Check", "check_not_null", "check_report", "check_unique",
-    "cast_first_n", "check_castable", "contract_types", "enforce", "warehouse_schema",
-    "drop_fields", "explode_child", "explode_positional", "flatten_shallow", "flatten_struct",
+    "cast_first_n", "check_castable", "contract_types", "enforce", "read_contract", "warehouse_schema",
+    "explode_child", "explode_positional", "flatten_shallow", "flatten_struct",
     "vertical_split",
     "cond_count_distinct", "count_distinct", "dedupe", "first_per_group", "flag_first",
     "full_group_flag", "is_false", "is_true", "only_new", "roster_filter", "sort_cols",

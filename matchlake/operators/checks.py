@@ -50,10 +50,27 @@ class Check:
             F.lit(",".join(cols)).alias("column_name"), F.col("failures"))
 
 
+def _null_counts(table: str, checks: Sequence[Check]) -> DataFrame:
+    """The not-null checks of one frame in one aggregate, a row for each column."""
+    cols = [c.column if isinstance(c.column, str) else c.column[0] for c in checks]
+    counts = checks[0].df.agg(*[F.count_if(F.col(q(c)).isNull()).alias(f"n{i}") for i, c in enumerate(cols)])
+    rows = F.array(*[F.struct(F.lit("not_null").alias("check"), F.lit(table).alias("table_name"), F.lit(c).alias("column_name"),
+                              F.col(f"n{i}").alias("failures")) for i, c in enumerate(cols)])
+    return counts.select(F.inline(rows))
+
+
 def check_report(checks: Sequence[Check]) -> DataFrame:
     """One row per check: ``check, table_name, column_name, failures``.
 
     ``failures`` counts duplicated key values for ``unique`` and NULL rows
-    for ``not_null``; 0 means the check passes.
+    for ``not_null``; 0 means the check passes.  All not-null checks of one
+    table take one scan.
     """
-    return reduce(lambda a, b: a.unionByName(b), [c.failures() for c in checks])
+    parts, nulls = [], {}
+    for c in checks:
+        if c.kind == "not_null":
+            nulls.setdefault((c.table, id(c.df)), []).append(c)
+        else:
+            parts.append(c.failures())
+    parts += [_null_counts(table, group) for (table, _), group in nulls.items()]
+    return reduce(lambda a, b: a.unionByName(b), parts)

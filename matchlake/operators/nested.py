@@ -117,9 +117,3 @@ def vertical_split(df: DataFrame, parts: Mapping[str, str | None], keys: Iterabl
             sub = df.select(*[F.col(q(k)) for k in keys], F.col(q(col)))
             out[name] = flatten_struct(sub, [col], sep=sep, prefix=False)
     return out
-
-
-def drop_fields(col: str | Column, *fields: str) -> Column:
-    """Struct without the named fields (missing names are ignored)."""
-    c = F.col(col) if isinstance(col, str) else col
-    return c.dropFields(*fields) if fields else c

@@ -142,7 +142,3 @@ def is_true(c: Column) -> Column:
 def is_false(c: Column) -> Column:
     """``c IS FALSE`` (never NULL)."""
     return c.eqNullSafe(F.lit(False))
-
-
-def distinct_ids(df: DataFrame, key: str) -> DataFrame:
-    return df.select(q(key)).distinct()

@@ -87,36 +87,25 @@ def line_players(T: Tables) -> DataFrame:
         F.concat(F.lit("P"), F.max("l_partkey").cast("string")).alias("agent_killfeed"))
 
 
-def order_star(T: Tables) -> dict[str, DataFrame]:
-    """The order star.  The per-(order, supplier) aggregate and the per-order
-    counts are stored once (as a load would store the star's tables); the
-    per-player tables are projections of the stored aggregate, so joining
-    them back does not recompute it.  The aggregate has one row per
-    (matchid, puuid), so bucketing on that key cannot concentrate a hot
-    key in one bucket, and its projections join without a shuffle."""
-    names = T.supplier.select(F.col("s_suppkey").alias("puuid"), F.col("s_name").alias("name"),
-                              F.col("s_nationkey").cast("string").alias("tag"))
-    lp = materialize(line_players(T).join(names, "puuid", "left"), "line_players", bucket_by=["matchid", "puuid"])
-    keys = ["matchid", "puuid"]
-    ol = materialize(order_lines(T), "order_lines")
-    o = T.orders.select(F.col("o_orderkey").alias("matchid"), "o_orderpriority", "o_orderdate", "o_orderstatus")
-    metadata = o.join(ol, "matchid", "left").select(
+def order_metadata(T: Tables, lines: DataFrame) -> DataFrame:
+    o = T.orders.select(F.col("o_orderkey").alias("matchid"), "o_orderpriority", "o_orderdate")
+    return o.join(lines, "matchid", "left").select(
         "matchid", F.col("o_orderpriority").alias("map"), ts_to_epoch("o_orderdate").alias("game_start"),
         F.coalesce(F.col("n_lines"), F.lit(0)).cast("bigint").alias("rounds_played"))
-    teams = o.join(ol, "matchid", "left").select(
+
+
+def order_teams(T: Tables, lines: DataFrame) -> DataFrame:
+    o = T.orders.select(F.col("o_orderkey").alias("matchid"), "o_orderstatus")
+    return o.join(lines, "matchid", "left").select(
         "matchid", (F.col("o_orderstatus") == "F").alias("red_has_won"),
         F.col("f_lines").alias("red_rounds_won"), F.col("o_lines").alias("red_rounds_lost"),
         (F.col("o_orderstatus") == "O").alias("blue_has_won"),
         F.col("o_lines").alias("blue_rounds_won"), F.col("f_lines").alias("blue_rounds_lost"))
-    player = lp.select(*keys, "team", "level", "damage_made", "damage_received", "currenttier", "character",
-                       "name", "tag")
-    return {
-        "metadata": metadata, "teams": teams, "player": player,
-        "player_stats": lp.select(*keys, "score", "bodyshots", "headshots", "legshots"),
-        "player_economy": lp.select(*keys, "max_discount", "min_tax"),
-        "player_ability_casts": lp.select(*keys, "c_cast", "x_cast"),
-        "player_assets": lp.select(*keys, "agent_small", "agent_killfeed"),
-    }
+
+
+def player_tags(T: Tables) -> DataFrame:
+    return T.supplier.select(F.col("s_suppkey").alias("puuid"), F.col("s_name").alias("name"),
+                             F.col("s_nationkey").cast("string").alias("tag"))
 
 
 def round_player_stats(T: Tables) -> DataFrame:
@@ -201,10 +190,9 @@ def arena_users(T: Tables) -> DataFrame:
 def arena(T: Tables) -> dict[str, DataFrame]:
     """The arena star.  Kills (events with the killer's team) are stored
     once, as a load would store the kills table, so the events-to-customer
-    join runs once for the five tables below.  Deliberately not bucketed
-    by match: a match here is a whole day, and a bucket per day would put
-    a hot day's rows in one task; the shuffled plans reduce map-side first
-    (partial aggregates, partial group limits)."""
+    join runs once for the tables below.  A match is a whole day, so the
+    shuffled plans reduce map-side first (partial aggregates, partial group
+    limits)."""
     users = arena_users(T)
     kt = materialize(arena_kills(T).join(
         users.select(F.col("puuid").alias("killer_puuid"), F.col("team").alias("killer_team")),
@@ -213,11 +201,6 @@ def arena(T: Tables) -> dict[str, DataFrame]:
     player = k.select("matchid", F.col("killer_puuid").alias("puuid")).distinct().join(users, "puuid", "left")
     metadata = k.groupBy("matchid").agg(F.count_distinct("round").alias("rounds_played")) \
         .withColumn("map", F.date_format(F.to_date("matchid"), "EEEE"))
-    teams = kt.groupBy("matchid").agg(
-        F.count_if((F.col("killer_team") == "Red") & (F.col("event_type") == "purchase")).alias("red_p"),
-        F.count_if((F.col("killer_team") == "Blue") & (F.col("event_type") == "purchase")).alias("blue_p")) \
-        .select("matchid", (F.col("red_p") > F.col("blue_p")).alias("red_has_won"),
-                (F.col("blue_p") > F.col("red_p")).alias("blue_has_won"))
     rounds = kt.groupBy("matchid", "round").agg(
         F.count_if(F.col("killer_team") == "Red").alias("red_n"),
         F.count_if(F.col("killer_team") == "Blue").alias("blue_n"),
@@ -226,7 +209,7 @@ def arena(T: Tables) -> dict[str, DataFrame]:
                 F.when(F.col("red_n") > F.col("blue_n"), "Red").when(F.col("blue_n") > F.col("red_n"), "Blue")
                  .alias("winning_team"),
                 F.when(F.col("errors") > 0, "error").otherwise("clean").alias("end_type"))
-    return {"kills": kt, "player": player, "metadata": metadata, "teams": teams, "round": rounds}
+    return {"kills": kt, "player": player, "metadata": metadata, "round": rounds}
 
 
 SQL_ARENA = f"""
@@ -249,13 +232,6 @@ metadata AS (
   SELECT matchid, COUNT(DISTINCT round) AS rounds_played,
          dayname(CAST(matchid AS DATE)) AS map
   FROM kills GROUP BY matchid),
-teams AS (
-  SELECT matchid,
-         COUNT_IF(killer_team = 'Red' AND event_type = 'purchase')
-           > COUNT_IF(killer_team = 'Blue' AND event_type = 'purchase') AS red_has_won,
-         COUNT_IF(killer_team = 'Blue' AND event_type = 'purchase')
-           > COUNT_IF(killer_team = 'Red' AND event_type = 'purchase') AS blue_has_won
-  FROM kills GROUP BY matchid),
 rounds AS (
   SELECT matchid, round,
          CASE WHEN COUNT_IF(killer_team = 'Red') > COUNT_IF(killer_team = 'Blue') THEN 'Red'

@@ -4,59 +4,91 @@ The reference's input is one JSON document per match; the driver's tables
 are flat, so the nested operators are exercised on documents nested here
 and flattened back (the oracle is then the flat table itself).
 
-Each document holds a bounded slice of its parent: children are grouped
-by (parent key, child key range), so a parent with a huge child list
-becomes several documents of at most ``*_CHUNK`` children instead of one
-unbounded group in one task.  Child keys used for the ranges are unique
-within their parent (turn within conversation, order key, supplier key).
+Children are first numbered within their parent (``placed``); a document
+holds the children of one run of places, so a parent with a huge child list
+becomes several bounded documents (parts) instead of one unbounded group in
+one task.  Each part says at which place it starts, so positions go on from
+part to part, and what belongs to the parent as a whole is in its first part.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .registry import Tables
 
-# The largest number of children per document.
-TURN_CHUNK = 64
-LINE_CHUNK = 64
-ORDER_CHUNK = 1024
-CALLOUT_CHUNK = 1024
+# Fixed value: children per part; results do not depend on it.
+PART = 64
 
 
-def chunk(col: str, size: int) -> Column:
-    return F.floor(F.col(col) / F.lit(size)).cast("bigint")
+def placed(df: DataFrame, parent: list[str], order: list[str], name: str, place: str = "place") -> DataFrame:
+    """``df`` plus the 0-based position of each row within its parent, under ``order``.
+
+    Rows are dealt by range of (parent, order) and stored once, so a huge
+    parent spans many parts and both readings agree on the deal; positions
+    inside a deal are then offset by the sizes of the parent's deals before.
+    Rows that tie on all of ``order`` take any of their places.
+    """
+    dealt = materialize(df.repartitionByRange(*parent, *order).withColumn("_deal", F.spark_partition_id()), name)
+    keys = [*parent, "_deal"]
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    sizes = dealt.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy(*parent).orderBy("_deal").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = sizes.withColumn("_skip", F.coalesce(before, F.lit(0))).alias("o")
+    rows = dealt.withColumn("_nth", nth).alias("r")
+    same = [F.col(f"r.{k}").eqNullSafe(F.col(f"o.{k}")) for k in keys]
+    return rows.join(offsets, same).select(*[F.col(f"r.{c}") for c in df.columns],
+                                           (F.col("o._skip") + F.col("r._nth") - 1).alias(place))
+
+
+def part(place: str) -> Column:
+    return F.floor(F.col(place) / PART).cast("bigint")
 
 
 def conversation_docs(T: Tables) -> DataFrame:
-    """``{conv_id, chunk, turns: [{turn, role, text}]}``, turns in order."""
-    return T.conversations.groupBy("conv_id", chunk("turn", TURN_CHUNK).alias("chunk")).agg(
-        F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
+    """``{conv_id, first, turns: [{turn, role, text}]}``: a run of a conversation's turns, in order; ``first`` is the
+    place of the run's first turn."""
+    turns = placed(T.conversations.select("conv_id", "turn", "role", "text"), ["conv_id"], ["turn", "role", "text"], "turns")
+    return turns.groupBy("conv_id", part("place").alias("part")).agg(
+        F.array_sort(F.collect_list(F.struct("place", F.struct("turn", "role", "text").alias("t")))).alias("turns")) \
+        .select("conv_id", (F.col("part") * PART).alias("first"), F.transform("turns", lambda x: x["t"]).alias("turns"))
 
 
 def customer_docs(T: Tables) -> DataFrame:
-    """``{o_custkey, chunk, orders: [{o_orderkey, ..., lines: [{..., charges}]}]}``.
+    """``{o_custkey, first, orders: [{o_orderkey, ..., lines: [{..., charges}]}]}``.
 
+    An order with very many lines stands in the list once for every part of
+    its lines, each time with its own place among the customer's orders.
     Orders without lines carry ``lines = NULL``.
     """
     charges = F.array(F.struct(F.lit("tax").alias("kind"), F.col("l_tax").alias("amount")),
                       F.struct(F.lit("discount").alias("kind"), F.col("l_discount").alias("amount")))
-    lines = T.lineitem.groupBy("l_orderkey", chunk("l_linenumber", LINE_CHUNK).alias("line_chunk")).agg(
+    lines = placed(T.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_tax", "l_discount"),
+                   ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey"], "lines", "line_place")
+    lines = lines.groupBy("l_orderkey", part("line_place").alias("line_part")).agg(
         F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
                                              charges.alias("charges")))).alias("lines"))
-    orders = T.orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left").select(
-        "o_custkey", F.struct("o_orderkey", "o_orderdate", "o_orderstatus", "line_chunk", "lines").alias("o"))
-    return orders.groupBy("o_custkey", chunk("o.o_orderkey", ORDER_CHUNK).alias("chunk")).agg(
-        F.array_sort(F.collect_list("o")).alias("orders"))
+    orders = placed(T.orders.select("o_custkey", "o_orderkey", "o_orderdate", "o_orderstatus"), ["o_custkey"], ["o_orderkey"],
+                    "orders", "order_place")
+    line_part = F.coalesce("line_part", F.lit(0))
+    joined = orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left").select(
+        "o_custkey", line_part.alias("line_part"),
+        # a further part of an order's lines is a document of its own
+        F.when(line_part > 0, F.col("order_place")).otherwise(part("order_place") * PART).alias("first"),
+        F.struct("order_place", F.struct("o_orderkey", "o_orderdate", "o_orderstatus", "lines").alias("o")).alias("o"))
+    return joined.groupBy("o_custkey", "first", "line_part").agg(F.array_sort(F.collect_list("o")).alias("orders")) \
+        .select("o_custkey", "first", F.transform("orders", lambda x: x["o"]).alias("orders"))
 
 
 def envelope_docs(T: Tables) -> DataFrame:
-    """API-response-shaped documents: one per customer and order range."""
-    o = T.orders.join(T.customer, F.col("o_custkey") == F.col("c_custkey")).select(
-        "c_custkey", "c_name", "c_mktsegment",
+    """API-response-shaped documents: one per customer and run of its orders."""
+    orders = placed(T.orders.select("o_custkey", "o_orderkey", "o_orderpriority"), ["o_custkey"], ["o_orderkey"], "orders")
+    o = orders.join(T.customer, F.col("o_custkey") == F.col("c_custkey")).select(
+        "c_custkey", "c_name", "c_mktsegment", part("place").alias("part"),
         F.struct(F.col("o_orderkey").alias("matchid"), F.col("o_orderpriority").alias("map")).alias("m"))
-    return o.groupBy("c_custkey", chunk("m.matchid", ORDER_CHUNK).alias("chunk"), "c_name", "c_mktsegment").agg(
+    return o.groupBy("c_custkey", "part", "c_name", "c_mktsegment").agg(
         F.array_sort(F.collect_list("m")).alias("data")).select(
         F.col("c_name").alias("name"), F.col("c_mktsegment").alias("tag"), F.lit("matches").alias("endpoint"),
         F.lit(200).alias("status"), "data")
@@ -69,7 +101,8 @@ def maps_docs(T: Tables) -> DataFrame:
          .join(T.region, F.col("n_regionkey") == F.col("r_regionkey")))
     callout = F.struct(F.col("n_name").alias("regionName"), F.col("r_name").alias("superRegionName"),
                        F.struct(F.col("s_acctbal").alias("x"), (F.col("s_acctbal") / 7).alias("y")).alias("location"))
-    g = s.groupBy("r_regionkey", "r_name", chunk("s_suppkey", CALLOUT_CHUNK).alias("chunk")).agg(
+    s = placed(s.select("r_regionkey", "r_name", "n_name", "s_acctbal", "s_suppkey"), ["r_regionkey"], ["s_suppkey"], "callouts")
+    g = s.groupBy("r_regionkey", "r_name", part("place").alias("part")).agg(
         F.collect_list(callout).alias("callouts"))
     return g.select(F.array(F.struct(F.col("r_regionkey").cast("string").alias("uuid"),
                                      F.col("r_name").alias("displayName"), "callouts")).alias("data"))
@@ -99,27 +132,30 @@ def _empty(t: str) -> str:
 # from thousands of Column calls.
 _MATCH_DOCS_SQL = """
 WITH lines AS (
-  SELECT l.*, CAST(FLOOR(l.l_linenumber / {line_chunk}) AS BIGINT) AS line_chunk, s.s_name, s.s_nationkey,
+  SELECT l.*, CAST(FLOOR(l.line_place / {part}) AS BIGINT) AS part, s.s_name,
          CAST(l.l_suppkey AS STRING) AS sid,
          named_struct('x', l.l_partkey, 'y', l.l_suppkey) AS loc,
+         named_struct('x', l.l_suppkey, 'y', CAST(l.l_linenumber AS BIGINT)) AS loc2,
          CASE WHEN l.l_linestatus = 'F' THEN 'Red' ELSE 'Blue' END AS side
   FROM {lineitem} l LEFT JOIN {supplier} s ON l.l_suppkey = s.s_suppkey),
 per_slice AS (
-  SELECT l_orderkey, line_chunk, array_sort(collect_list(named_struct(
-    'sort_line', l_linenumber, 'sort_part', l_partkey, 'sort_supp', l_suppkey, 'sort_ship', l_shipdate,
+  SELECT l_orderkey, part, array_sort(collect_list(named_struct(
+    'place', line_place,
     'winning_team', side, 'end_type', l_returnflag,
     'plant_events', named_struct(
       'plant_time_in_round', CASE WHEN l_returnflag = 'R' THEN CAST(l_linenumber * 1000 AS BIGINT) END,
       'plant_location', CASE WHEN l_returnflag = 'R' THEN loc END,
       'planted_by', CASE WHEN l_returnflag = 'R' THEN named_struct('puuid', sid) END,
       'player_locations_on_plant', CASE WHEN l_returnflag = 'R'
-                                        THEN array(named_struct('player_puuid', sid, 'location', loc)) END),
+                                        THEN array(named_struct('player_puuid', sid, 'location', loc),
+                                                   named_struct('player_puuid', CAST(l_partkey AS STRING), 'location', loc2)) END),
     'defuse_events', named_struct(
       'defuse_time_in_round', CASE WHEN l_returnflag = 'A' THEN CAST(l_linenumber * 2000 AS BIGINT) END,
       'defuse_location', CASE WHEN l_returnflag = 'A' THEN loc END,
       'defused_by', CASE WHEN l_returnflag = 'A' THEN named_struct('puuid', sid) END,
       'player_locations_on_defuse', CASE WHEN l_returnflag = 'A'
-                                         THEN array(named_struct('player_puuid', sid, 'location', loc)) END),
+                                         THEN array(named_struct('player_puuid', sid, 'location', loc),
+                                                    named_struct('player_puuid', CAST(l_partkey AS STRING), 'location', loc2)) END),
     'player_stats', array(named_struct(
       'player_puuid', sid, 'player_display_name', s_name,
       'headshots', CASE WHEN l_linestatus = 'F' THEN CAST(l_quantity AS BIGINT) ELSE 0L END,
@@ -130,7 +166,8 @@ per_slice AS (
                                     'q_casts', CAST(l_linenumber AS BIGINT), 'x_cast', 0L),
       'damage_events', CASE WHEN l_quantity >= 10
                             THEN array(named_struct('receiver_puuid', CAST(l_partkey AS STRING),
-                                                    'damage', CAST(l_quantity AS BIGINT)))
+                                                    'damage', CAST(l_quantity AS BIGINT)),
+                                       named_struct('receiver_puuid', sid, 'damage', CAST(l_linenumber AS BIGINT)))
                             ELSE {empty_damage} END,
       'kill_events', {empty_kill_events})),
     'kill', named_struct(
@@ -142,34 +179,20 @@ per_slice AS (
       'player_locations_on_kill', array(named_struct('player_puuid', sid,
                                                      'location', named_struct('x', 0L, 'y', 0L))))
   ))) AS lines
-  FROM lines GROUP BY l_orderkey, line_chunk),
+  FROM lines GROUP BY l_orderkey, part),
 slices AS (
-  SELECT l_orderkey, line_chunk,
+  SELECT l_orderkey, part,
     transform(lines, x -> named_struct('winning_team', x.winning_team, 'end_type', x.end_type,
                                        'plant_events', x.plant_events, 'defuse_events', x.defuse_events,
                                        'player_stats', x.player_stats)) AS rounds,
-    transform(lines, (x, i) -> named_struct('round', CAST(i AS BIGINT),
+    transform(lines, x -> named_struct('round', x.place,
       'kill_time_in_round', x.kill.kill_time_in_round, 'killer_puuid', x.kill.killer_puuid,
       'killer_display_name', x.kill.killer_display_name, 'killer_team', x.kill.killer_team,
       'victim_puuid', x.kill.victim_puuid, 'victim_display_name', x.kill.victim_display_name,
       'assistants', x.kill.assistants, 'player_locations_on_kill', x.kill.player_locations_on_kill)) AS kills
   FROM per_slice),
-player_rows AS (
-  SELECT l_orderkey, line_chunk, l_suppkey, s_name, s_nationkey,
-    CASE WHEN count_if(l_linestatus = 'F') > 0 THEN 'Red' ELSE 'Blue' END AS team,
-    count(1) AS level, sum(CAST(l_quantity AS BIGINT)) AS damage_made,
-    sum(CAST(l_linenumber AS BIGINT)) AS damage_received, CAST(min(l_linenumber) AS BIGINT) AS currenttier,
-    CASE WHEN count_if(l_returnflag = 'R') > 0 THEN 'striker'
-         WHEN count_if(l_returnflag = 'A') > 0 THEN 'support' ELSE 'scout' END AS character,
-    sum(CASE WHEN l_returnflag = 'A' THEN CAST(l_quantity AS BIGINT) ELSE 0L END) AS headshots,
-    sum(CASE WHEN l_returnflag = 'N' THEN CAST(l_quantity AS BIGINT) ELSE 0L END) AS bodyshots,
-    sum(CASE WHEN l_returnflag = 'R' THEN CAST(l_quantity AS BIGINT) ELSE 0L END) AS legshots,
-    max(l_discount) AS max_discount, min(l_tax) AS min_tax,
-    count_if(l_linestatus = 'O') AS c_cast, CAST(max(l_linenumber) AS BIGINT) AS x_cast,
-    min(l_partkey) AS min_part, max(l_partkey) AS max_part
-  FROM lines GROUP BY l_orderkey, line_chunk, l_suppkey, s_name, s_nationkey),
 players AS (
-  SELECT l_orderkey AS p_order, line_chunk AS p_chunk, array_sort(collect_list(named_struct(
+  SELECT l_orderkey AS p_order, CAST(FLOOR(player_place / {part}) AS BIGINT) AS p_part, array_sort(collect_list(named_struct(
     'puuid', CAST(l_suppkey AS STRING), 'name', s_name, 'tag', CAST(s_nationkey AS STRING), 'team', team,
     'level', level, 'currenttier', currenttier, 'character', character, 'damage_made', damage_made,
     'damage_received', damage_received,
@@ -183,41 +206,69 @@ players AS (
     'stats', named_struct('score', damage_made, 'bodyshots', bodyshots, 'headshots', headshots,
                           'legshots', legshots),
     'economy', named_struct('spent', named_struct('overall', damage_made))))) AS all_players
-  FROM player_rows GROUP BY l_orderkey, line_chunk),
+  FROM {player_rows} GROUP BY l_orderkey, CAST(FLOOR(player_place / {part}) AS BIGINT)),
 order_lines AS (
   SELECT l_orderkey AS ol_order, count(1) AS n_lines, count_if(l_linestatus = 'F') AS f_lines,
          count_if(l_linestatus = 'O') AS o_lines
-  FROM {lineitem} GROUP BY l_orderkey)
+  FROM {lineitem} GROUP BY l_orderkey),
+parts AS (
+  SELECT coalesce(l_orderkey, p_order) AS part_order, coalesce(part, p_part) AS part, rounds, kills, all_players
+  FROM slices FULL OUTER JOIN players ON l_orderkey = p_order AND part = p_part)
 SELECT
   named_struct('matchid', {match_id}, 'map', o.o_orderpriority, 'game_start', {game_start},
                'rounds_played', CAST(coalesce(ol.n_lines, 0) AS BIGINT)) AS metadata,
-  named_struct('all_players', coalesce(p.all_players, {empty_players})) AS players,
+  named_struct('all_players', coalesce(pt.all_players, {empty_players})) AS players,
   named_struct('red', named_struct('has_won', o.o_orderstatus = 'F', 'rounds_won', ol.f_lines,
                                    'rounds_lost', ol.o_lines),
                'blue', named_struct('has_won', o.o_orderstatus = 'O', 'rounds_won', ol.o_lines,
                                     'rounds_lost', ol.f_lines)) AS teams,
-  coalesce(sl.rounds, {empty_rounds}) AS rounds,
-  coalesce(sl.kills, {empty_kills}) AS kills
+  coalesce(pt.rounds, {empty_rounds}) AS rounds,
+  coalesce(pt.kills, {empty_kills}) AS kills,
+  coalesce(pt.part, 0) AS part, coalesce(pt.part, 0) * {part} AS first_round, coalesce(pt.part, 0) * {part} AS first_kill
 FROM {orders} o
 LEFT JOIN order_lines ol ON o.o_orderkey = ol.ol_order
-LEFT JOIN slices sl ON o.o_orderkey = sl.l_orderkey
-LEFT JOIN players p ON sl.l_orderkey = p.p_order AND sl.line_chunk = p.p_chunk
+LEFT JOIN parts pt ON o.o_orderkey = pt.part_order
+"""
+
+_PLAYER_ROWS_SQL = """
+SELECT l_orderkey, l_suppkey, s_name, s_nationkey,
+  CASE WHEN count_if(l_linestatus = 'F') > 0 THEN 'Red' ELSE 'Blue' END AS team,
+  count(1) AS level, sum(CAST(l_quantity AS BIGINT)) AS damage_made,
+  sum(CAST(l_linenumber AS BIGINT)) AS damage_received, CAST(min(l_linenumber) AS BIGINT) AS currenttier,
+  CASE WHEN count_if(l_returnflag = 'R') > 0 THEN 'striker'
+       WHEN count_if(l_returnflag = 'A') > 0 THEN 'support' ELSE 'scout' END AS character,
+  sum(CASE WHEN l_returnflag = 'A' THEN CAST(l_quantity AS BIGINT) ELSE 0L END) AS headshots,
+  sum(CASE WHEN l_returnflag = 'N' THEN CAST(l_quantity AS BIGINT) ELSE 0L END) AS bodyshots,
+  sum(CASE WHEN l_returnflag = 'R' THEN CAST(l_quantity AS BIGINT) ELSE 0L END) AS legshots,
+  max(l_discount) AS max_discount, min(l_tax) AS min_tax,
+  count_if(l_linestatus = 'O') AS c_cast, CAST(max(l_linenumber) AS BIGINT) AS x_cast,
+  min(l_partkey) AS min_part, max(l_partkey) AS max_part
+FROM {lineitem} l LEFT JOIN {supplier} s ON l.l_suppkey = s.s_suppkey
+GROUP BY l_orderkey, l_suppkey, s_name, s_nationkey
 """
 
 
 def match_docs(T: Tables) -> DataFrame:
-    """Match documents in the reference's shape, one per order.
+    """Match documents in the reference's shape, from orders.
 
     metadata <- the order (UUID-shaped match id); players <- suppliers of
     its lines (aggregated per order and supplier); rounds and kills <- its
-    lines, in line order.  Return flag R lines carry a plant (with one
-    location), A lines a defuse; lines of 10 or more units carry one damage
-    event; O lines one assistant.  A document is one (order, line chunk)
-    slice, so it is bounded by LINE_CHUNK lines; orders without lines get
-    empty players / rounds / kills.
+    lines, in line order.  Return flag R lines carry a plant (with two
+    locations), A lines a defuse (likewise); lines of 10 or more units carry
+    two damage events; O lines one assistant.  A match with more than PART
+    lines or players comes in several documents: ``part`` counts them,
+    ``first_round`` / ``first_kill`` are the places of its first round and
+    kill, and part 0 stands for the match (metadata, teams).  Orders without lines have empty players /
+    rounds / kills.
     """
     from ..schemas import KILL, PLAYER, ROUND
-    text = _MATCH_DOCS_SQL.replace("{line_chunk}", str(LINE_CHUNK)) \
+    lines = placed(T.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag",
+                                     "l_linestatus", "l_shipdate"),
+                   ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_returnflag", "l_linestatus"],
+                   "match_lines", "line_place")
+    player_rows = placed(T.spark.sql(_PLAYER_ROWS_SQL, lineitem=T.lineitem, supplier=T.supplier),
+                         ["l_orderkey"], ["l_suppkey"], "match_players", "player_place")
+    text = _MATCH_DOCS_SQL.replace("{part}", str(PART)) \
         .replace("{empty_damage}", _empty("struct<receiver_puuid: string, damage: bigint>")) \
         .replace("{empty_kill_events}", _empty("struct<kill_time_in_round: bigint>")) \
         .replace("{empty_assistants}", _empty("struct<assistant_puuid: string>")) \
@@ -225,5 +276,4 @@ def match_docs(T: Tables) -> DataFrame:
         .replace("{empty_kills}", _empty(KILL)) \
         .replace("{match_id}", match_id_sql("o.o_orderkey")) \
         .replace("{game_start}", _ts_epoch_sql("o.o_orderdate"))
-    from ..session import spread
-    return T.spark.sql(text, lineitem=spread(T.lineitem), supplier=T.supplier, orders=T.orders)
+    return T.spark.sql(text, lineitem=lines, supplier=T.supplier, orders=T.orders, player_rows=player_rows)

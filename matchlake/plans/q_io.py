@@ -6,13 +6,16 @@ back with Spark and returns it, so the check covers the written data.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 
 from ..functions.time import ISO_SECONDS, format_ts, shift_hours
-from ..operators import Check, check_castable, check_not_null, check_report, check_unique, enforce
-from ..operators.relational import dedupe, only_new
+from ..operators import Check, check_castable, check_not_null, check_report, check_unique, enforce, read_contract
+from ..operators.relational import only_new
+from ..schemas import API_ERROR_LOG, MATCH_IN_STORAGE
 from ..session import scratch_path
-from ..sources import append, error_log, land_json, overwrite_partitions, replace, snapshot
+from ..sources import append, as_view, error_log, land_json, overwrite_partitions, replace, snapshot
 from ..streaming import dedupe_within_watermark, file_stream, run_available
 from .derived import order_lines
 from .q_core import LOADED_BEFORE
@@ -21,7 +24,6 @@ from .registry import Tables, register
 # Fixed values of the bindings.
 RUN_TIMES = ("2024-02-01T00:00:00", "2024-02-02T00:00:00")
 RELOAD_YEAR = 1995
-WATERMARK_DELAY = "40 days"
 
 # Contract applied to the text form of ``events`` (``props`` is JSON text
 # under "int", so every value is rejected).
@@ -54,6 +56,13 @@ def sink_replace(spark, d):
     return spark.read.parquet(path)
 
 
+@register("sink_view", "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus <> 'P'")
+def sink_view(spark, d):
+    o = Tables(spark, d).orders.select("o_orderkey", "o_orderstatus")
+    as_view(o, "matchlake_settled_orders")
+    return as_view(o.filter(F.col("o_orderstatus") != "P"), "matchlake_settled_orders")
+
+
 @register("land_json", "SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderdate FROM orders")
 def land_json_q(spark, d):
     path = scratch_path(spark, "land_json")
@@ -87,9 +96,9 @@ def snapshot_append(spark, d):
     l = Tables(spark, d).lineitem
     first = l.filter(F.col("l_linestatus") == "F").select(F.col("l_orderkey").cast("string").alias("matchid"))
     second = l.select(F.col("l_orderkey").cast("string").alias("matchid"))
-    append(snapshot(first.distinct(), RUN_TIMES[0]), path)
-    append(snapshot(second.distinct(), RUN_TIMES[1]), path)
-    return spark.read.parquet(path)
+    append(snapshot(first.distinct(), RUN_TIMES[0]), path, schema=MATCH_IN_STORAGE)
+    append(snapshot(second.distinct(), RUN_TIMES[1]), path, schema=MATCH_IN_STORAGE)
+    return spark.read.schema(MATCH_IN_STORAGE).parquet(path)
 
 
 @register("api_errors", """
@@ -105,7 +114,9 @@ def api_errors(spark, d):
                      F.col("user_id").cast("string").alias("name"), F.col("event_type").alias("tag"),
                      F.lit("matches").alias("endpoint"),
                      F.when(F.col("event_type") == "error", 500).otherwise(200).alias("status"))
-    return error_log(calls, F.col("run_time"))
+    path = scratch_path(spark, "api_errors")
+    append(error_log(calls, F.col("run_time")), path, schema=API_ERROR_LOG)
+    return spark.read.schema(API_ERROR_LOG).parquet(path)
 
 
 @register("incremental_batch", f"""
@@ -117,11 +128,13 @@ SELECT matchid, fetched_by FROM (
 WHERE rn = 1""")
 def incremental_batch(spark, d):
     """Documents fetched this run (one per line: the supplier fetched the
-    order): drop those already stored, keep the first copy of each."""
+    order): the first copy of each, less those already stored.  Copies are
+    reduced map-side before anything is joined."""
     T = Tables(spark, d)
     fetched = T.lineitem.select(F.col("l_orderkey").alias("matchid"), F.col("l_suppkey").alias("fetched_by"))
     stored = T.orders.filter(F.col("o_orderdate") < F.lit(LOADED_BEFORE).cast("timestamp_ntz"))
-    return dedupe(only_new(fetched, stored, "matchid", "o_orderkey"), ["matchid"], ["fetched_by"])
+    first = fetched.groupBy("matchid").agg(F.min(F.struct(F.col("fetched_by").isNotNull(), "fetched_by"))["fetched_by"].alias("fetched_by"))
+    return only_new(first, stored, "matchid", "o_orderkey")
 
 
 @register("stream_new_files", "SELECT event_id, user_id, event_type FROM events")
@@ -142,9 +155,13 @@ def stream_new_files(spark, d):
 @register("stream_dedupe", "SELECT DISTINCT user_id FROM events")
 def stream_dedupe(spark, d):
     base = scratch_path(spark, "stream_dedupe")
-    Tables(spark, d).events.select("event_id", "ts", "user_id").write.parquet(f"{base}/landing")
+    events = Tables(spark, d).events.select("event_id", "ts", "user_id")
+    events.write.parquet(f"{base}/landing")
+    # once per user over all of the input: the delay is its whole span of time
+    seconds = F.unix_seconds(F.max(F.col("ts").cast("timestamp"))) - F.unix_seconds(F.min(F.col("ts").cast("timestamp")))
+    delay = f"{(events.agg(seconds).first()[0] or 0) + 1} seconds"
     stream = file_stream(spark, f"{base}/landing", "event_id bigint, ts timestamp_ntz, user_id bigint")
-    run_available(dedupe_within_watermark(stream, ["user_id"], "ts", WATERMARK_DELAY),
+    run_available(dedupe_within_watermark(stream, ["user_id"], "ts", delay),
                   f"{base}/sink", f"{base}/checkpoint")
     return spark.read.parquet(f"{base}/sink").select("user_id")
 
@@ -154,7 +171,10 @@ SELECT event_id, user_id, value, CAST(NULL AS BIGINT) AS props, event_type,
        event_type = 'error' AS is_error
 FROM events""")
 def enforce_schema(spark, d):
-    return enforce(_events_as_text(Tables(spark, d)), EVENT_CONTRACT)
+    """The contract is written as JSON and read from there, as a load would find it."""
+    path = scratch_path(spark, "contract")
+    spark.createDataFrame([(json.dumps(EVENT_CONTRACT),)], "value string").coalesce(1).write.text(path)
+    return enforce(_events_as_text(Tables(spark, d)), read_contract(spark, path))
 
 
 @register("check_castable", """

@@ -8,22 +8,21 @@ from ..operators import (explode_child, explode_positional, flatten_shallow, fla
                          vertical_split)
 from ..session import scratch_path
 from ..sources import explode_envelope, map_to_rows, maps_callouts, read_documents
-from .documents import ORDER_CHUNK, TURN_CHUNK, conversation_docs, customer_docs, envelope_docs, maps_docs
+from .documents import conversation_docs, customer_docs, envelope_docs, maps_docs
 from .registry import Tables, register
 
-CONVERSATION_DOC = "conv_id bigint, chunk bigint, turns array<struct<turn: bigint, role: string, text: string>>"
+CONVERSATION_DOC = "conv_id bigint, first bigint, turns array<struct<turn: bigint, role: string, text: string>>"
 
 
-@register("scan_nested", f"""
-SELECT conv_id, turn // {TURN_CHUNK} AS chunk, COUNT(*) AS n_turns, MIN(turn) AS first_turn
-FROM conversations GROUP BY conv_id, turn // {TURN_CHUNK}""")
+@register("scan_nested", """
+SELECT conv_id, turn, ROW_NUMBER() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS pos, role, text FROM conversations""")
 def scan_nested(spark, d):
     """Documents written as JSON Lines, read back with an explicit schema."""
     path = scratch_path(spark, "scan_nested")
     conversation_docs(Tables(spark, d)).write.json(path)
     docs = read_documents(spark, path, CONVERSATION_DOC)
-    return docs.select("conv_id", "chunk", F.size("turns").cast("bigint").alias("n_turns"),
-                       F.col("turns")[0]["turn"].alias("first_turn"))
+    out = explode_positional(docs, "turns", pos_name="pos", keep=["conv_id", "first"], alias="t")
+    return out.select("conv_id", "t.turn", (F.col("first") + F.col("pos")).alias("pos"), "t.role", "t.text")
 
 
 @register("flatten_child", "SELECT conv_id, turn, role, text FROM conversations")
@@ -32,14 +31,12 @@ def flatten_child(spark, d):
     return explode_child(docs, "turns", keep=["conv_id"], alias="t", expand=True)
 
 
-@register("flatten_positional", f"""
-SELECT conv_id, turn,
-       ROW_NUMBER() OVER (PARTITION BY conv_id, turn // {TURN_CHUNK} ORDER BY turn) - 1 AS pos
-FROM conversations""")
+@register("flatten_positional", """
+SELECT conv_id, turn, ROW_NUMBER() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS pos FROM conversations""")
 def flatten_positional(spark, d):
     docs = conversation_docs(Tables(spark, d))
-    out = explode_positional(docs, "turns", pos_name="pos", keep=["conv_id"], alias="t")
-    return out.select("conv_id", F.col("t.turn").alias("turn"), F.col("pos").cast("bigint").alias("pos"))
+    out = explode_positional(docs, "turns", pos_name="pos", keep=["conv_id", "first"], alias="t")
+    return out.select("conv_id", F.col("t.turn").alias("turn"), (F.col("first") + F.col("pos")).alias("pos"))
 
 
 @register("flatten_shallow", "SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderdate FROM orders")
@@ -49,11 +46,9 @@ def flatten_shallow_q(spark, d):
     return flatten_shallow(o, "o")
 
 
-_ORDER_POS = f"""
+_ORDER_POS = """
 WITH op AS (
-  SELECT o_custkey, o_orderkey,
-         ROW_NUMBER() OVER (PARTITION BY o_custkey, o_orderkey // {ORDER_CHUNK} ORDER BY o_orderkey) - 1
-           AS order_pos
+  SELECT o_custkey, o_orderkey, ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS order_pos
   FROM orders)"""
 
 
@@ -62,11 +57,10 @@ SELECT op.o_custkey, op.o_orderkey, op.order_pos, l.l_linenumber, l.l_suppkey, l
 FROM op JOIN lineitem l ON op.o_orderkey = l.l_orderkey""")
 def flatten_grandchild(spark, d):
     docs = customer_docs(Tables(spark, d))
-    orders = explode_positional(docs, "orders", pos_name="order_pos", keep=["o_custkey"], alias="o")
+    orders = explode_positional(docs, "orders", pos_name="pos", keep=["o_custkey", "first"], alias="o")
     lines = explode_child(orders, "o.lines", keep=["o_custkey", F.col("o.o_orderkey").alias("o_orderkey"),
-                                                   "order_pos"], alias="l")
-    return lines.select("o_custkey", "o_orderkey", F.col("order_pos").cast("bigint").alias("order_pos"),
-                        "l.l_linenumber", "l.l_suppkey", "l.l_quantity")
+                                                   (F.col("first") + F.col("pos")).alias("order_pos")], alias="l")
+    return lines.select("o_custkey", "o_orderkey", "order_pos", "l.l_linenumber", "l.l_suppkey", "l.l_quantity")
 
 
 @register("flatten_deep", """
@@ -163,31 +157,86 @@ def assets_callouts(spark, d):
     return maps_callouts(maps_docs(Tables(spark, d)), skip_name="EUROPE", digits=1)
 
 
-
-_STAR_COUNTS = """
-WITH o AS (SELECT COUNT(*) AS n FROM orders),
-     p AS (SELECT COUNT(*) AS n FROM (SELECT DISTINCT l_orderkey, l_suppkey FROM lineitem)),
-     l AS (SELECT COUNT(*) AS n, COUNT_IF(l_returnflag = 'R') AS r, COUNT_IF(l_returnflag = 'A') AS a,
-                  COUNT_IF(l_linestatus = 'O') AS o, COUNT_IF(l_quantity >= 10) AS dmg FROM lineitem),
-     c AS (
-       SELECT 'metadata' AS table_name, (SELECT n FROM o) AS n
-       UNION ALL SELECT 'teams', (SELECT n FROM o)
-       UNION ALL SELECT unnest(['player', 'player_ability_casts', 'player_assets', 'player_behavior',
-                                'player_economy', 'player_platform', 'player_session_playtime',
-                                'player_stats']), (SELECT n FROM p)
-       UNION ALL SELECT unnest(['round', 'round_plant_events', 'round_defuse_events', 'round_player_stats',
-                                'kills', 'player_locations_on_kill']), (SELECT n FROM l)
-       UNION ALL SELECT 'player_locations_on_plant', (SELECT r FROM l)
-       UNION ALL SELECT 'player_locations_on_defuse', (SELECT a FROM l)
-       UNION ALL SELECT 'assistants', (SELECT o FROM l)
-       UNION ALL SELECT 'round_player_damage_events', (SELECT dmg FROM l))
-SELECT table_name, CAST(n AS BIGINT) AS n_rows, CAST(n AS BIGINT) AS n_keys FROM c"""
-
-
-@register("star_from_documents", _STAR_COUNTS)
+def _uuid5_duck(name: str) -> str:
+    """DuckDB's form of the keys (name space OID), the digest bound once."""
+    return (f"list_transform([sha1(from_hex('6ba7b8129dad11d180b400c04fd430c8') || encode({name}))], "
+            "lambda h: substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) || '-' || "
+            "translate(substr(h, 17, 1), '0123456789abcdef', '89ab89ab89ab89ab') || substr(h, 18, 3) || '-' || substr(h, 21, 12))[1]")
+
+
+# What each star table holds: the relation its rows come from (of the CTEs below) and its columns, in order.
+_STAR_ROWS = [
+    ("metadata", "o", "mid, o_orderpriority, CAST(epoch(o_orderdate) AS BIGINT), COALESCE(n_lines, 0)"),
+    ("teams", "o", "o_orderstatus = 'F', f_lines, o_lines, o_orderstatus = 'O', o_lines, f_lines, mid"),
+    ("player", "p", "sid, s_name, s_nationkey, team, level, tier, role, made, received, mid"),
+    ("player_ability_casts", "p", "o_lines, last_line, mid, sid"),
+    ("player_assets", "p", "'P' || min_part, 'P' || max_part, mid, sid"),
+    ("player_behavior", "p", "CAST(trunc(max_discount) AS BIGINT), CAST(trunc(min_tax) AS BIGINT), level, made, mid, sid"),
+    ("player_economy", "p", "made, mid, sid"),
+    ("player_platform", "p", "'PC', team, mid, sid"),
+    ("player_session_playtime", "p", "received * 1000, mid, sid"),
+    ("player_stats", "p", "made, qty_n, qty_a, qty_r, mid, sid"),
+    ("round", "r", "side, rf, mid, rid, place"),
+    ("round_plant_events", "r LEFT JOIN plants USING (rid)", "ln1000, px, py, who, mid, rid, place"),
+    ("round_defuse_events", "r LEFT JOIN defuses USING (rid)", "ln2000, px, py, who, mid, rid, place"),
+    ("player_locations_on_plant", "r CROSS JOIN both_ends WHERE rf = 'R'", "IF(nth = 0, sid, pid), IF(nth = 0, pk, sk), IF(nth = 0, sk, ln), mid, rid, place, nth"),
+    ("player_locations_on_defuse", "r CROSS JOIN both_ends WHERE rf = 'A'", "IF(nth = 0, sid, pid), IF(nth = 0, pk, sk), IF(nth = 0, sk, ln), mid, rid, place, nth"),
+    ("round_player_stats", "r", "sid, s_name, IF(ls = 'F', qty, 0), IF(ls = 'O', qty, 0), ln, rf, 1, NULL, ln, 0, mid, rid, place"),
+    ("round_player_damage_events", "r CROSS JOIN both_ends WHERE qty >= 10", "IF(nth = 0, pid, sid), IF(nth = 0, qty, ln), sid, mid, rid, place, nth"),
+    ("kills", "r", "place, ln * 100, sid, s_name, side, pid, 'Part#' || pid, mid, rid, kid, place"),
+    ("player_locations_on_kill", "r", "sid, 0, 0, kid, mid, place, 0"),
+    ("assistants", "r WHERE ls = 'O'", "sid, kid, mid, place, 0"),
+]
+
+
+def _star_rows_sql() -> str:
+    def row_text(columns: str) -> str:
+        depth, cut, parts = 0, 0, []
+        for i, c in enumerate(columns + ","):
+            depth += (c == "(") - (c == ")")
+            if c == "," and not depth:
+                parts.append(columns[cut:i].strip())
+                cut = i + 1
+        return "concat_ws('|', " + ", ".join(f"COALESCE(CAST({x} AS VARCHAR), '~')" for x in parts) + ")"
+
+    tables = " UNION ALL ".join(f"SELECT '{name}' AS table_name, {row_text(columns)} AS t FROM {relation}" for name, relation, columns in _STAR_ROWS)
+    return f"""
+WITH per_order AS (
+  SELECT l_orderkey, COUNT(*) AS n_lines, COUNT_IF(l_linestatus = 'F') AS f_lines, COUNT_IF(l_linestatus = 'O') AS o_lines
+  FROM lineitem GROUP BY l_orderkey),
+o AS (
+  SELECT *, {_uuid5_duck("'order-' || CAST(o_orderkey AS VARCHAR)")} AS mid
+  FROM orders LEFT JOIN per_order ON o_orderkey = l_orderkey),
+l AS (
+  SELECT mid, l_linenumber AS ln, l_partkey AS pk, l_suppkey AS sk, CAST(l_partkey AS VARCHAR) AS pid,
+         CAST(l_suppkey AS VARCHAR) AS sid, CAST(l_quantity AS BIGINT) AS qty, l_returnflag AS rf, l_linestatus AS ls,
+         l_discount, l_tax, s_name, s_nationkey, IF(l_linestatus = 'F', 'Red', 'Blue') AS side,
+         ROW_NUMBER() OVER (PARTITION BY lineitem.l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_shipdate, l_quantity,
+                            l_returnflag, l_linestatus) - 1 AS place
+  FROM lineitem LEFT JOIN supplier ON l_suppkey = s_suppkey JOIN o ON lineitem.l_orderkey = o_orderkey),
+r AS (SELECT *, {_uuid5_duck("mid || place")} AS rid, {_uuid5_duck("mid || place || sid || pid")} AS kid FROM l),
+plants AS (SELECT rid, ln * 1000 AS ln1000, pk AS px, sk AS py, sid AS who FROM r WHERE rf = 'R'),
+defuses AS (SELECT rid, ln * 2000 AS ln2000, pk AS px, sk AS py, sid AS who FROM r WHERE rf = 'A'),
+both_ends AS (SELECT unnest([0, 1]) AS nth),
+p AS (
+  SELECT mid, sid, s_name, s_nationkey, IF(COUNT_IF(ls = 'F') > 0, 'Red', 'Blue') AS team, COUNT(*) AS level, MIN(ln) AS tier,
+         CASE WHEN COUNT_IF(rf = 'R') > 0 THEN 'striker' WHEN COUNT_IF(rf = 'A') > 0 THEN 'support' ELSE 'scout' END AS role,
+         CAST(SUM(qty) AS BIGINT) AS made, CAST(SUM(ln) AS BIGINT) AS received, COUNT_IF(ls = 'O') AS o_lines, MAX(ln) AS last_line,
+         MIN(pk) AS min_part, MAX(pk) AS max_part, MAX(l_discount) AS max_discount, MIN(l_tax) AS min_tax,
+         COALESCE(SUM(qty) FILTER (WHERE rf = 'A'), 0) AS qty_a, COALESCE(SUM(qty) FILTER (WHERE rf = 'N'), 0) AS qty_n,
+         COALESCE(SUM(qty) FILTER (WHERE rf = 'R'), 0) AS qty_r
+  FROM l GROUP BY mid, sid, s_name, s_nationkey),
+rows_of AS ({tables})
+SELECT table_name, COUNT(*) AS n_rows, COUNT(*) AS n_keys,
+       CAST(SUM(CAST('0x' || substr(md5(t), 1, 8) AS BIGINT)) AS BIGINT) AS content
+FROM rows_of GROUP BY table_name"""
+
+
+@register("star_from_documents", _star_rows_sql())
 def star_from_documents(spark, d):
-    """Match documents (one per order) loaded into the 20-table star by the
-    incremental loader, then per table: rows and distinct key values."""
+    """Match documents made from orders, loaded into the 20-table star by the
+    incremental loader, then per table: rows, distinct keys, and an
+    order-free sum over a digest of every row's columns."""
     from functools import reduce
 
     from ..operators import count_distinct
@@ -196,9 +245,11 @@ def star_from_documents(spark, d):
     from .star import TABLE_KEYS
 
     warehouse = scratch_path(spark, "warehouse")
-    load_documents(spark, match_docs(Tables(spark, d)), warehouse, dedupe=False)  # one per order
-    star = read_star(spark, warehouse)
-    parts = [df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_rows"),
-                    count_distinct(*TABLE_KEYS[name]).alias("n_keys"))
-             for name, df in star.items()]
+    load_documents(spark, match_docs(Tables(spark, d)), warehouse)
+    parts = []
+    for name, df in read_star(spark, warehouse).items():
+        text = F.concat_ws("|", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("~")) for c in df.columns])
+        digest = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+        parts.append(df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_rows"),
+                            count_distinct(*TABLE_KEYS[name]).alias("n_keys"), F.sum(digest).alias("content")))
     return reduce(lambda a, b: a.unionByName(b), parts)

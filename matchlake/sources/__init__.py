@@ -1,10 +1,11 @@
 """Sources (readers) and sinks (writers)."""
 
-from .readers import (explode_envelope, ids_from_paths, list_stored_ids, map_to_rows, maps_callouts,
-                      read_documents)
-from .sinks import append, error_log, land_json, overwrite_partitions, replace, snapshot
+from .readers import (CORRUPT, explode_envelope, ids_from_paths, list_stored_ids, map_to_rows, maps_callouts,
+                      read_documents, unknown_fields)
+from .sinks import append, as_view, error_log, land_json, overwrite_partitions, replace, snapshot
 
 __all__ = [
-    "explode_envelope", "ids_from_paths", "list_stored_ids", "map_to_rows", "maps_callouts",
-    "read_documents", "append", "error_log", "land_json", "overwrite_partitions", "replace", "snapshot",
+    "CORRUPT", "explode_envelope", "ids_from_paths", "list_stored_ids", "map_to_rows", "maps_callouts",
+    "read_documents", "unknown_fields", "append", "as_view", "error_log", "land_json", "overwrite_partitions",
+    "replace", "snapshot",
 ]

@@ -10,6 +10,34 @@ from ..operators.nested import explode_child, flatten_struct
 from ..schemas import MATCH
 
 
+# The raw text of a document that does not parse; null for all others.
+CORRUPT = "_corrupt_record"
+
+
+def _parse_whole(files: DataFrame, schema: str) -> DataFrame:
+    """One document per file; a file that holds several (JSON Lines) is malformed, not cut to its first."""
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    # whole documents on lines of their own; what is nested in a pretty-printed one is indented
+    lines = F.filter(F.split("value", "\n"), lambda x: x.startswith("{") & F.rtrim(x).endswith("}") & F.get_json_object(x, "$").isNotNull())
+    parsed = files.select("value", (F.size(lines) > 1).alias("_several"), *[c for c in files.columns if c != "value"],
+                          F.from_json("value", f"{schema}, {CORRUPT} string", options).alias("d"))
+    names = [f.name for f in parsed.schema["d"].dataType if f.name != CORRUPT]
+    bad = F.col("_several") | F.col(f"d.{CORRUPT}").isNotNull()
+    return parsed.select(*[F.when(~bad, F.col(f"d.`{n}`")).alias(n) for n in names], F.when(bad, F.col("value")).alias(CORRUPT),
+                         *[c for c in files.columns if c != "value"])
+
+
+def documents_from(reader, path, schema: str = MATCH, multi_line: bool = False, with_path: bool = False) -> DataFrame:
+    """``read_documents`` over a ``spark.read`` or ``spark.readStream`` reader."""
+    source = F.col("_metadata.file_path").alias("source_path")
+    if multi_line:
+        files = reader.text(path, wholetext=True).select("value", *([source] if with_path else []))
+        return _parse_whole(files, schema)
+    df = reader.schema(f"{schema}, {CORRUPT} string").option("mode", "PERMISSIVE") \
+        .option("columnNameOfCorruptRecord", CORRUPT).json(path)
+    return df.withColumn("source_path", F.col("_metadata.file_path")) if with_path else df
+
+
 def read_documents(spark: SparkSession, path: str | list[str], schema: str = MATCH,
                    multi_line: bool = False, with_path: bool = False) -> DataFrame:
     """One row per JSON document, parsed with an explicit schema.
@@ -17,15 +45,17 @@ def read_documents(spark: SparkSession, path: str | list[str], schema: str = MAT
     ``multi_line=True`` reads one (pretty-printed) document per file --
     such files cannot be split, so each is one task; JSON Lines
     (``multi_line=False``) splits into ``maxPartitionBytes`` chunks.
-    ``with_path`` adds ``source_path`` from the file metadata.
+    ``with_path`` adds ``source_path`` from the file metadata.  A document
+    that does not parse keeps its text in ``_corrupt_record``.
     """
-    reader = spark.read.schema(schema).option("mode", "PERMISSIVE")
-    if multi_line:
-        reader = reader.option("multiLine", True)
-    df = reader.json(path)
-    if with_path:
-        df = df.withColumn("source_path", F.col("_metadata.file_path"))
-    return df
+    return documents_from(spark.read, path, schema, multi_line, with_path)
+
+
+def unknown_fields(spark: SparkSession, path: str, schema: str = MATCH) -> DataFrame:
+    """(field, n_documents): top-level fields of JSON Lines documents that ``schema`` does not name, and so drops."""
+    known = [f.name for f in spark.createDataFrame([], schema).schema]
+    keys = spark.read.text(path).select(F.explode(F.json_object_keys("value")).alias("field"))
+    return keys.filter(~F.col("field").isin(known)).groupBy("field").agg(F.count(F.lit(1)).alias("n_documents"))
 
 
 def ids_from_paths(df: DataFrame, path_col: str = "source_path", id_col: str = "matchid") -> DataFrame:

@@ -20,8 +20,14 @@ def _is_path(target: str) -> bool:
     return "/" in target or ":" in target
 
 
-def append(df: DataFrame, target: str, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> None:
-    w = df.write.mode("append").format(fmt)
+def _with_schema(df: DataFrame, schema: str | None) -> DataFrame:
+    """``df`` in the columns, order and types of a DDL ``schema``; a missing or uncastable column is an error."""
+    return df if schema is None else df.to(df.sparkSession.createDataFrame([], schema).schema)
+
+
+def append(df: DataFrame, target: str, fmt: str = "parquet", partition_by: Sequence[str] = (), schema: str | None = None) -> None:
+    """Append rows, in an explicit ``schema`` where one is given."""
+    w = _with_schema(df, schema).write.mode("append").format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(target) if _is_path(target) else w.saveAsTable(target)
@@ -33,6 +39,12 @@ def replace(df: DataFrame, target: str, fmt: str = "parquet") -> None:
     w.save(target) if _is_path(target) else w.saveAsTable(target)
 
 
+def as_view(df: DataFrame, name: str) -> DataFrame:
+    """Publish ``df`` as a session view (created or replaced), and return it by that name."""
+    df.createOrReplaceTempView(name)
+    return df.sparkSession.table(name)
+
+
 def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str], fmt: str = "parquet") -> None:
     """Re-run-safe load: rewrite only the partitions present in ``df``.
 

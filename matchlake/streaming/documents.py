@@ -12,34 +12,33 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..schemas import MATCH
+from ..sources.readers import documents_from
+from .files import finish
 
 
-def document_stream(spark: SparkSession, landing: str, schema: str = MATCH, multi_line: bool = True,
+def document_stream(spark: SparkSession, landing: str, schema: str = MATCH, multi_line: bool = False,
                     max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(schema).option("multiLine", multi_line)
+    reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.json(landing).withColumn("source_path", F.col("_metadata.file_path"))
+    return documents_from(reader, landing, schema, multi_line, with_path=True)
 
 
 def stream_documents(spark: SparkSession, landing: str, warehouse: str, checkpoint: str,
                      contract: Mapping[str, Mapping] | None = None, ignore: Sequence[str] = (),
-                     multi_line: bool = True, max_files_per_trigger: int | None = None,
-                     timeout_s: int = 1800) -> None:
-    """Load every document landed since the last run, then stop (availableNow)."""
+                     multi_line: bool = False, max_files_per_trigger: int | None = None,
+                     schema: str = MATCH, timeout_s: int | None = None) -> None:
+    """Load every document landed since the last run, then stop (availableNow).
+
+    Runs to the end unless a ``timeout_s`` is given.
+    """
     from ..plans.load import load_documents
 
     def load_batch(batch: DataFrame, epoch_id: int) -> None:
         load_documents(batch.sparkSession, batch, warehouse, contract, ignore)
 
-    query = (document_stream(spark, landing, multi_line=multi_line, max_files_per_trigger=max_files_per_trigger)
-             .writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint)
-             .trigger(availableNow=True).start())
-    if not query.awaitTermination(timeout_s):
-        query.stop()
-        raise TimeoutError(f"document stream from {landing} did not finish in {timeout_s}s")
-    if query.exception():
-        raise query.exception()
+    stream = document_stream(spark, landing, schema, multi_line, max_files_per_trigger)
+    finish(stream.writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint)
+           .trigger(availableNow=True).start(), f"document stream from {landing}", timeout_s)

@@ -1,14 +1,12 @@
 """File-stream forms of the incremental loads.
 
-``new_files`` processes only files not seen by an earlier run (the stream
+A run processes only files not seen by an earlier run (the stream
 checkpoint remembers them); ``dedupe_within_watermark`` keeps the first
 row per id among rows that arrive within the watermark delay.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,23 +19,22 @@ def file_stream(spark: SparkSession, path: str, schema: str, fmt: str = "parquet
     return reader.load(path)
 
 
-def run_available(stream: DataFrame, sink_path: str, checkpoint: str, fmt: str = "parquet",
-                  timeout_s: int = 600) -> None:
-    """Process everything available now, then stop (exactly-once file sink)."""
-    query = (stream.writeStream.format(fmt).option("checkpointLocation", checkpoint)
-             .outputMode("append").trigger(availableNow=True).start(sink_path))
-    if not query.awaitTermination(timeout_s):
+def finish(query, what: str, timeout_s: int | None = None) -> None:
+    """Wait to the end; with ``timeout_s``, stop and raise after that."""
+    if timeout_s is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout_s):
         query.stop()
-        raise TimeoutError(f"stream to {sink_path} did not finish in {timeout_s}s")
+        raise TimeoutError(f"{what} did not finish in {timeout_s}s")
     if query.exception():
         raise query.exception()
 
 
-def new_files(spark: SparkSession, source: str, schema: str, sink_path: str, checkpoint: str,
-              transform: Callable[[DataFrame], DataFrame] | None = None, fmt: str = "parquet") -> None:
-    """Load files that arrived since the last run into ``sink_path``."""
-    stream = file_stream(spark, source, schema, fmt)
-    run_available(transform(stream) if transform else stream, sink_path, checkpoint)
+def run_available(stream: DataFrame, sink_path: str, checkpoint: str, fmt: str = "parquet",
+                  timeout_s: int | None = None) -> None:
+    """Process everything available now, then stop (exactly-once file sink)."""
+    finish(stream.writeStream.format(fmt).option("checkpointLocation", checkpoint)
+           .outputMode("append").trigger(availableNow=True).start(sink_path), f"stream to {sink_path}", timeout_s)
 
 
 def dedupe_within_watermark(stream: DataFrame, keys: list[str], event_time: str, delay: str) -> DataFrame:

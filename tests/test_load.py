@@ -94,3 +94,92 @@ def test_bucketed_catalog_load_and_colocated_join(spark, docs):
 def test_ids_from_document_paths(docs):
     from matchlake.sources import ids_from_paths
     assert rows(ids_from_paths(docs)) == [(M1,), (M2,), (M3,)]
+
+
+def _doc(mid, kills=1, extra=""):
+    return ('{"metadata": {"matchid": "%s"}, "kills": [%s]%s}' % (
+        mid, ", ".join('{"round": 0, "killer_puuid": "k%d", "victim_puuid": "v"}' % i for i in range(kills)), extra))
+
+
+def _land(spark, folder, *lines):
+    spark.createDataFrame([("\n".join(lines),)], "value string").coalesce(1).write.mode("append").text(folder)
+
+
+def test_copies_in_one_file_are_loaded_once(spark):
+    land, wh = scratch_path(spark, "land"), scratch_path(spark, "wh")
+    _land(spark, land, _doc("m1"), _doc("m1"), _doc("m2"), _doc("m1", kills=3))
+    load_documents(spark, read_documents(spark, land, with_path=True), wh)
+    star = read_star(spark, wh)
+    assert rows(star["metadata"], "matchid") == [("m1",), ("m2",)]
+    assert star["kills"].count() in (2, 4)                    # of m1 one whole document, whichever is first
+
+
+def test_crash_then_new_file(spark):
+    """A dead run's rows are never seen, also when the next run loads another set of documents."""
+    land, wh = scratch_path(spark, "land"), scratch_path(spark, "wh")
+    _land(spark, land, _doc("m1", kills=2))
+    load_documents(spark, read_documents(spark, land, with_path=True), wh, tables=[t for t in TABLES if t != "metadata"])
+    assert _counts(spark, wh).get("kills") == 0
+    _land(spark, land, _doc("m2"))
+    load_documents(spark, read_documents(spark, land, with_path=True), wh)
+    counts = _counts(spark, wh)
+    assert (counts["metadata"], counts["kills"]) == (2, 3)
+
+
+def test_malformed_documents_are_rejected(spark):
+    from matchlake.plans.load import read_rejects
+    land, wh = scratch_path(spark, "land"), scratch_path(spark, "wh")
+    _land(spark, land, _doc("m1"), _doc("m2")[:-3], '{"kills": []}')
+    for _ in range(2):
+        load_documents(spark, read_documents(spark, land, with_path=True), wh)
+    assert _counts(spark, wh)["metadata"] == 1
+    rejects = read_rejects(spark, wh)
+    assert {r["reason"] for r in rejects.collect()} == {"malformed", "no matchid"}
+    assert {r["raw"] for r in rejects.collect()} == {_doc("m2")[:-3], None}
+
+
+def test_json_lines_read_as_whole_files_are_rejected(spark):
+    land = scratch_path(spark, "land")
+    _land(spark, land, _doc("m1"), _doc("m2"))
+    got = read_documents(spark, land, multi_line=True).collect()
+    assert [r["metadata"] for r in got] == [None] and got[0]["_corrupt_record"].count("matchid") == 2
+
+
+def test_later_batches_may_have_more_columns(spark):
+    from matchlake.schemas import MATCH
+    land, wh = scratch_path(spark, "land"), scratch_path(spark, "wh")
+    _land(spark, f"{land}/1", _doc("m1"))
+    load_documents(spark, read_documents(spark, f"{land}/1"), wh)
+    wider = MATCH.replace("metadata struct<", "metadata struct<season: string, ")
+    _land(spark, f"{land}/2", _doc("m2").replace('"matchid"', '"season": "s1", "matchid"'))
+    load_documents(spark, read_documents(spark, f"{land}/2", wider), wh)
+    assert rows(read_star(spark, wh)["metadata"], "matchid", "season") == sorted([("m1", None), ("m2", "s1")], key=repr)
+
+
+def test_unknown_fields_are_counted(spark):
+    from matchlake.sources import unknown_fields
+    land = scratch_path(spark, "land")
+    _land(spark, land, _doc("m1", extra=', "odd": 1'), _doc("m2"))
+    assert rows(unknown_fields(spark, land)) == [("odd", 1)]
+
+
+def test_order_with_very_many_lines(spark):
+    """130 lines more in one order: its match is still one, and its rounds are numbered on."""
+    from matchlake.plans.documents import match_docs
+    from matchlake.plans.registry import Tables
+    T = Tables(spark, "/root/testdata/sf0.001")
+    lines = T.lineitem
+    one = lines.select("l_orderkey").first()[0]
+    more = lines.filter(F.col("l_orderkey") == one).limit(1).drop("l_linenumber").crossJoin(
+        spark.range(1, 131).selectExpr("id AS l_linenumber")).select(*lines.columns)
+    T._cache["lineitem"] = lines.unionByName(more.withColumn("l_linenumber", F.col("l_linenumber").cast(lines.schema["l_linenumber"].dataType)))
+    n = lines.filter(F.col("l_orderkey") == one).count() + 130
+    wh = scratch_path(spark, "wh")
+    load_documents(spark, match_docs(T), wh)
+    star = read_star(spark, wh)
+    assert star["metadata"].count() == T.orders.count() == star["teams"].count()
+    assert star["round"].select("round_id").distinct().count() == star["round"].count() == T.lineitem.count()
+    mid = star["round"].groupBy("matchid").count().orderBy(F.desc("count")).first()
+    assert mid["count"] == n
+    assert [r["round"] for r in star["round"].filter(F.col("matchid") == mid["matchid"]).orderBy("round").collect()] == list(range(n))
+    assert star["player"].groupBy("matchid", "puuid").count().filter("count > 1").count() == 0

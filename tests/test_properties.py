@@ -10,8 +10,8 @@ from matchlake.plans.registry import Tables
 
 def test_flatten_then_renest_is_identity(spark):
     docs = conversation_docs(Tables(spark, "/root/testdata/sf0.001"))
-    flat = explode_child(docs, "turns", keep=["conv_id", "chunk"], alias="t", expand=True)
-    renested = flat.groupBy("conv_id", "chunk").agg(
+    flat = explode_child(docs, "turns", keep=["conv_id", "first"], alias="t", expand=True)
+    renested = flat.groupBy("conv_id", "first").agg(
         F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
     assert docs.exceptAll(renested).count() == 0 and renested.exceptAll(docs).count() == 0
 

@@ -47,12 +47,12 @@ def test_stream_documents_into_star(spark):
     os.makedirs(landing)
     src = os.path.join(FIXTURES, "matches")
     shutil.copy(os.path.join(src, f"{M1}.json"), landing)
-    stream_documents(spark, landing, f"{base}/wh", f"{base}/ck")
+    stream_documents(spark, landing, f"{base}/wh", f"{base}/ck", multi_line=True)
     assert rows(read_star(spark, f"{base}/wh")["metadata"], "matchid") == [(M1,)]
     for m in (M2, M3):
         shutil.copy(os.path.join(src, f"{m}.json"), landing)
-    stream_documents(spark, landing, f"{base}/wh", f"{base}/ck")
-    stream_documents(spark, landing, f"{base}/wh", f"{base}/ck")          # nothing new
+    stream_documents(spark, landing, f"{base}/wh", f"{base}/ck", multi_line=True)
+    stream_documents(spark, landing, f"{base}/wh", f"{base}/ck", multi_line=True)          # nothing new
     star = read_star(spark, f"{base}/wh")
     assert rows(star["metadata"], "matchid") == [(M1,), (M2,), (M3,)]
     assert star["kills"].count() == 8 and star["player"].count() == 9

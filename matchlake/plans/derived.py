@@ -87,17 +87,13 @@ def line_players(T: Tables) -> DataFrame:
         F.concat(F.lit("P"), F.max("l_partkey").cast("string")).alias("agent_killfeed"))
 
 
-def order_metadata(T: Tables, lines: DataFrame) -> DataFrame:
-    o = T.orders.select(F.col("o_orderkey").alias("matchid"), "o_orderpriority", "o_orderdate")
-    return o.join(lines, "matchid", "left").select(
+def order_matches(T: Tables) -> DataFrame:
+    """One row per order: its facts and its sides' outcomes."""
+    o = T.orders.select(F.col("o_orderkey").alias("matchid"), "o_orderpriority", "o_orderdate", "o_orderstatus")
+    return o.join(order_lines(T), "matchid", "left").select(
         "matchid", F.col("o_orderpriority").alias("map"), ts_to_epoch("o_orderdate").alias("game_start"),
-        F.coalesce(F.col("n_lines"), F.lit(0)).cast("bigint").alias("rounds_played"))
-
-
-def order_teams(T: Tables, lines: DataFrame) -> DataFrame:
-    o = T.orders.select(F.col("o_orderkey").alias("matchid"), "o_orderstatus")
-    return o.join(lines, "matchid", "left").select(
-        "matchid", (F.col("o_orderstatus") == "F").alias("red_has_won"),
+        F.coalesce(F.col("n_lines"), F.lit(0)).cast("bigint").alias("rounds_played"),
+        (F.col("o_orderstatus") == "F").alias("red_has_won"),
         F.col("f_lines").alias("red_rounds_won"), F.col("o_lines").alias("red_rounds_lost"),
         (F.col("o_orderstatus") == "O").alias("blue_has_won"),
         F.col("o_lines").alias("blue_rounds_won"), F.col("f_lines").alias("blue_rounds_lost"))

@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 from . import marts
-from .derived import (FULL_TEAM, SQL_ARENA, SQL_ORDER_STAR, SQL_ROSTER_SUPPLIERS, arena, line_players, order_lines,
-                      order_metadata, order_teams, player_names, roster_supplier_keys, roster_suppliers, roster_users,
+from .derived import (FULL_TEAM, SQL_ARENA, SQL_ORDER_STAR, SQL_ROSTER_SUPPLIERS, arena, line_players, order_matches,
+                      player_names, roster_supplier_keys, roster_suppliers, roster_users,
                       round_player_stats)
 from .registry import Tables, register
 
@@ -111,7 +111,7 @@ SELECT DISTINCT * EXCLUDE (puuid) FROM sheet""")
 def mart_consolidated(spark, d):
     T = Tables(spark, d)
     # stored once, as a load would store the star: what the sheet reads more than once
-    facts = materialize(line_players(T), "line_players")
-    roster = materialize(roster_suppliers(T).select(F.col("s_suppkey").alias("puuid"), F.col("s_name").alias("name")), "roster")
-    lines = order_lines(T)
-    return marts.consolidated_sheet(order_metadata(T, lines), order_teams(T, lines), facts, roster=roster, full_team=FULL_TEAM)
+    players = materialize(line_players(T), "line_players")
+    roster = roster_suppliers(T).select(F.col("s_suppkey").alias("puuid"), F.col("s_name").alias("name"))
+    ours = materialize(marts.kept_players(players, roster=roster), "kept_players")
+    return marts.consolidated_sheet(materialize(order_matches(T), "matches"), players, ours, full_team=FULL_TEAM)

@@ -52,7 +52,7 @@ from .common import append_columns, mix64, slices, store
 from .decontaminate import merged
 
 LENGTH, GRAM, BATCHES, GROUP = 200, 48, 4, 32
-FILTER_BITS = 1 << 27      # 16 MB
+FILTER_BITS = 1 << 24      # 2 MB
 STARTS = 1 << 21            # windows that are looked at together
 LOW = np.uint64((1 << 24) - 1)
 

@@ -56,26 +56,27 @@ def rows_of(columns, records):
     return sorted(tuple(_canon(r[i]) for i in order) for r in records), sorted(columns)
 
 
-def compare(spark, sf_dir: str, name: str, con=None) -> dict:
+def compare(spark, sf_dir: str, name: str, con=None, queries=None, oracles=None) -> dict:
     from matchlake.plans import ORACLES, QUERIES
+    queries, oracles = queries or QUERIES, oracles or ORACLES
     con = con or duck(sf_dir)
     t0 = time.time()
-    sdf = QUERIES[name](spark, sf_dir)
+    sdf = queries[name](spark, sf_dir)
     srows = [tuple(r) for r in sdf.collect()]
     t_spark = time.time() - t0
     s_rows, s_cols = rows_of(sdf.columns, srows)
     out = {"name": name, "spark_rows": len(srows), "spark_sec": round(t_spark, 2)}
-    if name not in ORACLES:
+    if name not in oracles:
         out["oracle"] = None
         return out
-    rel = con.sql(ORACLES[name])
+    rel = con.sql(oracles[name])
     dtypes = {c: str(t) for c, t in zip(rel.columns, rel.types)}
     stypes = {c: SPARK2DUCK.get(t, t) for c, t in sdf.dtypes}
     out["types_match"] = stypes == dtypes
     if not out["types_match"]:
         out["type_diff"] = {c: (stypes.get(c), dtypes.get(c)) for c in set(stypes) | set(dtypes)
                             if stypes.get(c) != dtypes.get(c)}
-    res = con.execute(ORACLES[name])
+    res = con.execute(oracles[name])
     dcols = [d[0] for d in res.description]
     drows = res.fetchall()
     d_rows, d_cols = rows_of(dcols, drows)
@@ -106,7 +107,7 @@ def main(argv):
     bad = 0
     for n in names:
         try:
-            r = compare(spark, sf_dir, n, con)
+            r = compare(spark, sf_dir, n, con, entry.queries(), entry.oracle_sql())
         except Exception as e:  # report and continue
             r = {"name": n, "error": f"{type(e).__name__}: {str(e)[:400]}"}
         ok = r.get("values_match") and r.get("cols_match") and r.get("types_match")

@@ -33,7 +33,7 @@ def summary(plan: str) -> str:
 
 
 def main(argv):
-    import __spark_entry__ as entry
+    from matchlake.plans import QUERIES
     from matchlake.session import build_session
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     spark = build_session("local[8]", extra={"spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -42,8 +42,8 @@ def main(argv):
     print("Physical operators per registered query, planned as on large inputs "
           "(no size-based broadcast, no AQE re-plan; generated by `tools/plan_report.py`).\n")
     print("| query | operators |\n| --- | --- |")
-    for name in sorted(entry.queries()):
-        df = entry.queries()[name](spark, sf_dir)
+    for name in sorted(QUERIES):
+        df = QUERIES[name](spark, sf_dir)
         plan = df._jdf.queryExecution().executedPlan().toString()
         print(f"| {name} | {summary(plan)} |")
 

@@ -1,10 +1,7 @@
-import os
-import sys
+"""Fixtures of these tests (not a conftest, whose name the tests above use)."""
 
 import pytest
 
-HERE = os.path.dirname(os.path.abspath(__file__))
-sys.path.insert(0, HERE)
 SF = "/root/testdata/sf0.001"
 
 

@@ -7,7 +7,7 @@ import pyarrow as pa
 import pytest
 import sentencepiece
 from brute import (contamination, dropout_encode, near_duplicates, personal, remove_repeats, simhash, token_rows)
-from conftest import SF
+from llm_fixtures import SF, docs_rows, none, odd  # noqa: F401
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 

@@ -6,7 +6,7 @@ import re
 import numpy as np
 import pytest
 from brute import contamination, near_duplicates, personal
-from conftest import SF
+from llm_fixtures import SF, docs_rows, none, odd  # noqa: F401
 
 import corpus_pipeline
 from matchlake.llm import ann, chat, html_extract, queries
@@ -211,3 +211,16 @@ def test_pipeline_on_odd_rows(spark, odd, none):
             if name != "sentencepiece":
                 assert now.columns == odd.columns
     assert now.count() == 0
+
+
+# -- registration ------------------------------------------------------------
+
+def test_queries_and_oracles(spark):
+    import __spark_entry__ as entry
+    from oracle_compare import compare, duck
+    names = [n for n in entry.queries() if n.startswith("op") or n == "pipeline"]
+    assert len(names) == 11 and [n.split("_")[0] for n in names[:-1]] == [f"op{k}" for k in range(1, 11)]
+    con = duck(SF)
+    for name in set(names) & set(entry.oracle_sql()):
+        r = compare(spark, SF, name, con, entry.queries(), entry.oracle_sql())
+        assert r["cols_match"] and r["values_match"] and r["types_match"], r

@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from ..operators import (explode_child, explode_positional, flatten_shallow, flatten_struct, union_by_name,
                          vertical_split)
-from ..session import scratch_path
+from ..session import materialize, scratch_path
 from ..sources import explode_envelope, map_to_rows, maps_callouts, read_documents
+from .derived import FULL_TEAM, SQL_ROSTER_SUPPLIERS, roster_suppliers
 from .documents import conversation_docs, customer_docs, envelope_docs, maps_docs
 from .registry import Tables, register
 
@@ -201,7 +202,16 @@ def _star_rows_sql() -> str:
 
     tables = " UNION ALL ".join(f"SELECT '{name}' AS table_name, {row_text(columns)} AS t FROM {relation}" for name, relation, columns in _STAR_ROWS)
     return f"""
-WITH per_order AS (
+WITH {SQL_DOCUMENT_STAR},
+rows_of AS ({tables})
+SELECT table_name, COUNT(*) AS n_rows, COUNT(*) AS n_keys,
+       CAST(SUM(CAST('0x' || substr(md5(t), 1, 8) AS BIGINT)) AS BIGINT) AS content
+FROM rows_of GROUP BY table_name"""
+
+
+# The match documents' content by level: o matches, l and r rounds (r with keys), p players.
+SQL_DOCUMENT_STAR = f"""
+per_order AS (
   SELECT l_orderkey, COUNT(*) AS n_lines, COUNT_IF(l_linestatus = 'F') AS f_lines, COUNT_IF(l_linestatus = 'O') AS o_lines
   FROM lineitem GROUP BY l_orderkey),
 o AS (
@@ -225,11 +235,7 @@ p AS (
          MIN(pk) AS min_part, MAX(pk) AS max_part, MAX(l_discount) AS max_discount, MIN(l_tax) AS min_tax,
          COALESCE(SUM(qty) FILTER (WHERE rf = 'A'), 0) AS qty_a, COALESCE(SUM(qty) FILTER (WHERE rf = 'N'), 0) AS qty_n,
          COALESCE(SUM(qty) FILTER (WHERE rf = 'R'), 0) AS qty_r
-  FROM l GROUP BY mid, sid, s_name, s_nationkey),
-rows_of AS ({tables})
-SELECT table_name, COUNT(*) AS n_rows, COUNT(*) AS n_keys,
-       CAST(SUM(CAST('0x' || substr(md5(t), 1, 8) AS BIGINT)) AS BIGINT) AS content
-FROM rows_of GROUP BY table_name"""
+  FROM l GROUP BY mid, sid, s_name, s_nationkey)"""
 
 
 @register("star_from_documents", _star_rows_sql())
@@ -253,3 +259,32 @@ def star_from_documents(spark, d):
         parts.append(df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_rows"),
                             count_distinct(*TABLE_KEYS[name]).alias("n_keys"), F.sum(digest).alias("content")))
     return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+@register("marts_replace", f"""
+WITH {SQL_DOCUMENT_STAR}, {SQL_ROSTER_SUPPLIERS},
+ids AS (SELECT CAST(puuid AS VARCHAR) AS sid FROM roster),
+sides AS (SELECT DISTINCT mid, team FROM p SEMI JOIN ids USING (sid)),
+seen AS (SELECT o_orderpriority AS map, sides.team = l.side AS won FROM o LEFT JOIN sides USING (mid) LEFT JOIN l USING (mid))
+SELECT 'headshots_per_weapon' AS mart, COUNT(DISTINCT (sid, rf)) AS n_rows FROM l SEMI JOIN ids USING (sid)
+UNION ALL SELECT 'first_kill_and_death_ratio', COUNT(DISTINCT sid) FROM p SEMI JOIN ids USING (sid)
+UNION ALL SELECT 'first_kill_impact_round_win', COUNT(*) FROM (SELECT DISTINCT map, won FROM seen)
+UNION ALL SELECT 'first_kill_outcome_split', COUNT(*) FROM (SELECT DISTINCT map, won FROM seen WHERE won IS NOT NULL)
+UNION ALL SELECT 'consolidated_matches_data', COUNT(*) FROM p SEMI JOIN ids USING (sid)""")
+def marts_replace(spark, d):
+    """Every mart built from one star made of match documents, and replaced twice; rows of each as read back."""
+    from functools import reduce
+
+    from .analytical import build_marts, write_marts
+    from .documents import match_docs
+    from .star import build_star, with_keys
+
+    T = Tables(spark, d)
+    star = build_star(materialize(with_keys(match_docs(T)), "documents"), keyed=True)
+    who = materialize(roster_suppliers(T).select(F.col("s_suppkey").cast("string").alias("puuid"), F.col("s_name").alias("name")), "roster")
+    built = build_marts(star, who.select("puuid"), who.select("name"), full_team=FULL_TEAM)
+    root = scratch_path(spark, "marts")
+    for _ in range(2):
+        write_marts(built, root)
+    counts = [spark.read.parquet(f"{root}/{name}").agg(F.lit(name).alias("mart"), F.count(F.lit(1)).alias("n_rows")) for name in built]
+    return reduce(lambda a, b: a.unionByName(b), counts)

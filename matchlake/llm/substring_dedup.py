@@ -282,6 +282,7 @@ def repeated_spans(keyed: DataFrame, length: int, batches: int) -> DataFrame:
     # a region that occurs twice is covered whole, whatever its windows share with others
     covered = classes.join(partial, ["gram", "region"], "left").where("n > 1 or spans is not null") \
         .select("gram", "region", F.when(F.col("n") == 1, F.col("spans")).alias("spans"))
+    covered = store(covered, "covered")     # stored, so that the skew join can split what meets it
     whole = F.array(F.struct(F.lit(0).alias("start"), (F.col("count") - 1 + length).alias("end")))
     moved = F.transform(F.coalesce("spans", whole), lambda x: F.struct((F.col("first") + x["start"]).alias("start"), (F.col("first") + x["end"]).alias("end")))
     return candidates.join(covered, ["gram", "region"]).select("id", "th", moved.alias("s")) \

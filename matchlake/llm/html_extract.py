@@ -214,9 +214,12 @@ def host_of(url):
     return F.when(host != "", host)
 
 
-def templates(pages: DataFrame, url_col: str = "url", html_col: str = "html", min_pages: int = MIN_PAGES,
-              min_share: float = MIN_SHARE) -> DataFrame:
-    """(host, template array<bigint>): the subtree hashes that recur on many pages of the host."""
+def _page_key(url: str, html: str):
+    return F.xxhash64(F.coalesce(F.col(url), F.lit("")), F.coalesce(F.col(html), F.lit("")))
+
+
+def parsed_pages(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """(page, host, main, subtrees) of the pages that have a host: a hash of the row, and of its countable subtrees."""
     def start():
         def work(html):
             found = [Page(t) for t in texts_of(html)]
@@ -224,39 +227,43 @@ def templates(pages: DataFrame, url_col: str = "url", html_col: str = "html", mi
                     pa.array([sorted(set(p.entries)) for p in found], pa.list_(pa.int64()))]
         return work
 
-    parsed = pages.select(host_of(F.col(url_col)).alias("host"), F.col(html_col).alias("html")).where("host is not null")
-    parsed = append_columns(parsed, ["html"], [("main", "bigint"), ("subtrees", "array<bigint>")], start, "html", keep=["host"])
+    rows = pages.select(_page_key(url_col, html_col).alias("page"), host_of(F.col(url_col)).alias("host"), F.col(html_col).alias("html")) \
+        .where("host is not null")
+    return append_columns(rows, ["html"], [("main", "bigint"), ("subtrees", "array<bigint>")], start, "html", keep=["page", "host"])
+
+
+def templates(parsed: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
+    """(host, subtree): the subtrees that recur on many pages of the host; ``parsed`` as from ``parsed_pages``."""
     # a row for each subtree of a page, and one (null) for the page itself
     rows = parsed.select("host", "main", F.explode(F.array_append(F.col("subtrees"), F.lit(None).cast("bigint"))).alias("subtree"))
     counts = store(rows.distinct().groupBy("host", "subtree").agg(F.count("*").alias("n")).where((F.col("n") >= min_pages)), "subtrees")
     total = counts.where("subtree is null").select("host", F.col("n").alias("pages"))
-    return counts.where("subtree is not null").join(total, "host").where(F.col("n") >= F.col("pages") * min_share) \
-        .groupBy("host").agg(F.collect_list("subtree").alias("template"))
+    return counts.where("subtree is not null").join(total, "host").where(F.col("n") >= F.col("pages") * min_share).select("host", "subtree")
 
 
 def extract(pages: DataFrame, url_col: str = "url", html_col: str = "html", min_pages: int = MIN_PAGES,
             min_share: float = MIN_SHARE, keep: list[str] | None = None) -> DataFrame:
-    """``pages`` plus text string, n_chars bigint and n_templates (template subtrees of its host)."""
+    """``pages`` plus text string, n_chars bigint and n_templates (template subtrees found on the page).
+
+    Templates meet the subtrees of pages on narrow rows; pages then meet their
+    own template subtrees by a hash of the row, so a host with very many pages
+    is spread like any other.
+    """
     names = pages.columns
     inner = pages.toDF(*[f"c{i}" for i in range(len(names))])
     url, html = f"c{names.index(url_col)}", f"c{names.index(html_col)}"
-    joined = inner.withColumn("_host", host_of(F.col(url))) \
-        .join(templates(inner, url, html, min_pages, min_share).withColumnRenamed("host", "_host"), "_host", "left")
+    parsed = store(parsed_pages(inner, url, html), "parsed")
+    found = parsed.select("page", "host", F.explode("subtrees").alias("subtree")) \
+        .join(store(templates(parsed, min_pages, min_share), "templates"), ["host", "subtree"]) \
+        .groupBy("page").agg(F.collect_set("subtree").alias("template"))
+    joined = inner.withColumn("page", _page_key(url, html)).join(store(found, "found"), "page", "left")
 
     def start():
-        sets: dict = {}
-
         def work(html, template):
-            out = []
-            for t, hashes in zip(texts_of(html), template.to_pylist()):
-                key = tuple(hashes or ())
-                if key not in sets:
-                    if len(sets) > 1000:
-                        sets.clear()
-                    sets[key] = frozenset(key)
-                out.append(Page(t, sets[key]).text if t else "")
+            hashes = template.to_pylist()
+            out = [Page(t, frozenset(h or ())).text if t else "" for t, h in zip(texts_of(html), hashes)]
             return [pa.array(out, pa.string()), pa.array([len(t) for t in out], pa.int64()),
-                    pa.array([len(x or ()) for x in template.to_pylist()], pa.int64())]
+                    pa.array([len(h or ()) for h in hashes], pa.int64())]
         return work
 
     new = ("text", "n_chars", "n_templates")

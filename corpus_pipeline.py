@@ -40,8 +40,11 @@ def _apart(docs: DataFrame):
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a letter and those in which no language holds ``LEAST_SHARE`` of the letters."""
+    """Drops documents without a letter and those in which no language holds ``LEAST_SHARE`` of the letters; without a
+    labelled document to learn from there is nothing to judge by, and all stay."""
     model = learn(docs.where(~held_out()))
+    if not model.languages:
+        return docs
     inner, at, back = _apart(docs)
     return back(identify(inner, model, text_col=at("text")).where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SHARE)))
 

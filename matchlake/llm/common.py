@@ -76,12 +76,12 @@ def append_columns(df: DataFrame, needs: list[str], fields: list[tuple[str, str]
     ``start()`` runs once in each task and returns ``work(*arrays)`` which takes
     the Arrow arrays of ``needs`` and returns one Arrow array for each of
     ``fields`` (name, DDL type).  A column of ``df`` that has the name of a new
-    one is replaced.  Columns go by position inside, so clashing names are safe.
+    one (in any case) is replaced.  Columns go by position inside, so clashing names are safe.
     """
     names = df.columns
     at = [names.index(n) for n in needs]
     new = [n for n, _ in fields]
-    kept = [i for i, n in enumerate(names) if n not in new and (keep is None or n in keep)]
+    kept = [i for i, n in enumerate(names) if n.lower() not in {x.lower() for x in new} and (keep is None or n in keep)]
     inner = df.toDF(*[f"c{i}" for i in range(len(names))])
     inside = list(dict.fromkeys([*kept, *at]))
     inner = inner.select(*[f"c{i}" for i in inside])

@@ -267,7 +267,7 @@ def extract(pages: DataFrame, url_col: str = "url", html_col: str = "html", min_
         return work
 
     new = ("text", "n_chars", "n_templates")
-    take = [i for i, n in enumerate(names) if n not in new and (keep is None or n in keep)]
+    take = [i for i, n in enumerate(names) if n.lower() not in new and (keep is None or n in keep)]
     out = append_columns(joined, [html, "template"], [("text", "string"), ("n_chars", "bigint"), ("n_templates", "bigint")],
                          start, html, keep=[f"c{i}" for i in take])
     return out.select(*[F.col(f"c{i}").alias(names[i]) for i in take], *new)

@@ -1,7 +1,7 @@
 """Connected components of an edge table, by alternating large-star and small-star steps.
 
-Each step is a minimum per vertex (partially aggregated) joined back to the
-edges, so a vertex with very many neighbours is spread by the skew join and
+Each step is a minimum per vertex (partially aggregated, stored) joined back to
+the edges, so a vertex with very many neighbours is spread by the skew join and
 nothing is gathered in one task or the driver.  Every round is written to the
 shared checkpoint folder, so a lost executor repeats one round at most.
 """
@@ -19,7 +19,7 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     both = edges.select("u", "v")
     if large:
         both = both.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min(F.least("u", "v")).alias("m"))
+    least = store(both.groupBy("u").agg(F.min(F.least("u", "v")).alias("m")), "least")
     out = both.join(least, "u")
     if large:
         out = out.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))

@@ -173,7 +173,8 @@ def classes(docs: DataFrame, shingle: int = 3, radius: int = 2, id_col: str = "d
     rooted = distinct.join(joined, distinct["fp"] == joined["vertex"], "left") \
         .select("fp", "least", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return prints.join(rooted.join(least, "root").select("fp", "root", "component_id"), "fp")
+    named = store(rooted.join(least, "root").select("fp", "root", "component_id"), "classes")
+    return prints.join(named, "fp")      # of stored tables, so that the skew join can split a fingerprint with very many copies
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2, id_col: str = "doc_id", text_col: str = "text",

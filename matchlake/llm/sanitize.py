@@ -201,11 +201,13 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", co
     revealing terms have rows there.
     """
     seen = store(contexts(docs, text_col, context), "contexts")
-    terms = revealing_terms(seen, min_count, generalise_at, remove_at)
+    terms = store(revealing_terms(seen, min_count, generalise_at, remove_at), "terms")
+    # stored tables meet in joins, so that the skew join can split entities and texts with very many copies
     places = seen.select("doc", "entity", F.explode("terms").alias("t")).select("doc", "entity", "t.*") \
         .join(terms, ["entity", "term"]) \
         .groupBy("doc", "start", "end").agg(F.max("gone").alias("gone")) \
         .groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("start", "end", "gone"))).alias("_terms"))
+    places = store(places, "places")
     names = docs.columns
     inner = docs.toDF(*[f"c{i}" for i in range(len(names))])
     text = f"c{names.index(text_col)}"
@@ -231,7 +233,7 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", co
     kept = [c for c in joined.columns if c not in ("_doc", "_terms")]
     out = append_columns(joined, [text, "_terms"], fields, start, text, keep=kept)
     new = [f for f, _ in fields]
-    take = [i for i, n in enumerate(names) if n not in new and (keep is None or n in keep)]
+    take = [i for i, n in enumerate(names) if n.lower() not in new and (keep is None or n in keep)]
     return out.select(*[F.col(f"c{i}").alias(names[i]) for i in take], *new)
 
 

@@ -11,8 +11,9 @@ stays.  The maximal conversations are rendered with role markers.
 Numbering and running hashes are computed per block of turn numbers and then
 offset by the totals of the blocks before, and long conversations are rendered
 in parts of ``part_turns`` turns, so no conversation has to fit in one task.
-The prefixes are reduced to distinct (length, hash) before the anti-join, so a
-first turn that very many conversations share is one row there.
+Prefixes are counted per (length, hash), and a count above that of the
+conversations that end there says that a longer one goes on; so a first turn
+that very many conversations share is one row in the anti-join.
 
 Defined cases: exactly repeated rows count once; turns that tie are ordered by
 role, then text (nulls first); null role or text is kept apart from the empty
@@ -73,13 +74,13 @@ def maximal(places: DataFrame) -> DataFrame:
 
     n_copies counts equal conversations, itself included.
     """
-    lengths = places.groupBy("conv").agg(F.max("place").alias("n_turns"))
-    whole = places.join(lengths, _same(places, lengths, "conv")).drop(lengths["conv"])
-    ends = whole.where(F.col("place") == F.col("n_turns")).groupBy("n_turns", "h1", "h2") \
-        .agg(F.min("conv").alias("conv"), F.count("*").alias("n_copies"))
-    ends = store(ends, "conversations")
-    inner = whole.where(F.col("place") < F.col("n_turns")).select(F.col("place").alias("n_turns"), "h1", "h2").distinct()
-    return ends.join(inner, ["n_turns", "h1", "h2"], "left_anti").select("conv", "n_turns", "n_copies")
+    keys = ["n_turns", "h1", "h2"]
+    whole = places.groupBy("conv").agg(F.max(F.struct(F.col("place").alias("n_turns"), "h1", "h2")).alias("e"))
+    ends = store(whole.groupBy("e").agg(F.min("conv").alias("conv"), F.count("*").alias("n_copies")).select("e.*", "conv", "n_copies"), "conversations")
+    prefixes = store(places.groupBy(F.col("place").alias("n_turns"), "h1", "h2").agg(F.count("*").alias("n_with")), "prefixes")
+    # prefixes that more conversations have than end with them
+    continued = ends.join(prefixes, keys).where("n_with > n_copies").select(*keys)
+    return ends.join(continued, keys, "left_anti").select("conv", "n_turns", "n_copies")
 
 
 def render(turns: DataFrame, id_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text",
@@ -87,7 +88,7 @@ def render(turns: DataFrame, id_col: str = "conv_id", turn_col: str = "turn", ro
     """(id_col, part, n_turns, n_copies, text): the maximal conversations; the texts of a conversation's parts in
     order (from 0) make the whole, most have part 0 only."""
     places = store(numbered(turns, id_col, turn_col, role_col, text_col, block_turns), "places")
-    kept = maximal(places)
+    kept = store(maximal(places), "maximal")     # stored, so that the skew join can split a long conversation
     line = F.concat(F.lit(BEGIN), F.coalesce("role", F.lit("")), F.lit("\n"), F.coalesce("text", F.lit("")), F.lit(END + "\n"))
     rows = places.join(kept, _same(places, kept, "conv")).drop(kept["conv"]) \
         .withColumn("part", F.floor((F.col("place") - 1) / part_turns))

@@ -189,8 +189,8 @@ def search(table: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", vect
         .select(F.explode("leaves").alias("leaf"), "query", "vec")
     indexed, probed = store(indexed, "leaves"), store(probed, "probes")
     # both sides of a leaf are cut to groups of bounded size: each member cell meets each query cell of its leaf
-    size = indexed.groupBy("leaf").agg(F.ceil(F.count("*") / group_rows).cast("int").alias("cells")) \
-        .join(probed.groupBy("leaf").agg(F.ceil(F.count("*") / group_rows).cast("int").alias("blocks")), "leaf")
+    size = store(indexed.groupBy("leaf").agg(F.ceil(F.count("*") / group_rows).cast("int").alias("cells")) \
+        .join(probed.groupBy("leaf").agg(F.ceil(F.count("*") / group_rows).cast("int").alias("blocks")), "leaf"), "sizes")
     of_members = indexed.join(size, "leaf").select("leaf", "vec", "ids", F.pmod(F.xxhash64("ids"), "cells").cast("int").alias("cell"),
                                                    F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
     of_queries = probed.join(size, "leaf").select("leaf", "query", "vec", F.pmod(F.xxhash64("query"), "blocks").cast("int").alias("block"),

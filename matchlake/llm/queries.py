@@ -102,7 +102,8 @@ ORACLES: dict[str, str] = {
     # Prefixes are compared as lists of whole turns, not by hash.
     "op2_chat_format": f"""
 WITH t AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations),
-n AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS place FROM t),
+n AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+  md5(IF(role IS NULL, '0', '1') || COALESCE(role, '') || chr(10) || IF(text IS NULL, '0', '1') || COALESCE(text, ''))) AS place FROM t),
 whole AS (SELECT conv_id, COUNT(*) AS n_turns, list({{'r': role, 't': text}} ORDER BY place) AS turns FROM n GROUP BY conv_id),
 distinct_convs AS (SELECT turns, n_turns, MIN(conv_id) AS conv_id, COUNT(*) AS n_copies FROM whole GROUP BY turns, n_turns),
 prefixes AS (SELECT DISTINCT turns[1:k] AS turns FROM (SELECT turns, UNNEST(range(1, n_turns)) AS k FROM distinct_convs)),

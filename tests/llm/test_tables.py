@@ -1,5 +1,6 @@
 """Operators on pages, conversations and embeddings, and the pipeline."""
 
+import hashlib
 import html as html_lib
 import re
 
@@ -20,8 +21,11 @@ def brute_chat(rows):
     for r in set(rows):
         convs.setdefault(r[0], []).append(r[1:])
 
+    def told(x):
+        return "0" if x is None else "1" + x
+
     def key(r):
-        return tuple((x is not None, x if x is not None else "") for x in r)
+        return r[0] is not None, r[0] or 0, hashlib.md5(f"{told(r[1])}\n{told(r[2])}".encode()).hexdigest()
     turns = {c: tuple(x[1:] for x in sorted(v, key=key)) for c, v in convs.items()}
     out = {}
     for c, t in turns.items():

@@ -40,6 +40,7 @@ WORD_BOUND = 8.0
 SWITCH_PENALTY = 20.0
 FAR = -1e4  # for a language that the word's script excludes
 UNDETERMINED = "und"
+SLICE = 1 << 19  # bytes of text that are looked at together; bounds a task's memory
 
 # First and last code point of blocks with letters, by script (Unicode).
 SCRIPTS = {
@@ -136,7 +137,7 @@ def learn(docs: DataFrame, text_col: str = "text", label_col: str = "lang", id_c
         grams = np.zeros((len(languages), BUCKETS), dtype=np.int64)
         letters = np.zeros((len(languages), len(SCRIPTS) + 1), dtype=np.int64)
         for batch in batches:
-            for part in slices(batch, 0):
+            for part in slices(batch, 0, SLICE):
                 w = _words(part.column(0).to_pylist())
                 if not len(w.first):
                     continue
@@ -248,7 +249,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", penalty: flo
         return work
 
     return append_columns(docs, [text_col], [("lang_pred", "string"), ("score", "double"), ("spans", span)], start,
-                          text_col, keep=keep)
+                          text_col, SLICE, keep)
 
 
 def held_out(id_col: str = "doc_id"):

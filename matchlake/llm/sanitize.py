@@ -8,11 +8,12 @@ The method then looks at terms.  Around each base span lies a context of
 how many there are (N), how many hold entity e (n_e), how many hold term t
 (n_t) and how many of e's hold t (n_et).  Pointwise mutual information
 log(N n_et / (n_e n_t)) says how much of e a reader learns from t; e's own
-information content is log(N / n_e).  A term gives e away if its mutual
+information content is log(N / n_e).  The share of e among the texts with t,
+n_et / n_t, is smoothed towards e's share of the corpus as if ``prior`` more
+texts had been seen, so the estimate holds for entities and terms of one text
+too, with less disclosure the fewer the texts.  A term gives e away if its mutual
 information reaches ``generalise_at`` of that content: it is generalised
-to its shape class, and at ``remove_at`` (it all but names e) removed.  Counts
-below ``min_count`` different texts are no evidence, so copies of one text
-prove nothing.  Only the contexts of e itself are changed: documents without
+to its shape class, and at ``remove_at`` (it all but names e) removed.  Only the contexts of e itself are changed: documents without
 personal data stay as they are, and base spans stay whatever the terms do.
 
 Defined cases: null text is empty; empty text has no spans.  Rows with null id
@@ -34,7 +35,7 @@ from .common import append_columns, store, texts_of
 
 KINDS = ("email", "ip", "card", "phone")
 TERM, GONE = "term", "gone"     # what the method adds: generalised, removed
-CONTEXT, MIN_COUNT, GENERALISE_AT, REMOVE_AT = 8, 3, 0.8, 0.95
+CONTEXT, PRIOR, GENERALISE_AT, REMOVE_AT = 8, 1.0, 0.8, 0.95
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -169,7 +170,7 @@ def text_key(text: str) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
-def revealing_terms(seen: DataFrame, min_count: int = MIN_COUNT, generalise_at: float = GENERALISE_AT,
+def revealing_terms(seen: DataFrame, prior: float = PRIOR, generalise_at: float = GENERALISE_AT,
                     remove_at: float = REMOVE_AT) -> DataFrame:
     """(entity, term, gone boolean) above the disclosure thresholds; ``seen`` as from ``contexts``.
 
@@ -178,22 +179,32 @@ def revealing_terms(seen: DataFrame, min_count: int = MIN_COUNT, generalise_at:
     """
     pairs = store(seen.select("doc", "entity", F.explode(F.col("terms.term")).alias("term")).distinct(), "context-terms")
     units = seen.select("doc", "entity").distinct()
-    n_entity = units.groupBy("entity").agg(F.count("*").alias("n_e")).where(F.col("n_e") >= min_count)
+    n_entity = units.groupBy("entity").agg(F.count("*").alias("n_e"))
     total = units.agg(F.count("*").alias("n"))
-    both = pairs.groupBy("entity", "term").agg(F.count("*").alias("n_et")).where(F.col("n_et") >= min_count)
-    n_term = pairs.groupBy("term").agg(F.count("*").alias("n_t")).where(F.col("n_t") >= min_count)
-    share = F.log(F.col("n") * F.col("n_et") / (F.col("n_e") * F.col("n_t"))) / F.log(F.col("n") / F.col("n_e"))
+    both = pairs.groupBy("entity", "term").agg(F.count("*").alias("n_et"))
+    n_term = pairs.groupBy("term").agg(F.count("*").alias("n_t"))
     return both.join(n_term, "term").join(n_entity, "entity").join(F.broadcast(total)).where(F.col("n_e") < F.col("n")) \
-        .withColumn("share", share).where(F.col("share") >= generalise_at) \
+        .withColumn("share", disclosure(prior)).where(F.col("share") >= generalise_at) \
         .select("entity", "term", (F.col("share") >= remove_at).alias("gone"))
 
 
+def disclosure(prior: float):
+    """Mutual information of entity and term as a share of the entity's information content, from n, n_e, n_t and n_et.
+
+    log(P(e|t) / P(e)) / log(1 / P(e)), with P(e|t) smoothed by ``prior`` texts
+    in which e is as frequent as in the corpus.
+    """
+    p = F.col("n_e") / F.col("n")
+    given = (F.col("n_et") + prior * p) / (F.col("n_t") + prior)
+    return 1 - F.log(given) / F.log(p)
+
+
 def shape(term: str) -> str:
     """The class that stands for a generalised term."""
     return "[NUMBER]" if term.isdigit() else "[NAME]" if term[:1].isupper() else "[WORD]"
 
 
-def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", context: int = CONTEXT, min_count: int = MIN_COUNT,
+def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", context: int = CONTEXT, prior: float = PRIOR,
              generalise_at: float = GENERALISE_AT, remove_at: float = REMOVE_AT, keep: list[str] | None = None) -> DataFrame:
     """``docs`` plus n_email, n_ip, n_card, n_phone, base_sha256, spans string and clean_text.
 
@@ -201,7 +212,7 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", co
     revealing terms have rows there.
     """
     seen = store(contexts(docs, text_col, context), "contexts")
-    terms = store(revealing_terms(seen, min_count, generalise_at, remove_at), "terms")
+    terms = store(revealing_terms(seen, prior, generalise_at, remove_at), "terms")
     # stored tables meet in joins, so that the skew join can split entities and texts with very many copies
     places = seen.select("doc", "entity", F.explode("terms").alias("t")).select("doc", "entity", "t.*") \
         .join(terms, ["entity", "term"]) \

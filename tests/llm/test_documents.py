@@ -365,3 +365,12 @@ def test_sanitise_of_odd_rows(odd, none):
     assert out.count() == odd.count() and sanitize.sanitise(none).count() == 0
     assert {c for c in odd.columns if c != "spans"} <= set(out.columns)
     assert all(r["clean_text"] == (r["text"] or "").replace("tail@example.org", "[EMAIL]") for r in out.collect())
+
+
+def test_entities_of_one_text_are_judged(spark):
+    """A rare word beside an address of one text is generalised, also when the text has copies; common words stay."""
+    rows = [(i, f"please write to u{i}@x.example now") for i in range(60)]
+    rows += [(100 + k, "please write to Zorblax zx@corp.example now") for k in range(4)]
+    out = {r["doc_id"]: r["clean_text"] for r in sanitize.sanitise(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert out[100] == out[103] == "please write to [NAME] [EMAIL] now"
+    assert out[5] == "please write to [EMAIL] now"

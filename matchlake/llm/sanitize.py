@@ -3,18 +3,19 @@
 Base spans are e-mail addresses, IP addresses, card numbers and phone numbers,
 found by their patterns and checks, leftmost and non-overlapping per kind.
 
-The method then looks at terms.  Around each base span lies a context of
-``context`` words on either side; Spark counts over all contexts of the corpus
-how many there are (N), how many hold entity e (n_e), how many hold term t
-(n_t) and how many of e's hold t (n_et).  Pointwise mutual information
+The method then looks at terms: the words of a text outside its base spans.
+Spark counts over all different texts of the corpus how many there are (N), how
+many hold entity e (n_e), how many hold term t (n_t) and how many of e's hold t
+(n_et).  Pointwise mutual information
 log(N n_et / (n_e n_t)) says how much of e a reader learns from t; e's own
 information content is log(N / n_e).  The share of e among the texts with t,
 n_et / n_t, is smoothed towards e's share of the corpus as if ``prior`` more
 texts had been seen, so the estimate holds for entities and terms of one text
 too, with less disclosure the fewer the texts.  A term gives e away if its mutual
 information reaches ``generalise_at`` of that content: it is generalised
-to its shape class, and at ``remove_at`` (it all but names e) removed.  Only the contexts of e itself are changed: documents without
-personal data stay as they are, and base spans stay whatever the terms do.
+to its shape class, and at ``remove_at`` (it all but names e) removed,
+wherever it stands in the texts that hold e.  Texts without personal data stay
+as they are, and base spans stay whatever the terms do.
 
 Defined cases: null text is empty; empty text has no spans.  Rows with null id
 and repeated rows each give their row; equal texts count once as evidence.
@@ -28,7 +29,7 @@ import re
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import append_columns, store, texts_of
@@ -109,6 +110,7 @@ def entity_key(kind: str, surface: str) -> str:
     return f"{kind}:{NOT_DIGIT.sub('', surface) if kind in ('card', 'phone') else surface.lower()}"
 
 
+# not part of the method, which looks at whole texts
 def context_terms(text: str, a: int, b: int, taken: list[tuple[int, int]], context: int) -> list[tuple[str, int, int]]:
     """(term, start, end) of up to ``context`` words on either side of [a, b); words inside other spans don't count."""
     reach = context
@@ -129,40 +131,41 @@ def context_terms(text: str, a: int, b: int, taken: list[tuple[int, int]], conte
     return [(text[s:e].lower(), s, e) for s, e in left[-reach:] + right if not any(s < z and y < e for y, z in taken)]
 
 
-def contexts(docs: DataFrame, text_col: str = "text", context: int = CONTEXT) -> DataFrame:
-    """(doc bigint, entity, at, terms array<struct<term,start,end>>) of every base span; doc is a hash of the text."""
-    term = "array<struct<term:string,start:int,end:int>>"
-    fields = [("doc", "bigint"), ("found", f"array<struct<entity:string,at:int,terms:{term}>>")]
-    inner = pa.struct([("term", pa.string()), ("start", pa.int32()), ("end", pa.int32())])
-    found = pa.list_(pa.struct([("entity", pa.string()), ("at", pa.int32()), ("terms", pa.list_(inner))]))
+def words_outside(text: str, spans: list[tuple[int, int]]):
+    """(term, start, end) of the words that overlap none of ``spans`` (sorted)."""
+    ends, most = [], 0
+    for _, b in spans:
+        most = max(most, b)
+        ends.append(most)
+    k = 0
+    for m in WORD.finditer(text):
+        x, y = m.span()
+        while k < len(spans) and ends[k] <= x:
+            k += 1
+        if k == len(spans) or spans[k][0] >= y:
+            yield m[0].lower(), x, y
+
+
+def contexts(docs: DataFrame, text_col: str = "text", held_only: bool = False) -> DataFrame:
+    """(doc bigint, entities array<string>, terms array<string>) of every row, without repeats; doc is a hash of the text.
+
+    With ``held_only`` rows without entities have no terms either.
+    """
+    fields = [("doc", "bigint"), ("entities", "array<string>"), ("terms", "array<string>")]
 
     def start():
         def work(text):
-            keys, out = [], []
+            keys, entities, terms = [], [], []
             for t in texts_of(text):
                 spans = base_spans(t)
-                taken = sorted({(a, b) for _, a, b in spans})
                 keys.append(text_key(t))
-                out.append([{"entity": entity_key(k, t[a:b]), "at": a,
-                             "terms": [{"term": w, "start": x, "end": y} for w, x, y in context_terms(t, a, b, near(taken, a, b), context)]}
-                            for k, a, b in spans])
-            return [pa.array(keys, pa.int64()), pa.array(out, found)]
+                entities.append(sorted({entity_key(k, t[a:b]) for k, a, b in spans}))
+                look = spans or not held_only
+                terms.append(sorted({w for w, _, _ in words_outside(t, sorted({(a, b) for _, a, b in spans}))}) if look else [])
+            return [pa.array(keys, pa.int64()), pa.array(entities, pa.list_(pa.string())), pa.array(terms, pa.list_(pa.string()))]
         return work
 
-    rows = append_columns(docs.select(text_col), [text_col], fields, start, text_col, keep=[])
-    return rows.where("size(found) > 0").select("doc", F.explode("found").alias("f")).select("doc", "f.*")
-
-
-def near(taken: list[tuple[int, int]], a: int, b: int, reach: int = 4000) -> list[tuple[int, int]]:
-    """The spans that can overlap a context of [a, b); bounded work for texts full of spans."""
-    return [s for s in taken if s[1] > a - reach and s[0] < b + reach] if len(taken) < 64 else \
-        taken[max(0, _bisect(taken, a - reach) - 8):_bisect(taken, b + reach)]
-
-
-def _bisect(spans: list[tuple[int, int]], at: int) -> int:
-    import bisect
-
-    return bisect.bisect_left(spans, (at, -1))
+    return append_columns(docs.select(text_col), [text_col], fields, start, text_col, keep=[])
 
 
 def text_key(text: str) -> int:
@@ -172,30 +175,46 @@ def text_key(text: str) -> int:
 
 def revealing_terms(seen: DataFrame, prior: float = PRIOR, generalise_at: float = GENERALISE_AT,
                     remove_at: float = REMOVE_AT) -> DataFrame:
-    """(entity, term, gone boolean) above the disclosure thresholds; ``seen`` as from ``contexts``.
+    """(entity, term, gone boolean) above the disclosure thresholds; ``seen`` as from ``contexts``."""
+    return revealing(judged(seen, seen, seen.select("doc"), prior, generalise_at)[1], remove_at)
+
 
-    The unit of evidence is an (entity, text) pair, so copies of a text and
-    repeats inside it count once.
+def judged(seen: DataFrame, held: DataFrame, keys: DataFrame, prior: float, generalise_at: float) -> tuple[DataFrame, DataFrame]:
+    """From all texts, those that hold entities, and the hash of each row's text: (doc, entity, term) of the terms that can give the entity away, and (entity, term, share) of those that do.
+
+    The unit of evidence is a different text: a text with copies weighs
+    1 / copies in each.  n_t is summed before anything is shuffled.  A term in
+    so many texts that it would not reveal e if it stood in all of e's meets e nowhere.
     """
-    pairs = store(seen.select("doc", "entity", F.explode(F.col("terms.term")).alias("term")).distinct(), "context-terms")
-    units = seen.select("doc", "entity").distinct()
+    copies = store(keys.groupBy("doc").agg(F.count("*").alias("copies")), "text-copies")
+    total = copies.agg(F.count("*").alias("n"))
+    weighed = seen.join(store(copies.where("copies > 1"), "copied-texts"), "doc", "left").select("terms", (1 / F.coalesce("copies", F.lit(1))).alias("weight"))
+    n_term = store(weighed.select(F.explode("terms").alias("term"), "weight").groupBy("term")
+                   .agg(F.round(F.sum("weight")).cast("bigint").alias("n_t")), "term-counts")
+    held = store(held.where("size(entities) > 0").dropDuplicates(["doc"]), "texts-with-entities")
+    units = held.select("doc", F.explode("entities").alias("entity"))
     n_entity = units.groupBy("entity").agg(F.count("*").alias("n_e"))
-    total = units.agg(F.count("*").alias("n"))
-    both = pairs.groupBy("entity", "term").agg(F.count("*").alias("n_et"))
-    n_term = pairs.groupBy("term").agg(F.count("*").alias("n_t"))
-    return both.join(n_term, "term").join(n_entity, "entity").join(F.broadcast(total)).where(F.col("n_e") < F.col("n")) \
-        .withColumn("share", disclosure(prior)).where(F.col("share") >= generalise_at) \
-        .select("entity", "term", (F.col("share") >= remove_at).alias("gone"))
+    units = store(units.join(store(n_entity, "entity-counts"), "entity").crossJoin(F.broadcast(total)).where("n_e < n"), "units")
+    terms = store(held.select("doc", F.explode("terms").alias("term")).join(n_term, "term"), "context-terms")
+    best = disclosure(prior, F.least("n_e", "n_t"))     # were all of e's texts to hold t
+    pairs = store(units.join(terms, "doc").where(best >= generalise_at), "pairs")
+    both = pairs.groupBy("entity", "term").agg(F.count("*").alias("n_et"), *[F.first(c).alias(c) for c in ("n_e", "n_t", "n")]) \
+        .withColumn("share", disclosure(prior, F.col("n_et"))).where(F.col("share") >= generalise_at)
+    return pairs.select("doc", "entity", "term"), both.select("entity", "term", "share")
+
+
+def revealing(both: DataFrame, remove_at: float) -> DataFrame:
+    return both.select("entity", "term", (F.col("share") >= remove_at).alias("gone"))
 
 
-def disclosure(prior: float):
-    """Mutual information of entity and term as a share of the entity's information content, from n, n_e, n_t and n_et.
+def disclosure(prior: float, n_et: Column):
+    """Mutual information of entity and term as a share of the entity's information content, from n, n_e, n_t and ``n_et``.
 
     log(P(e|t) / P(e)) / log(1 / P(e)), with P(e|t) smoothed by ``prior`` texts
     in which e is as frequent as in the corpus.
     """
     p = F.col("n_e") / F.col("n")
-    given = (F.col("n_et") + prior * p) / (F.col("n_t") + prior)
+    given = (n_et + prior * p) / (F.col("n_t") + prior)
     return 1 - F.log(given) / F.log(p)
 
 
@@ -204,27 +223,29 @@ def shape(term: str) -> str:
     return "[NUMBER]" if term.isdigit() else "[NAME]" if term[:1].isupper() else "[WORD]"
 
 
-def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", context: int = CONTEXT, prior: float = PRIOR,
+def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", prior: float = PRIOR,
              generalise_at: float = GENERALISE_AT, remove_at: float = REMOVE_AT, keep: list[str] | None = None) -> DataFrame:
     """``docs`` plus n_email, n_ip, n_card, n_phone, base_sha256, spans string and clean_text.
 
     Terms reach their documents by a join on the text's hash; only texts with
     revealing terms have rows there.
     """
-    seen = store(contexts(docs, text_col, context), "contexts")
-    terms = store(revealing_terms(seen, prior, generalise_at, remove_at), "terms")
+    keys = append_columns(docs.select(text_col), [text_col], [("doc", "bigint")],
+                          lambda: lambda t: [pa.array([text_key(x) for x in texts_of(t)], pa.int64())], text_col, keep=[])
+    pairs, both = judged(contexts(docs, text_col), contexts(docs, text_col, held_only=True), keys, prior, generalise_at)
     # stored tables meet in joins, so that the skew join can split entities and texts with very many copies
-    places = seen.select("doc", "entity", F.explode("terms").alias("t")).select("doc", "entity", "t.*") \
-        .join(terms, ["entity", "term"]) \
-        .groupBy("doc", "start", "end").agg(F.max("gone").alias("gone")) \
-        .groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("start", "end", "gone"))).alias("_terms"))
+    places = pairs.join(store(revealing(both, remove_at), "terms"), ["entity", "term"]) \
+        .groupBy("doc", "term").agg(F.max("gone").alias("gone")) \
+        .groupBy("doc").agg(F.collect_list(F.struct("term", "gone")).alias("_terms"))
     places = store(places, "places")
     names = docs.columns
     inner = docs.toDF(*[f"c{i}" for i in range(len(names))])
     text = f"c{names.index(text_col)}"
-    keyed = append_columns(inner, [text], [("_doc", "bigint")],
-                           lambda: lambda t: [pa.array([text_key(x) for x in texts_of(t)], pa.int64())], text)
-    joined = keyed.join(places.withColumnRenamed("doc", "_doc"), "_doc", "left")
+    keyed = append_columns(inner, [text], [("_doc", "bigint"), ("_held", "boolean")], lambda: lambda t: [
+        pa.array([text_key(x) for x in texts_of(t)], pa.int64()), pa.array([bool(base_spans(x)) for x in texts_of(t)], pa.bool_())], text)
+    # only texts with personal data are moved
+    without = keyed.where("not _held").withColumn("_terms", F.lit(None).cast(places.schema["_terms"].dataType))
+    joined = keyed.where("_held").join(places.withColumnRenamed("doc", "_doc"), "_doc", "left").unionByName(without)
     fields = [*[(f"n_{k}", "bigint") for k in KINDS], ("base_sha256", "string"), ("spans", "string"), ("clean_text", "string")]
 
     def start():
@@ -232,7 +253,9 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", co
             cols: list[list] = [[] for _ in fields]
             for t, extra in zip(texts_of(text), terms.to_pylist()):
                 base = base_spans(t)
-                added = sorted((GONE if x["gone"] else TERM, x["start"], x["end"]) for x in extra or [])
+                kinds = {x["term"]: GONE if x["gone"] else TERM for x in extra or []}
+                outside = words_outside(t, sorted({(a, b) for _, a, b in base})) if kinds else []
+                added = [(kinds[w], a, b) for w, a, b in outside if w in kinds]
                 for c, k in zip(cols, KINDS):
                     c.append(sum(s[0] == k for s in base))
                 cols[4].append(hashlib.sha256(joined_spans(base).encode()).hexdigest())
@@ -241,7 +264,7 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", co
             return [pa.array(c, pa.int64()) for c in cols[:4]] + [pa.array(c, pa.string()) for c in cols[4:]]
         return work
 
-    kept = [c for c in joined.columns if c not in ("_doc", "_terms")]
+    kept = [c for c in joined.columns if c not in ("_doc", "_held", "_terms")]
     out = append_columns(joined, [text, "_terms"], fields, start, text, keep=kept)
     new = [f for f, _ in fields]
     take = [i for i, n in enumerate(names) if n.lower() not in new and (keep is None or n in keep)]

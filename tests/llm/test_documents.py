@@ -374,3 +374,15 @@ def test_entities_of_one_text_are_judged(spark):
     out = {r["doc_id"]: r["clean_text"] for r in sanitize.sanitise(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert out[100] == out[103] == "please write to [NAME] [EMAIL] now"
     assert out[5] == "please write to [EMAIL] now"
+
+
+def test_terms_are_counted_and_changed_in_whole_texts(spark):
+    """A name far from the address goes; a word rare near addresses but common in the corpus stays."""
+    far = " ".join(["please", "write", "about", "it"] * 10)
+    rows = [(i, f"please write about it often u{i}@x.example") for i in range(60)]
+    rows += [(100 + i, f"please write about it seldom, number {i} of the plain texts") for i in range(60)]
+    rows += [(300 + k, f"Dear Zorblax, {far} seldom zx@corp.example") for k in range(2)]
+    out = {r["doc_id"]: r for r in sanitize.sanitise(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert out[300]["clean_text"] == out[301]["clean_text"] == f"[NAME] [NAME], {far} seldom [EMAIL]"
+    assert out[300]["spans"] == f"email:{len(f'Dear Zorblax, {far} seldom ')}:{len(rows[-1][1])},term:0:4,term:5:12"
+    assert out[103]["clean_text"] == rows[63][1]

@@ -12,6 +12,7 @@ import os
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -21,9 +22,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from ..session import checkpoint_root, scratch_path
+from ..session import scratch_path
 
 SLICE_BYTES = 2 << 20
+#: Most bits of a Bloom filter that guards a join (2 MB).
+FILTER_BITS = 1 << 24
 
 
 def ship(spark: SparkSession) -> None:
@@ -51,10 +54,6 @@ def store(df: DataFrame, name: str, **options) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def shared_folder(spark: SparkSession) -> str:
-    return checkpoint_root(spark)
-
-
 def slices(batch: pa.RecordBatch, column: int, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows with about ``limit`` bytes of text or list items (a longer row stays whole)."""
     if not batch.num_rows:
@@ -109,6 +108,23 @@ def texts_of(array: pa.Array) -> list[str]:
     return [t if t is not None else "" for t in array.to_pylist()]
 
 
+@contextmanager
+def bloom_filters(spark: SparkSession):
+    """Let inner joins that run inside filter their larger side by a Bloom filter of the smaller one's keys."""
+    name = "spark.sql.optimizer.runtime.bloomFilter."
+    items = str(FILTER_BITS // 8)
+    conf = {"enabled": "true", "creationSideThreshold": "100g", "applicationSideScanSizeThreshold": "0", "expectedNumItems": items,
+            "maxNumItems": items, "numBits": str(FILTER_BITS), "maxNumBits": str(FILTER_BITS)}
+    before = {k: spark.conf.get(name + k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(name + k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(name + k, v)
+
+
 def crc_mod(col: Column, n: int) -> Column:
     """crc32 of the column's text modulo ``n``; null stays null."""
     return F.crc32(col.cast("string").cast("binary")) % n

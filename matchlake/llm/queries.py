@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import read_table, scratch_path
+from . import recompression
 from .ann import search
 from .chat import BEGIN, END, PART_TURNS, render
 from .common import ship
@@ -94,9 +95,14 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("doc_id", *[f"n_{k}" for k in KINDS], "base_sha256", "spans")
 
 
+def op13_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return recompression.remove_repeats(read_table(spark, sf_dir, "documents"), window=50)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_sentencepiece_dropout, op2_chat_format, op3_html_extract, op4_language_id, op5_simhash,
-                            op6_suffix_dedup, op7_decontaminate, op8_nearest, op9_token_orc, op10_pii)}
+                            op6_suffix_dedup, op7_decontaminate, op8_nearest, op9_token_orc, op10_pii, op13_recompression)}
 
 ORACLES: dict[str, str] = {
     # Prefixes are compared as lists of whole turns, not by hash.

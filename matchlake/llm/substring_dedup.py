@@ -29,7 +29,7 @@ ids do no harm.  Counts are partially aggregated and joined back, so an anchor
 or region that a third of all documents share is spread by the skew join; what
 is gathered per document is bounded by the document.  The joins that would
 shuffle all texts or entries pass Spark's runtime Bloom filter first, of at
-most ``FILTER_BITS`` bits; on larger corpora it lets more rows through, never
+most ``common.FILTER_BITS`` bits; on larger corpora it lets more rows through, never
 fewer than belong.
 
 Defined cases: null text is empty; text shorter than ``length`` loses nothing;
@@ -40,7 +40,6 @@ included.  Empty tables give empty results.
 from __future__ import annotations
 
 import hashlib
-from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -48,11 +47,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import append_columns, mix64, slices, store
+from .common import append_columns, bloom_filters, mix64, slices, store
 from .decontaminate import merged
 
 LENGTH, GRAM, BATCHES, GROUP = 200, 48, 4, 32
-FILTER_BITS = 1 << 24      # 2 MB
 STARTS = 1 << 21            # windows that are looked at together
 LOW = np.uint64((1 << 24) - 1)
 
@@ -167,23 +165,6 @@ class LevelFamily:
         return self._scan(scanned).where("n > 1")
 
 
-@contextmanager
-def _bloom_filters(spark):
-    """Let inner joins that run inside filter their larger side by a Bloom filter of the smaller one's keys."""
-    name = "spark.sql.optimizer.runtime.bloomFilter."
-    items = str(FILTER_BITS // 8)
-    conf = {"enabled": "true", "creationSideThreshold": "100g", "applicationSideScanSizeThreshold": "0", "expectedNumItems": items,
-            "maxNumItems": items, "numBits": str(FILTER_BITS), "maxNumBits": str(FILTER_BITS)}
-    before = {k: spark.conf.get(name + k) for k in conf}
-    try:
-        for k, v in conf.items():
-            spark.conf.set(name + k, v)
-        yield
-    finally:
-        for k, v in before.items():
-            spark.conf.set(name + k, v)
-
-
 def shared_spans(group: list[dict], length: int) -> list[list[tuple[int, int]]]:
     """For each of the different regions around one anchor (lead, count, bytes): the spans of its windows that
     another one holds too, from common bytes to the left and right of the anchor."""
@@ -235,7 +216,7 @@ def _shared_windows(keyed: DataFrame, classes: DataFrame, length: int) -> DataFr
                         names=["gram", "region", "lead", "count", "bytes", "offset", "window"])
 
     same = (keyed["th"] == per_document["th"]) & keyed["id"].eqNullSafe(per_document["id"])
-    with _bloom_filters(keyed.sparkSession):
+    with bloom_filters(keyed.sparkSession):
         pieces = store(keyed.join(per_document.where("n > 0"), same).select("text", "places").mapInArrow(
             expand, "gram bigint, region bigint, lead int, count int, bytes binary, offset int, window bigint"), "pieces")
 
@@ -274,7 +255,7 @@ def repeated_spans(keyed: DataFrame, length: int, batches: int) -> DataFrame:
     for batch in parts[:-1]:
         family.add(batch)
     matches = store(family.matches(parts[-1]), "matches")
-    with _bloom_filters(spark):
+    with bloom_filters(spark):
         candidates = store(entries.join(matches.where("n > 1").select("gram"), "gram"), "candidates")
     classes = store(candidates.groupBy("gram", "region").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "th", "first", "count", "lead")).alias("at")), "regions")
@@ -320,7 +301,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     fields = [("n_bytes", "bigint"), ("n_removed", "bigint"), ("n_spans", "bigint"), ("kept_sha256", "string"),
               ("spans", SPANS_DDL), *([("kept", "binary")] if keep_text else [])]
-    with _bloom_filters(docs.sparkSession):
+    with bloom_filters(docs.sparkSession):
         cut = keyed.join(spans.where("n > 0"), same).select(keyed["id"], "text", "found")
         cut = store(append_columns(cut, ["text", "found"], fields, start, "text", keep=["id"]), "cut")
     # the rest is told from the text where it stands; it moves only if its text has to be given back

@@ -1,0 +1,103 @@
+"""Long repeats between documents (operator 13) against a brute-force version."""
+
+import hashlib
+import random
+
+import numpy as np
+import pytest
+from llm_fixtures import SF, docs_rows, none, odd  # noqa: F401
+
+from matchlake.llm import queries
+from matchlake.llm import recompression as rc
+
+
+def brute(rows, window=50):
+    """(doc_id, n_words, n_removed, kept_sha256) by a table of all windows."""
+    words = [(d, (t or "").encode().split()) for d, t in rows]
+    least = {}
+    for d, w in words:
+        for i in range(len(w) - window + 1):
+            if d is not None:
+                key = tuple(w[i:i + window])
+                least[key] = min(d, least.get(key, d))
+    out = []
+    for d, w in words:
+        gone = [False] * len(w)
+        for i in range(len(w) - window + 1):
+            if d is not None and least[tuple(w[i:i + window])] < d:
+                gone[i:i + window] = [True] * window
+        kept = [x for x, g in zip(w, gone) if not g]
+        out.append((d, len(w), sum(gone), hashlib.sha256(b" ".join(kept)).hexdigest()))
+    return sorted(out, key=repr)
+
+
+def result(df):
+    return sorted((tuple(r) for r in df.select("doc_id", "n_words", "n_removed", "kept_sha256").collect()), key=repr)
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, "doc_id bigint, text string")
+
+
+def test_documents_of_the_table(spark, docs_rows):
+    got = result(queries.op13_recompression(spark, SF))
+    assert got == brute(docs_rows) and sum(r[2] for r in got) > 0
+
+
+@pytest.mark.parametrize("window", [2, 5, 12, 50])
+def test_shared_passages_edits_and_periods(spark, window):
+    rng = random.Random(window)
+    words = [f"w{k}" for k in range(40)]
+    shared = [rng.choice(words) for _ in range(150)]
+    rows = []
+    for d in range(60):
+        t = [rng.choice(words) for _ in range(rng.randrange(40))]
+        a = rng.randrange(150)
+        t += shared[a:a + rng.randrange(130)] + [rng.choice(words) for _ in range(rng.randrange(30))]
+        if d % 3 == 0:
+            t[len(t) // 2:len(t) // 2 + 1] = ["edited"]
+        if d % 7 == 0:      # runs and short periods, in several phases and lengths
+            t += ["a"] * (20 + 11 * d) + (["b", "c"] * (10 + d))[d % 2:] + (["x", "y", "z"] * 30)[d % 3:]
+        rows.append((d * 7 % 61, "  ".join(t) + "\n"))
+    rows += [(100, rows[3][1]), (100, rows[4][1]), (None, rows[3][1]), (-5, None), (101, ""), (101, "")]
+    assert result(rc.remove_repeats(frame(spark, rows), window=window)) == brute(rows, window)
+
+
+def test_many_near_copies_of_one_passage(spark):
+    rng = random.Random(3)
+    body = [f"p{rng.randrange(5000)}" for _ in range(120)]
+    rows = []
+    for d in range(400):
+        t = list(body)
+        t[rng.randrange(120)] = f"edit{d}"
+        rows.append((d, f"intro{d} " + " ".join(t)))
+    assert result(rc.remove_repeats(frame(spark, rows))) == brute(rows)
+
+
+def test_windows_that_are_equal_have_equal_symbols():
+    rng = random.Random(5)
+    core = [b"%d" % rng.randrange(6) for _ in range(50)]
+    told = set()
+    for k in range(40):
+        before = [b"%d" % rng.randrange(6) for _ in range(rng.randrange(30))]
+        after = [b"%d" % rng.randrange(6) for _ in range(rng.randrange(30))]
+        names = rc.word_names(before + core + after)
+        at, symbol_at, symbol = rc.representatives(names, np.array([len(names)]))
+        told.add((int(symbol_at[len(before)]) - len(before), int(symbol[len(before)])))
+    assert len(told) == 1
+
+
+def test_texts_and_spans_are_given_back(spark):
+    text = " ".join(f"word{k}" for k in range(60))
+    rows = [(1, text), (2, "before " + text + " after"), (3, None)]
+    got = {r["doc_id"]: r for r in rc.remove_repeats(frame(spark, rows), keep_text=True).collect()}
+    assert got[1]["kept"] == text and got[1]["spans"] == []
+    assert got[2]["kept"] == "before after" and [tuple(s) for s in got[2]["spans"]] == [(1, 61)] and got[2]["n_removed"] == 60
+    assert got[3]["kept"] == "" and got[3]["n_words"] == 0
+
+
+def test_odd_rows_and_no_rows(spark, odd, none):
+    rows = [(r["doc_id"], r["text"]) for r in odd.collect()]
+    assert result(rc.remove_repeats(odd)) == brute(rows)
+    assert result(rc.remove_repeats(none)) == []
+    assert rc.remove_repeats(none, keep_text=True).count() == 0

@@ -18,16 +18,18 @@ joined with something outside are left off (a run at an end, a right symbol at
 the start, a left one at the end), whatever stands there.  What remains is told
 by the window's words alone, so equal windows hold equal symbols at equal
 places.  A window is represented by the symbol of the least name hash (the
-leftmost of equals) on the highest level on which something remains.
-Consecutive windows with one representative make a region.
+leftmost of equals) on the highest level on which something remains; half a
+window of words to the right or left of its start is inside the window, and
+verifies the symbol.  Consecutive windows with one representative and one such
+side make a region, named by both.
 
 Shared symbols: regions are counted in Spark per (name, digest of the region's
 words); the smallest document of each is the one that keeps it, all others
-lose it whole.  Different regions with a shared symbol can still share windows
+lose it whole.  Different regions with a shared name can still share windows
 (at the ends of a match, at edits): the windows of one copy of each are
 compared by digest, and the smallest document of each window is taken back to
-the regions that hold it.  Rows of one symbol are at most the windows that
-stand around it, never pairs of them, and symbols, regions and windows that
+the regions that hold it.  Rows of one name are at most the windows that
+stand around it, never pairs of them, and names, regions and windows that
 very many documents share are aggregated before they are shuffled and joined
 from stored tables, which the skew join splits.
 
@@ -52,7 +54,9 @@ from .decontaminate import merged
 
 WINDOW = 50
 #: Most words of a symbol that takes part, by round.
-ACTIVE = (1, 1, 2, 2, 4)
+ACTIVE = (1, 1, 2, 2)
+#: Regions whose windows are told together.
+PLACES = 1 << 12
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -170,16 +174,26 @@ def regions(keyed: DataFrame, window: int = WINDOW) -> DataFrame:
                 names = np.concatenate(names)
                 at, symbol_at, symbol = representatives(names, ends, window)
                 doc = np.searchsorted(ends, at, side="right")
-                new = np.flatnonzero(np.concatenate([[True], (symbol_at[1:] != symbol_at[:-1]) | (symbol[1:] != symbol[:-1]) | (doc[1:] != doc[:-1])]))
+                # a window holds half a window of words on one side of its symbol's start at least: that side names it
+                onward = window // 2
+                back = window - onward + 1
+                left = symbol_at - at >= back
+                new = np.flatnonzero(np.concatenate([[True], (symbol_at[1:] != symbol_at[:-1]) | (symbol[1:] != symbol[:-1])
+                                                     | (doc[1:] != doc[:-1]) | (left[1:] != left[:-1])]))
                 count = np.diff(new, append=len(at))
-                first, doc = at[new], doc[new]
-                raw, a, b = memoryview(names.tobytes()), 8 * first, 8 * (first + count + window - 1)
-                region = np.fromiter((digest(raw[x:y]) for x, y in zip(a.tolist(), b.tolist())), dtype=np.uint64, count=len(a))
+                first, doc, left, q = at[new], doc[new], left[new], symbol_at[new]
+                raw = memoryview(names.tobytes())
+
+                def told(a, b, seed=0):
+                    return np.fromiter((digest(raw[x:y], seed) for x, y in zip((8 * a).tolist(), (8 * b).tolist())), dtype=np.uint64, count=len(a))
+                side = told(np.where(left, q - back, q), np.where(left, q, q + onward), 1)
+                name = mix64(side ^ mix64(symbol[new] + left))
+                region = told(first, first + count - 1 + window)
                 take = pa.array(np.array(rows)[doc])
                 begin = np.concatenate([[0], ends])[doc]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0).take(take), part.column(1).take(take), pa.array(first - begin, pa.int32()), pa.array(count, pa.int32()),
-                     pa.array(symbol[new].view(np.int64)), pa.array(region.view(np.int64)), pa.nulls(len(a), pa.int64()), pa.nulls(len(a), pa.string())],
+                     pa.array(name.view(np.int64)), pa.array(region.view(np.int64)), pa.nulls(len(new), pa.int64()), pa.nulls(len(new), pa.string())],
                     names=["id", "th", "first", "count", "name", "region", "n_words", "whole"])
 
     return keyed.mapInArrow(run, FOUND)
@@ -199,16 +213,15 @@ def _partly_shared(keyed: DataFrame, classes: DataFrame, window: int) -> DataFra
             for part in slices(batch, 1):
                 for k in range(part.num_rows):
                     raw = memoryview(word_names(words_of(part.column(1)[k].as_py())).tobytes())
-                    cols: tuple[list, ...] = ([], [], [], [])
-                    for first, count, name, region in (p.values() for p in part.column(2)[k].as_py()):
-                        cols[0].extend([name] * count)
-                        cols[1].extend([region] * count)
-                        cols[2].extend(range(count))
-                        cols[3].extend(digest(raw[8 * x:8 * (x + window)], 1) for x in range(first, first + count))
-                    found = np.array(cols[3], dtype=np.uint64).view(np.int64)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([part.column(0)[k].as_py()] * len(found), pa.int64()), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()),
-                         pa.array(cols[2], pa.int32()), pa.array(found)], names=["id", "name", "region", "start", "window"])
+                    held = [tuple(p.values()) for p in part.column(2)[k].as_py()]
+                    for some in range(0, len(held), PLACES):
+                        first, count, name, region = map(np.array, zip(*held[some:some + PLACES]))
+                        start = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+                        at = 8 * (np.repeat(first, count) + start)
+                        found = np.fromiter((digest(raw[x:x + 8 * window], 1) for x in at.tolist()), dtype=np.uint64, count=len(at))
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(np.full(len(at), part.column(0)[k].as_py())), pa.array(np.repeat(name, count)), pa.array(np.repeat(region, count)),
+                             pa.array(start, pa.int32()), pa.array(found.view(np.int64))], names=["id", "name", "region", "start", "window"])
 
     same = (keyed["th"] == places["th"]) & (keyed["id"] == places["id"])
     with bloom_filters(keyed.sparkSession):

@@ -12,10 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import read_table, scratch_path
-from . import recompression
+from . import merkle, oracles, recompression
 from .ann import search
 from .chat import BEGIN, END, PART_TURNS, render
-from .common import ship
+from .common import crc_mod, ship
 from .decontaminate import contamination
 from .html_extract import extract
 from .langid import held_out, identify, learn
@@ -95,6 +95,13 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("doc_id", *[f"n_{k}" for k in KINDS], "base_sha256", "spans")
 
 
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    tampered = merkle.leaf_digest(*[F.col(c).cast("bigint") + 1 if c == "n_chars" else F.col(c) for c in fields])
+    claim = F.when(crc_mod(F.col("doc_id"), 7) == 0, tampered).otherwise(merkle.leaf_digest(*[F.col(c) for c in fields]))
+    return merkle.audit(read_table(spark, sf_dir, "documents"), claim, fields)
+
+
 def op13_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     return recompression.remove_repeats(read_table(spark, sf_dir, "documents"), window=50)
@@ -102,7 +109,8 @@ def op13_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_sentencepiece_dropout, op2_chat_format, op3_html_extract, op4_language_id, op5_simhash,
-                            op6_suffix_dedup, op7_decontaminate, op8_nearest, op9_token_orc, op10_pii, op13_recompression)}
+                            op6_suffix_dedup, op7_decontaminate, op8_nearest, op9_token_orc, op10_pii, op12_merkle,
+                            op13_recompression)}
 
 ORACLES: dict[str, str] = {
     # Prefixes are compared as lists of whole turns, not by hash.
@@ -118,4 +126,5 @@ SELECT k.conv_id, CAST(FLOOR((n.place - 1) / {PART_TURNS}) AS BIGINT) AS part, k
        string_agg('{BEGIN}' || COALESCE(n.role, '') || chr(10) || COALESCE(n.text, '') || '{END}' || chr(10), '' ORDER BY n.place) AS text
 FROM kept k JOIN n USING (conv_id) GROUP BY ALL
 """.strip(),
+    "op12_merkle": oracles.MERKLE,
 }

@@ -30,3 +30,30 @@ high AS (SELECT l.g, l.leaf_i, 0 AS level, l.g - 1 AS i, l.fold, l.proof FROM lo
 SELECT p.doc_id, p.leaf, r.subroot, o.root, sha256(f.proof) AS proof_sha256, f.fold AS folded_root, f.fold = o.root AS verified
 FROM placed p JOIN subroots r USING (g) JOIN high f ON f.g = p.g AND f.leaf_i = p.i JOIN root o ON o.h = f.level
 """.strip()
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _terms(text: str) -> str:
+    return f"UNNEST(regexp_extract_all(translate({text}, '{_UPPER}', '{_LOWER}'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+'))"
+
+
+# Every document that shares a term with an item is scored.
+RANKED = f"""
+WITH d AS (SELECT ROW_NUMBER() OVER () AS r, doc_id, text FROM documents),
+words AS (SELECT r, {_terms('text')} AS term FROM d),
+tf AS (SELECT r, term, COUNT(*) AS tf FROM words GROUP BY r, term),
+sizes AS (SELECT r, SUM(tf) AS n FROM tf GROUP BY r),
+total AS (SELECT COUNT(*) AS docs, CAST(SUM(n) AS BIGINT) AS terms FROM sizes),
+df AS (SELECT term, COUNT(*) AS df FROM tf GROUP BY term),
+asked AS (SELECT item_id, term, COUNT(*) AS reps FROM
+  (SELECT item_id, {_terms('text')} AS term FROM (SELECT DISTINCT item_id, text FROM benchmark)) GROUP BY item_id, term),
+weights AS (SELECT a.item_id, a.term, a.reps * CAST(FLOOR(1000 * LN((2.0::DOUBLE * docs + 2) / (2 * df + 1))) AS BIGINT) AS w
+  FROM asked a JOIN df USING (term), total),
+norms AS (SELECT r, 75 + CAST(25 * n * docs AS BIGINT) // terms AS m FROM sizes, total),
+scores AS (SELECT w.item_id, t.r, CAST(SUM(w.w * ((1000000000 * t.tf) // (1000 * t.tf + 12 * m.m))) AS BIGINT) AS score
+  FROM weights w JOIN tf t USING (term) JOIN norms m ON m.r = t.r GROUP BY w.item_id, t.r),
+ranked AS (SELECT s.item_id, CAST(ROW_NUMBER() OVER (PARTITION BY s.item_id ORDER BY s.score DESC, d.doc_id NULLS LAST) AS INTEGER) AS rank, d.doc_id, s.score
+  FROM scores s JOIN d USING (r) WHERE s.score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20
+""".strip()

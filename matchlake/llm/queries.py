@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import read_table, scratch_path
-from . import merkle, oracles, recompression
+from . import max_sketch, merkle, oracles, recompression
 from .ann import search
 from .chat import BEGIN, END, PART_TURNS, render
 from .common import crc_mod, ship
@@ -95,6 +95,12 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("doc_id", *[f"n_{k}" for k in KINDS], "base_sha256", "spans")
 
 
+def op11_max_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    docs = read_table(spark, sf_dir, "documents")
+    return max_sketch.search(max_sketch.build(docs), docs, read_table(spark, sf_dir, "benchmark"), k=20)
+
+
 def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     fields = ["doc_id", "source", "lang", "n_chars", "text"]
     tampered = merkle.leaf_digest(*[F.col(c).cast("bigint") + 1 if c == "n_chars" else F.col(c) for c in fields])
@@ -109,8 +115,8 @@ def op13_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_sentencepiece_dropout, op2_chat_format, op3_html_extract, op4_language_id, op5_simhash,
-                            op6_suffix_dedup, op7_decontaminate, op8_nearest, op9_token_orc, op10_pii, op12_merkle,
-                            op13_recompression)}
+                            op6_suffix_dedup, op7_decontaminate, op8_nearest, op9_token_orc, op10_pii, op11_max_sketch,
+                            op12_merkle, op13_recompression)}
 
 ORACLES: dict[str, str] = {
     # Prefixes are compared as lists of whole turns, not by hash.
@@ -126,5 +132,6 @@ SELECT k.conv_id, CAST(FLOOR((n.place - 1) / {PART_TURNS}) AS BIGINT) AS part, k
        string_agg('{BEGIN}' || COALESCE(n.role, '') || chr(10) || COALESCE(n.text, '') || '{END}' || chr(10), '' ORDER BY n.place) AS text
 FROM kept k JOIN n USING (conv_id) GROUP BY ALL
 """.strip(),
+    "op11_max_sketch": oracles.RANKED,
     "op12_merkle": oracles.MERKLE,
 }

@@ -7,30 +7,33 @@ documents.
 Sparse suffixes: of every window of ``length`` bytes the anchor is the position
 whose next ``GRAM`` bytes have the least hash (the leftmost of equals).  It
 depends on the window's bytes alone, so equal windows have equal anchors, and
-about one position in 70 is one.  Consecutive windows with one anchor make a
-region; an entry of the suffix array is (hash of the anchor's bytes, hash of
-the region's bytes), together 128 bits.
-
-Index family: documents come in batches; a batch's suffixes are sorted and
-counted, scanned together with the levels of equal size that exist, and the
-merged run makes a level of twice the size, so a suffix is rewritten
-logarithmically often.  The last batch is scanned against all levels; anchors
-that meet are the candidates, all other entries are done with.
+about one position in 70 is one.  A window has half of its bytes to the right of
+its anchor, or more than half to the left; consecutive windows with one anchor
+and one such side make a region.  An entry is told by (hash of the side's
+bytes, hash of the region's bytes), together 128 bits, so a suffix is compared
+by ``length`` / 2 bytes at once.
+
+Index family: documents come in batches.  A batch's entries are sorted, and
+scanned together with the levels that exist; equal-sized levels are merged, so
+an entry is rewritten logarithmically often.  Entries that meet are the
+candidates, all others are done with.  A family with a folder keeps its levels
+there, with the place of one holder of each region, so that a later call takes
+its documents as a new batch and finds what repeats earlier ones.
 
 Long matches: a region that occurs twice is repeated whole.  Regions that
-differ while their anchors agree can still share windows (at the ends of a
-match, or at edits).  Of each different one a single copy is compared: up to
-``GROUP`` regions of an anchor byte by byte to either side of it; beyond that,
-where comparing pairs would grow with the square, by the hashes of their
-windows.
+differ while their sides agree can still share windows (at the ends of a
+match, or at edits).  Of each different one a single copy is compared: first by
+runs of ``GROUP`` windows, counted from the anchor, then by the single windows of
+the runs that are not shared whole.  So rows are regions and runs, never pairs,
+and only the runs at the ends of a match are told window by window.
 
 Each document is addressed by (id, hash of id and text), so null or repeated
-ids do no harm.  Counts are partially aggregated and joined back, so an anchor
-or region that a third of all documents share is spread by the skew join; what
-is gathered per document is bounded by the document.  The joins that would
-shuffle all texts or entries pass Spark's runtime Bloom filter first, of at
-most ``common.FILTER_BITS`` bits; on larger corpora it lets more rows through, never
-fewer than belong.
+ids do no harm.  Counts are partially aggregated and joined back from stored
+tables, so an anchor or region that a third of all documents share is spread by
+the skew join; what is gathered per document is bounded by the document.  The
+joins that would shuffle all texts or entries pass Spark's runtime Bloom filter
+first, of at most ``common.FILTER_BITS`` bits; on larger corpora it lets more rows
+through, never fewer than belong.
 
 Defined cases: null text is empty; text shorter than ``length`` loses nothing;
 equal documents of ``length`` bytes or more are removed whole, repeated rows
@@ -40,17 +43,18 @@ included.  Empty tables give empty results.
 from __future__ import annotations
 
 import hashlib
+import uuid
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import append_columns, bloom_filters, mix64, slices, store
 from .decontaminate import merged
 
-LENGTH, GRAM, BATCHES, GROUP = 200, 48, 4, 32
+LENGTH, GRAM, BATCHES, GROUP = 200, 48, 4, 16
 STARTS = 1 << 21            # windows that are looked at together
 LOW = np.uint64((1 << 24) - 1)
 
@@ -109,19 +113,37 @@ def _bytes_of(scalar) -> bytes:
     return b"" if text is None else text.encode("utf-8", "surrogatepass")
 
 
+def sides(first: np.ndarray, count: np.ndarray, lead: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, ...]:
+    """Regions parted by the side on which their windows hold half of their bytes: first, count, lead, and the bytes
+    that tell the side, from a to b."""
+    back = length - length // 2 + 1
+    left = np.clip(lead - back + 1, 0, count)
+    right = count - left
+    at = first + lead
+    order = np.argsort(np.concatenate([np.arange(len(first)), np.arange(len(first)) + 0.5]), kind="stable")
+    cols = [np.concatenate(pair)[order] for pair in ((first, first + left), (left, right), (lead, lead - left), (at - back, at), (at + GRAM, at + length // 2))]
+    held = cols[1] > 0
+    return tuple(c[held] for c in cols)
+
+
 def suffix_entries(keyed: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(id, th, first, count, lead, gram, region) of every region of ``keyed`` (id, th, text)."""
+    """(id, th, first, count, lead, gram, region) of every region of ``keyed`` (id, th, text); gram tells its side."""
     def run(batches):
+        digest = xxhash.xxh3_64_intdigest
+
+        def told(raw, a, b, seed=0):
+            return np.array([digest(raw[x:y], seed) for x, y in zip(a.tolist(), b.tolist())], dtype=np.uint64)
         for batch in batches:
             for part in slices(batch, 2):
                 rows, cols = [], [[], [], [], [], []]
                 for i in range(part.num_rows):
                     raw = _bytes_of(part.column(2)[i])
-                    first, count, lead, gram = regions(raw, length)
+                    first, count, lead, _ = regions(raw, length)
                     if len(first):
-                        digest, end = xxhash.xxh3_64_intdigest, first + count - 1 + length
-                        region = np.array([digest(raw[a:b]) for a, b in zip(first.tolist(), end.tolist())], dtype=np.uint64).view(np.int64)
-                        for c, x in zip(cols, (first, count, lead, gram, region)):
+                        first, count, lead, a, b = sides(first, count, lead, length)
+                        region = told(raw, first, first + count - 1 + length)
+                        gram = mix64(told(raw, a, b, 1) + (a < first + lead).astype(np.uint64))
+                        for c, x in zip(cols, (first, count, lead, gram.view(np.int64), region.view(np.int64))):
                             c.append(x)
                         rows.append(np.full(len(first), i))
                 if rows:
@@ -136,149 +158,183 @@ def suffix_entries(keyed: DataFrame, length: int = LENGTH) -> DataFrame:
 
 
 class LevelFamily:
-    """Sorted runs of (gram, n); equal-sized runs are merged, so there are logarithmically many."""
+    """Sorted runs of entries, one row for each of ``keys`` with the number of its entries; equal-sized runs are merged,
+    so there are logarithmically many.
+
+    With a ``root`` the runs are kept there, and a row has the place of one entry (``at``); a family that is opened
+    on the folder again goes on with them.  A call that dies leaves the family as it was: which runs are in it is
+    appended to its list last.
+    """
 
-    def __init__(self):
+    HOLDER = ("id", "th", "first", "count", "lead")
+
+    def __init__(self, spark: SparkSession | None = None, root: str | None = None):
+        self.root, self.version = root, 0
+        self.keys = ["gram"] if root is None else ["gram", "region"]
         self.levels: list[tuple[int, DataFrame]] = []
+        if root is not None:
+            self.paths: dict[int, str] = {}
+            runs = self._list(spark).groupBy("version").agg(F.collect_list(F.struct("rank", "path")).alias("runs")).orderBy(F.desc("version")).first()
+            if runs:
+                self.version, self.paths = runs["version"], {r["rank"]: r["path"] for r in runs["runs"]}
+                self.levels = [(rank, spark.read.schema(self.SCHEMA).parquet(self.paths[rank])) for rank in sorted(self.paths, reverse=True)]
+
+    SCHEMA = "gram bigint, region bigint, n bigint, at struct<id:bigint,th:bigint,first:int,count:int,lead:int>"
+    LISTED = "version bigint, rank int, path string"
+
+    def _list(self, spark: SparkSession) -> DataFrame:
+        spark.createDataFrame([], self.LISTED).write.mode("append").parquet(f"{self.root}/runs")     # an empty family is a family
+        return spark.read.schema(self.LISTED).parquet(f"{self.root}/runs")
 
-    @staticmethod
-    def _run(entries: DataFrame) -> DataFrame:
-        return entries.select("gram", F.lit(1).cast("bigint").alias("n"))
+    def _run(self, entries: DataFrame) -> DataFrame:
+        one = entries.select(*self.keys, F.lit(1).cast("bigint").alias("n"), *([] if self.root is None else [F.struct(*self.HOLDER).alias("at")]))
+        return one if self.root is None else self._scan(one)
 
-    @staticmethod
-    def _scan(runs: DataFrame) -> DataFrame:
-        return runs.groupBy("gram").agg(F.sum("n").alias("n"))
+    def _scan(self, runs: DataFrame) -> DataFrame:
+        return runs.groupBy(*self.keys).agg(F.sum("n").alias("n"), *([] if self.root is None else [F.min("at").alias("at")]))
 
     def add(self, entries: DataFrame) -> None:
-        """Sort a batch's suffixes, scan them with the equal-sized levels, and keep the merged run."""
+        """Sort a batch's entries, scan them with the equal-sized levels, and keep the merged run."""
         run, rank = self._run(entries), 0
         while self.levels and self.levels[-1][0] == rank:
             run, rank = run.unionByName(self.levels.pop()[1]), rank + 1
-        self.levels.append((rank, store(self._scan(run).sortWithinPartitions("gram"), "level")))
-
-    def matches(self, last: DataFrame | None = None) -> DataFrame:
-        """(gram, n) of the suffixes that meet in a scan of all levels and the last batch."""
+        run = self._scan(run)
+        if self.root is None:
+            self.levels.append((rank, store(run.sortWithinPartitions("gram"), "level")))
+            return
+        spark, path = entries.sparkSession, f"{self.root}/run-{uuid.uuid4().hex}"
+        run.repartition("gram").sortWithinPartitions("gram", "region").write.parquet(path)
+        self.levels.append((rank, spark.read.schema(self.SCHEMA).parquet(path)))
+        self.version += 1
+        self.paths = {r: p for r, p in self.paths.items() if r > rank} | {rank: path}
+        spark.createDataFrame([(self.version, r, p) for r, p in self.paths.items()], self.LISTED).coalesce(1).write.mode("append").parquet(f"{self.root}/runs")
+
+    def _all(self, last: DataFrame | None = None) -> DataFrame | None:
         runs = [level for _, level in self.levels] + ([] if last is None else [self._run(last)])
-        scanned = runs[0]
+        out = runs[0] if runs else None
         for r in runs[1:]:
-            scanned = scanned.unionByName(r)
-        return self._scan(scanned).where("n > 1")
-
-
-def shared_spans(group: list[dict], length: int) -> list[list[tuple[int, int]]]:
-    """For each of the different regions around one anchor (lead, count, bytes): the spans of its windows that
-    another one holds too, from common bytes to the left and right of the anchor."""
-    out: list[list[tuple[int, int]]] = [[] for _ in group]
-    parts = [(g["bytes"][:g["lead"]], g["bytes"][g["lead"]:]) for g in group]
-    for i, (left, right) in enumerate(parts):
-        for j in range(i):
-            other = parts[j]
-            n = min(len(left), len(other[0]))
-            x = int.from_bytes(left[len(left) - n:], "little") ^ int.from_bytes(other[0][len(other[0]) - n:], "little")
-            back = n - (x.bit_length() + 7) // 8
-            n = min(len(right), len(other[1]))
-            x = int.from_bytes(right[:n], "big") ^ int.from_bytes(other[1][:n], "big")
-            on = n - (x.bit_length() + 7) // 8
-            if back + on >= length:
-                for k in (i, j):
-                    lead = group[k]["lead"]
-                    out[k].append((lead - back, lead + on))
-    return out
+            out = out.unionByName(r)
+        return out
+
+    def matches(self, last: DataFrame | None = None) -> DataFrame:
+        """(gram, n) of the entries that meet in a scan of all levels and the last batch."""
+        return self._all(last).groupBy("gram").agg(F.sum("n").alias("n")).where("n > 1")
+
+    def holders(self, grams: DataFrame) -> DataFrame:
+        """(gram, region, n, at): what the kept levels have of ``grams``."""
+        return self._scan(self._all().join(grams, "gram"))
 
 
 def _shared_windows(keyed: DataFrame, classes: DataFrame, length: int) -> DataFrame:
-    """(gram, region, spans): of regions that occur once, what they share with other regions of their anchor
+    """(gram, region, spans): of regions that occur once, what they share with other regions of their side
     (spans from the region's start)."""
-    several = classes.groupBy("gram").agg(F.count(F.lit(1)).alias("rivals")).where("rivals > 1")
+    several = store(classes.groupBy("gram").agg(F.count(F.lit(1)).alias("rivals")).where("rivals > 1").drop("rivals"), "sides")
     contested = classes.join(several, "gram")
-    place = F.struct("at.first", "at.count", "at.lead", "gram", "region", F.col("rivals") <= GROUP)
+    place = F.struct("at.first", "at.count", "at.lead", "gram", "region")
     per_document = store(contested.groupBy("at.id", "at.th").agg(F.collect_list(place).alias("places"))
                          .withColumn("n", F.size("places")), "contested")
+    group = GROUP
 
     def expand(batches):
-        digest = xxhash.xxh64_intdigest
+        digest = xxhash.xxh3_64_intdigest
         for batch in batches:
             for part in slices(batch, 0):
                 for i in range(part.num_rows):
                     raw = _bytes_of(part.column(0)[i])
                     rows: list[tuple] = []
-                    for p in part.column(1)[i].as_py():
-                        first, count, lead, gram, region, few = p.values()
-                        if few:
-                            rows.append((gram, region, lead, count, raw[first:first + count - 1 + length], None, None))
-                        else:
-                            rows += [(gram, region, lead, count, None, k, digest(raw[first + k:first + k + length])) for k in range(count)]
+                    for first, count, lead, gram, region in (p.values() for p in part.column(1)[i].as_py()):
+                        # runs of windows whose starts are as far before the anchor, whatever the region
+                        for run in range((lead - count + 1) // group, lead // group + 1):
+                            a = first + max(lead - run * group - group + 1, 0)
+                            b = first + min(lead - run * group, count - 1)
+                            whole = digest(raw[a:b + length], run) if b - a + 1 == group else None
+                            rows.append((gram, region, a - first, whole, [digest(raw[x:x + length], 1) for x in range(a, b + 1)]))
                     cols = list(zip(*rows))
-                    windows = [None if w is None else w - (1 << 64) if w >> 63 else w for w in cols[6]]
+                    flat = np.array([x for w in cols[4] for x in w], dtype=np.uint64).view(np.int64)
+                    ends = np.cumsum([0, *map(len, cols[4])])
+                    whole = [None if w is None else w - (1 << 64) if w >> 63 else w for w in cols[3]]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int32()), pa.array(cols[3], pa.int32()),
-                         pa.array(cols[4], pa.binary()), pa.array(cols[5], pa.int32()), pa.array(windows, pa.int64())],
-                        names=["gram", "region", "lead", "count", "bytes", "offset", "window"])
+                        [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int32()), pa.array(whole, pa.int64()),
+                         pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))], names=["gram", "region", "start", "whole", "windows"])
 
     same = (keyed["th"] == per_document["th"]) & keyed["id"].eqNullSafe(per_document["id"])
     with bloom_filters(keyed.sparkSession):
-        pieces = store(keyed.join(per_document.where("n > 0"), same).select("text", "places").mapInArrow(
-            expand, "gram bigint, region bigint, lead int, count int, bytes binary, offset int, window bigint"), "pieces")
+        # equal rows of the table give a region twice, which is then no repeat of itself
+        runs = store(keyed.join(per_document.where("n > 0"), same).select("text", "places").mapInArrow(
+            expand, "gram bigint, region bigint, start int, whole bigint, windows array<bigint>"), "runs")
 
-    def compare(batches):
-        for batch in batches:
-            rows: list[tuple] = []
-            for gram, group in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                # equal rows of the table give a region twice
-                group = list({g["region"]: g for g in group}.values())
-                for g, spans in zip(group, shared_spans(group, length)):
-                    if spans:
-                        rows.append((gram, g["region"], [{"start": a, "end": b} for a, b in merged(spans)]))
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()),
-                                              pa.array([r[2] for r in rows], SPANS)], names=["gram", "region", "spans"])
-
-    few = pieces.where("bytes is not null").groupBy("gram").agg(F.collect_list(F.struct("region", "lead", "count", "bytes")).alias("group")) \
-        .mapInArrow(compare, f"gram bigint, region bigint, spans {SPANS_DDL}")
-    windows = pieces.where("bytes is null").select("gram", "region", "offset", "window")
-    repeated = windows.groupBy("gram", "window").agg(F.min("region").alias("x"), F.max("region").alias("y")) \
-        .where("x != y").select("gram", "window")
-    many = windows.join(repeated, ["gram", "window"]).groupBy("gram", "region").agg(F.collect_set("offset").alias("starts")) \
-        .select("gram", "region", F.transform("starts", lambda x: F.struct(x.alias("start"), (x + length).alias("end"))).alias("spans"))
-    return few.unionByName(many)
+    def repeated(rows: DataFrame, key: str, name: str) -> DataFrame:
+        found = rows.groupBy("gram", key).agg(F.min("region").alias("x"), F.max("region").alias("y")).where("x != y")
+        return store(found.select("gram", key), name)
+
+    shared = repeated(runs.where("whole is not null"), "whole", "shared-runs")
+    windows = repeated(runs.select("gram", "region", F.explode("windows").alias("window")), "window", "shared-windows")
+    known = runs.join(shared.withColumn("met", F.lit(True)), ["gram", "whole"], "left")
+    known = store(known.select("gram", "region", "start", F.size("windows").alias("n"), F.when(F.col("met").isNull(), F.col("windows")).alias("windows")), "known-runs")
+    runs = known.where("windows is null").select("gram", "region", "start", "n")
+    single = known.where("windows is not null").select("gram", "region", "start", F.posexplode("windows").alias("k", "window")) \
+        .join(windows, ["gram", "window"]).select("gram", "region", (F.col("start") + F.col("k")).alias("start"), F.lit(1).alias("n"))
+    span = F.struct("start", (F.col("start") + F.col("n") - 1 + length).alias("end"))
+    return runs.unionByName(single).groupBy("gram", "region").agg(F.collect_set(span).alias("spans"))
 
 
 SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 SPANS_DDL = "array<struct<start:int,end:int>>"
 
 
-def repeated_spans(keyed: DataFrame, length: int, batches: int) -> DataFrame:
+def repeated_spans(keyed: DataFrame, length: int, batches: int, kept: LevelFamily | None = None, earlier: DataFrame | None = None) -> DataFrame:
     """(id, th, spans): what is repeated in each document of ``keyed`` (id, th, text); spans may overlap."""
     spark = keyed.sparkSession
     entries = store(suffix_entries(keyed, length), "suffixes")
-    family = LevelFamily()
-    parts = [entries.where(F.pmod("th", F.lit(batches)) == b) for b in range(batches)]
-    for batch in parts[:-1]:
-        family.add(batch)
-    matches = store(family.matches(parts[-1]), "matches")
+    if kept is None:
+        family = LevelFamily()
+        parts = [entries.where(F.pmod("th", F.lit(batches)) == b) for b in range(batches)]
+        for batch in parts[:-1]:
+            family.add(batch)
+        matches = store(family.matches(parts[-1]).select("gram"), "matches")
+    else:
+        matches = store(kept.matches(entries).select("gram"), "matches")
     with bloom_filters(spark):
-        candidates = store(entries.join(matches.where("n > 1").select("gram"), "gram"), "candidates")
-    classes = store(candidates.groupBy("gram", "region").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "th", "first", "count", "lead")).alias("at")), "regions")
-    partial = _shared_windows(keyed, classes, length)
+        candidates = store(entries.join(matches, "gram"), "candidates")
+    classes = candidates.groupBy("gram", "region").agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "th", "first", "count", "lead")).alias("at"))
+    if kept is not None and kept.levels:
+        classes = classes.unionByName(kept.holders(matches)).groupBy("gram", "region").agg(F.sum("n").alias("n"), F.min("at").alias("at"))
+    classes = store(classes, "regions")
+    partial = _shared_windows(keyed if earlier is None else keyed.unionByName(earlier), classes, length)
     # a region that occurs twice is covered whole, whatever its windows share with others
     covered = classes.join(partial, ["gram", "region"], "left").where("n > 1 or spans is not null") \
         .select("gram", "region", F.when(F.col("n") == 1, F.col("spans")).alias("spans"))
     covered = store(covered, "covered")     # stored, so that the skew join can split what meets it
     whole = F.array(F.struct(F.lit(0).alias("start"), (F.col("count") - 1 + length).alias("end")))
     moved = F.transform(F.coalesce("spans", whole), lambda x: F.struct((F.col("first") + x["start"]).alias("start"), (F.col("first") + x["end"]).alias("end")))
-    return candidates.join(covered, ["gram", "region"]).select("id", "th", moved.alias("s")) \
+    spans = candidates.join(covered, ["gram", "region"]).select("id", "th", moved.alias("s")) \
         .groupBy("id", "th").agg(F.flatten(F.collect_set("s")).alias("found"))
+    if kept is not None:
+        spans = store(spans, "found")
+        kept.add(entries)
+    return spans
+
+
+def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return docs.select(F.col(id_col).cast("bigint").alias("id"), F.xxhash64(text, F.col(id_col)).alias("th"), text.alias("text"))
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, batches: int = BATCHES,
-                   keep_text: bool = False) -> DataFrame:
+                   keep_text: bool = False, family: str | None = None, earlier: DataFrame | None = None) -> DataFrame:
     """(id_col, n_bytes, n_removed, n_spans, kept_sha256, spans array<struct<start,end>>[, kept string]) per row;
-    ``kept`` may hold cut characters, so it is binary."""
+    ``kept`` may hold cut characters, so it is binary.
+
+    With ``family``, the folder of a kept index, ``docs`` are its next batch: they are judged against themselves and all
+    earlier batches, whose documents are ``earlier`` (only texts that a match has to be told from are read again).
+    """
     if length < 2 * GRAM:
         raise ValueError(f"length must be {2 * GRAM} or more")
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    keyed = docs.select(F.col(id_col).cast("bigint").alias("id"), F.xxhash64(text, F.col(id_col)).alias("th"), text.alias("text"))
-    spans = store(repeated_spans(keyed, length, batches).withColumn("n", F.size("found")), "spans")
+    keyed = _keyed(docs, id_col, text_col)
+    kept = None if family is None else LevelFamily(docs.sparkSession, family)
+    before = None if earlier is None else _keyed(earlier, id_col, text_col)
+    spans = store(repeated_spans(keyed, length, batches, kept, before).withColumn("n", F.size("found")), "spans")
     same = (keyed["th"] == spans["th"]) & keyed["id"].eqNullSafe(spans["id"])
 
     def start():

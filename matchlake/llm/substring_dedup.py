@@ -7,25 +7,26 @@ documents.
 Sparse suffixes: of every window of ``length`` bytes the anchor is the position
 whose next ``GRAM`` bytes have the least hash (the leftmost of equals).  It
 depends on the window's bytes alone, so equal windows have equal anchors, and
-about one position in 70 is one.  A window has half of its bytes to the right of
-its anchor, or more than half to the left; consecutive windows with one anchor
-and one such side make a region.  An entry is told by (hash of the side's
-bytes, hash of the region's bytes), together 128 bits, so a suffix is compared
-by ``length`` / 2 bytes at once.
+about one position in 70 is one.  Consecutive windows with one anchor make a
+region; an entry of the suffix array is (hash of the anchor's bytes, hash of
+the region's bytes), together 128 bits.
 
 Index family: documents come in batches.  A batch's entries are sorted, and
 scanned together with the levels that exist; equal-sized levels are merged, so
-an entry is rewritten logarithmically often.  Entries that meet are the
-candidates, all others are done with.  A family with a folder keeps its levels
-there, with the place of one holder of each region, so that a later call takes
-its documents as a new batch and finds what repeats earlier ones.
+an entry is rewritten logarithmically often.  Anchors that meet are the
+candidates, all other entries are done with.  A family with a folder keeps its
+levels there, with the place of one holder of each region, so that a later call
+takes its documents as a new batch and finds what repeats earlier ones.
 
 Long matches: a region that occurs twice is repeated whole.  Regions that
-differ while their sides agree can still share windows (at the ends of a
-match, or at edits).  Of each different one a single copy is compared: first by
-runs of ``GROUP`` windows, counted from the anchor, then by the single windows of
-the runs that are not shared whole.  So rows are regions and runs, never pairs,
-and only the runs at the ends of a match are told window by window.
+differ while their anchors agree can still share windows (at the ends of a
+match, or at edits).  Of each different one a single copy is compared.  Up to
+``GROUP`` regions of an anchor are compared byte by byte to either side of it.
+More are parted by what lies beside the anchor (a window holds half of its
+bytes to the right of it or more than half to the left) and compared by runs of
+``RUN`` windows, counted from the anchor: equal runs are one content, and only
+runs of different contents are told window by window.  So rows are regions and
+runs, never pairs, and an edit costs the windows of the one run that it ends in.
 
 Each document is addressed by (id, hash of id and text), so null or repeated
 ids do no harm.  Counts are partially aggregated and joined back from stored
@@ -54,9 +55,10 @@ from pyspark.sql import functions as F
 from .common import append_columns, bloom_filters, mix64, slices, store
 from .decontaminate import merged
 
-LENGTH, GRAM, BATCHES, GROUP = 200, 48, 4, 16
+LENGTH, GRAM, BATCHES, GROUP, RUN = 200, 48, 4, 32, 16
 STARTS = 1 << 21            # windows that are looked at together
 LOW = np.uint64((1 << 24) - 1)
+MASK = (1 << 64) - 1
 
 
 def _byte_values() -> np.ndarray:
@@ -108,6 +110,10 @@ def regions(buffer: bytes, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray
     return first, np.diff(first, append=n), anchor - first, gram.view(np.int64)
 
 
+def _signed(x: int | None) -> int | None:
+    return None if x is None else x - (1 << 64) if x >> 63 else x
+
+
 def _bytes_of(scalar) -> bytes:
     text = scalar.as_py()
     return b"" if text is None else text.encode("utf-8", "surrogatepass")
@@ -127,23 +133,18 @@ def sides(first: np.ndarray, count: np.ndarray, lead: np.ndarray, length: int =
 
 
 def suffix_entries(keyed: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(id, th, first, count, lead, gram, region) of every region of ``keyed`` (id, th, text); gram tells its side."""
+    """(id, th, first, count, lead, gram, region) of every region of ``keyed`` (id, th, text)."""
     def run(batches):
-        digest = xxhash.xxh3_64_intdigest
-
-        def told(raw, a, b, seed=0):
-            return np.array([digest(raw[x:y], seed) for x, y in zip(a.tolist(), b.tolist())], dtype=np.uint64)
         for batch in batches:
             for part in slices(batch, 2):
                 rows, cols = [], [[], [], [], [], []]
                 for i in range(part.num_rows):
                     raw = _bytes_of(part.column(2)[i])
-                    first, count, lead, _ = regions(raw, length)
+                    first, count, lead, gram = regions(raw, length)
                     if len(first):
-                        first, count, lead, a, b = sides(first, count, lead, length)
-                        region = told(raw, first, first + count - 1 + length)
-                        gram = mix64(told(raw, a, b, 1) + (a < first + lead).astype(np.uint64))
-                        for c, x in zip(cols, (first, count, lead, gram.view(np.int64), region.view(np.int64))):
+                        digest, end = xxhash.xxh3_64_intdigest, first + count - 1 + length
+                        region = np.array([digest(raw[a:b]) for a, b in zip(first.tolist(), end.tolist())], dtype=np.uint64).view(np.int64)
+                        for c, x in zip(cols, (first, count, lead, gram, region)):
                             c.append(x)
                         rows.append(np.full(len(first), i))
                 if rows:
@@ -225,57 +226,104 @@ class LevelFamily:
         return self._scan(self._all().join(grams, "gram"))
 
 
+def shared_spans(group: list[dict], length: int) -> list[list[tuple[int, int]]]:
+    """For each of the different regions around one anchor (lead, count, bytes): the spans of its windows that
+    another one holds too, from common bytes to the left and right of the anchor."""
+    out: list[list[tuple[int, int]]] = [[] for _ in group]
+    parts = [(g["bytes"][:g["lead"]], g["bytes"][g["lead"]:]) for g in group]
+    for i, (left, right) in enumerate(parts):
+        for j in range(i):
+            other = parts[j]
+            n = min(len(left), len(other[0]))
+            x = int.from_bytes(left[len(left) - n:], "little") ^ int.from_bytes(other[0][len(other[0]) - n:], "little")
+            back = n - (x.bit_length() + 7) // 8
+            n = min(len(right), len(other[1]))
+            x = int.from_bytes(right[:n], "big") ^ int.from_bytes(other[1][:n], "big")
+            on = n - (x.bit_length() + 7) // 8
+            if back + on >= length:
+                for k in (i, j):
+                    lead = group[k]["lead"]
+                    out[k].append((lead - back, lead + on))
+    return out
+
+
 def _shared_windows(keyed: DataFrame, classes: DataFrame, length: int) -> DataFrame:
-    """(gram, region, spans): of regions that occur once, what they share with other regions of their side
+    """(gram, region, spans): of regions that occur once, what they share with other regions of their anchor
     (spans from the region's start)."""
-    several = store(classes.groupBy("gram").agg(F.count(F.lit(1)).alias("rivals")).where("rivals > 1").drop("rivals"), "sides")
+    several = store(classes.groupBy("gram").agg(F.count(F.lit(1)).alias("rivals")).where("rivals > 1"), "anchors")
     contested = classes.join(several, "gram")
-    place = F.struct("at.first", "at.count", "at.lead", "gram", "region")
+    place = F.struct("at.first", "at.count", "at.lead", "gram", "region", F.col("rivals") <= GROUP)
     per_document = store(contested.groupBy("at.id", "at.th").agg(F.collect_list(place).alias("places"))
                          .withColumn("n", F.size("places")), "contested")
-    group = GROUP
 
     def expand(batches):
         digest = xxhash.xxh3_64_intdigest
+
+        def runs(raw, first, count, lead, gram, region):
+            """Runs of windows, counted from the anchor and parted by the side on which they hold half of their bytes."""
+            for at, n, to, a, b in zip(*(x.tolist() for x in sides(*(np.array([v]) for v in (first, count, lead)), length))):
+                side = digest(raw[a:b], gram & MASK ^ int(a < at + to))
+                for run in range((to - n + 1) // RUN, to // RUN + 1):
+                    x, y = at + max(to - run * RUN - RUN + 1, 0), at + min(to - run * RUN, n - 1)
+                    yield (gram, region, None, None, None, side, run, x - first, digest(raw[x:y + length], at + to - x),
+                           [digest(raw[k:k + length], side) for k in range(x, y + 1)])
+
         for batch in batches:
             for part in slices(batch, 0):
                 for i in range(part.num_rows):
                     raw = _bytes_of(part.column(0)[i])
                     rows: list[tuple] = []
-                    for first, count, lead, gram, region in (p.values() for p in part.column(1)[i].as_py()):
-                        # runs of windows whose starts are as far before the anchor, whatever the region
-                        for run in range((lead - count + 1) // group, lead // group + 1):
-                            a = first + max(lead - run * group - group + 1, 0)
-                            b = first + min(lead - run * group, count - 1)
-                            whole = digest(raw[a:b + length], run) if b - a + 1 == group else None
-                            rows.append((gram, region, a - first, whole, [digest(raw[x:x + length], 1) for x in range(a, b + 1)]))
+                    for p in part.column(1)[i].as_py():
+                        first, count, lead, gram, region, few = p.values()
+                        if few:
+                            rows.append((gram, region, lead, count, raw[first:first + count - 1 + length], None, None, None, None, None))
+                        else:
+                            rows += runs(raw, first, count, lead, gram, region)
                     cols = list(zip(*rows))
-                    flat = np.array([x for w in cols[4] for x in w], dtype=np.uint64).view(np.int64)
-                    ends = np.cumsum([0, *map(len, cols[4])])
-                    whole = [None if w is None else w - (1 << 64) if w >> 63 else w for w in cols[3]]
+                    windows = pa.array([None if w is None else [_signed(x) for x in w] for w in cols[9]], pa.list_(pa.int64()))
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int32()), pa.array(whole, pa.int64()),
-                         pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))], names=["gram", "region", "start", "whole", "windows"])
+                        [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int32()), pa.array(cols[3], pa.int32()),
+                         pa.array(cols[4], pa.binary()), pa.array([_signed(x) for x in cols[5]], pa.int64()), pa.array(cols[6], pa.int32()),
+                         pa.array(cols[7], pa.int32()), pa.array([_signed(x) for x in cols[8]], pa.int64()), windows],
+                        names=["gram", "region", "lead", "count", "bytes", "side", "run", "start", "whole", "windows"])
 
     same = (keyed["th"] == per_document["th"]) & keyed["id"].eqNullSafe(per_document["id"])
     with bloom_filters(keyed.sparkSession):
-        # equal rows of the table give a region twice, which is then no repeat of itself
-        runs = store(keyed.join(per_document.where("n > 0"), same).select("text", "places").mapInArrow(
-            expand, "gram bigint, region bigint, start int, whole bigint, windows array<bigint>"), "runs")
-
-    def repeated(rows: DataFrame, key: str, name: str) -> DataFrame:
-        found = rows.groupBy("gram", key).agg(F.min("region").alias("x"), F.max("region").alias("y")).where("x != y")
-        return store(found.select("gram", key), name)
-
-    shared = repeated(runs.where("whole is not null"), "whole", "shared-runs")
-    windows = repeated(runs.select("gram", "region", F.explode("windows").alias("window")), "window", "shared-windows")
-    known = runs.join(shared.withColumn("met", F.lit(True)), ["gram", "whole"], "left")
-    known = store(known.select("gram", "region", "start", F.size("windows").alias("n"), F.when(F.col("met").isNull(), F.col("windows")).alias("windows")), "known-runs")
-    runs = known.where("windows is null").select("gram", "region", "start", "n")
-    single = known.where("windows is not null").select("gram", "region", "start", F.posexplode("windows").alias("k", "window")) \
-        .join(windows, ["gram", "window"]).select("gram", "region", (F.col("start") + F.col("k")).alias("start"), F.lit(1).alias("n"))
+        pieces = store(keyed.join(per_document.where("n > 0"), same).select("text", "places").mapInArrow(
+            expand, "gram bigint, region bigint, lead int, count int, bytes binary, side bigint, run int, start int, whole bigint, windows array<bigint>"),
+            "pieces")
+
+    def compare(batches):
+        for batch in batches:
+            rows: list[tuple] = []
+            for gram, group in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                # equal rows of the table give a region twice
+                group = list({g["region"]: g for g in group}.values())
+                for g, spans in zip(group, shared_spans(group, length)):
+                    if spans:
+                        rows.append((gram, g["region"], [{"start": a, "end": b} for a, b in merged(spans)]))
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()),
+                                              pa.array([r[2] for r in rows], SPANS)], names=["gram", "region", "spans"])
+
+    few = pieces.where("bytes is not null").groupBy("gram").agg(F.collect_list(F.struct("region", "lead", "count", "bytes")).alias("group")) \
+        .mapInArrow(compare, f"gram bigint, region bigint, spans {SPANS_DDL}")
+    runs = pieces.where("bytes is null").select("gram", "region", "side", "run", "start", "whole", "windows")
+    # equal runs are one content; a content of several regions is shared whole
+    contents = store(runs.groupBy("side", "run", "whole").agg(F.min("region").alias("x"), F.max("region").alias("y"), F.first("windows").alias("windows"))
+                     .withColumn("shared", F.col("x") != F.col("y")).drop("x", "y"), "contents")
+    # single windows are told only where the contents of one run differ
+    differ = contents.groupBy("side", "run").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("side", "run")
+    windows = contents.join(differ, ["side", "run"]).select("side", "whole", F.explode("windows").alias("window"))
+    windows = windows.groupBy("side", "window").agg(F.min("whole").alias("x"), F.max("whole").alias("y")).where("x != y").select("side", "window")
+    windows = store(windows, "shared-windows")
+    whole = store(contents.where("shared").select("side", "run", "whole"), "shared-runs")
+    alone = store(contents.where("not shared").select("side", "run", "whole"), "single-runs")
+    shared = runs.join(whole, ["side", "run", "whole"]).select("gram", "region", "start", F.size("windows").alias("n"))
+    single = runs.join(alone, ["side", "run", "whole"]).select("gram", "region", "start", "side", F.posexplode("windows").alias("k", "window")) \
+        .join(windows, ["side", "window"]).select("gram", "region", (F.col("start") + F.col("k")).alias("start"), F.lit(1).alias("n"))
     span = F.struct("start", (F.col("start") + F.col("n") - 1 + length).alias("end"))
-    return runs.unionByName(single).groupBy("gram", "region").agg(F.collect_set(span).alias("spans"))
+    many = shared.unionByName(single).groupBy("gram", "region").agg(F.collect_set(span).alias("spans"))
+    return few.unionByName(many)
 
 
 SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from ..functions.time import ISO_SECONDS, format_ts, shift_hours
@@ -15,8 +16,8 @@ from ..operators import Check, check_castable, check_not_null, check_report, che
 from ..operators.relational import only_new
 from ..schemas import API_ERROR_LOG, MATCH_IN_STORAGE
 from ..session import scratch_path
-from ..sources import append, as_view, error_log, land_json, overwrite_partitions, replace, snapshot
-from ..streaming import dedupe_within_watermark, file_stream, run_available
+from ..sources import append, as_view, error_log, land_json, overwrite_partitions, read_replaced, replace, snapshot
+from ..streaming import file_stream, keep_first, read_kept, run_available
 from .derived import order_lines
 from .q_core import LOADED_BEFORE
 from .registry import Tables, register
@@ -53,7 +54,22 @@ def sink_replace(spark, d):
     o = Tables(spark, d).orders.select("o_orderkey", "o_orderstatus")
     replace(o, path)
     replace(o.filter(F.col("o_orderstatus") != "P"), path)
-    return spark.read.parquet(path)
+    return read_replaced(spark, path)
+
+
+@register("replace_fails", "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus <> 'P'")
+def replace_fails(spark, d):
+    """A replace that dies on some of its rows, and one that dies before it is made current: readers see the content before."""
+    path = scratch_path(spark, "replace_fails")
+    o = Tables(spark, d).orders.select("o_orderkey", "o_orderstatus")
+    replace(o.filter(F.col("o_orderstatus") != "P"), path)
+    try:
+        bad = F.when(F.col("o_orderstatus") == "P", F.raise_error(F.lit("pending"))).otherwise(F.col("o_orderstatus"))
+        replace(o.select("o_orderkey", bad.cast("string").alias("o_orderstatus")), path)
+    except PySparkException:
+        pass
+    o.filter(F.col("o_orderstatus") == "P").write.parquet(f"{path}/content-of-a-dead-run")
+    return read_replaced(spark, path)
 
 
 @register("sink_view", "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus <> 'P'")
@@ -152,18 +168,35 @@ def stream_new_files(spark, d):
     return spark.read.schema(schema).parquet(f"{base}/sink")
 
 
+# Three landings: users of one remainder come first in each, and later ones repeat users of earlier ones.
+_LANDING_SQL = """CASE WHEN event_type = 'view' AND user_id % 3 = 0 THEN 0
+  WHEN event_type IN ('view', 'click') AND user_id % 3 <= 1 THEN 1 ELSE 2 END"""
+
+
+def _kept_events(spark, d, name):
+    base = scratch_path(spark, name)
+    schema = "event_id bigint, ts timestamp_ntz, user_id bigint"
+    e = Tables(spark, d).events.withColumn("landing", F.expr(_LANDING_SQL))
+    for n in range(3):
+        e.filter(F.col("landing") == n).select("event_id", "ts", "user_id").write.parquet(f"{base}/landing/batch={n}")
+        keep_first(file_stream(spark, f"{base}/landing/*", schema), f"{base}/sink", f"{base}/checkpoint", ["user_id"], ["ts", "event_id"])
+    return read_kept(spark, f"{base}/sink", schema)
+
+
 @register("stream_dedupe", "SELECT DISTINCT user_id FROM events")
 def stream_dedupe(spark, d):
-    base = scratch_path(spark, "stream_dedupe")
-    events = Tables(spark, d).events.select("event_id", "ts", "user_id")
-    events.write.parquet(f"{base}/landing")
-    # once per user over all of the input: the delay is its whole span of time
-    seconds = F.unix_seconds(F.max(F.col("ts").cast("timestamp"))) - F.unix_seconds(F.min(F.col("ts").cast("timestamp")))
-    delay = f"{(events.agg(seconds).first()[0] or 0) + 1} seconds"
-    stream = file_stream(spark, f"{base}/landing", "event_id bigint, ts timestamp_ntz, user_id bigint")
-    run_available(dedupe_within_watermark(stream, ["user_id"], "ts", delay),
-                  f"{base}/sink", f"{base}/checkpoint")
-    return spark.read.parquet(f"{base}/sink").select("user_id")
+    """Three landings over the whole span of time, a run after each: each user once, with no delay to be set."""
+    return _kept_events(spark, d, "stream_dedupe").select("user_id")
+
+
+@register("stream_keep_first", f"""
+SELECT user_id, event_id, ts FROM (
+  SELECT user_id, event_id, ts, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY landing, ts NULLS FIRST, event_id) AS rn
+  FROM (SELECT *, {_LANDING_SQL} AS landing FROM events))
+WHERE rn = 1""")
+def stream_keep_first(spark, d):
+    """Which event of each user is kept: the earliest of the landing in which the user came first."""
+    return _kept_events(spark, d, "stream_keep_first").select("user_id", "event_id", "ts")
 
 
 @register("enforce_schema", """

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import (explode_child, explode_positional, flatten_shallow, flatten_struct, union_by_name,
                          vertical_split)
 from ..session import materialize, scratch_path
-from ..sources import explode_envelope, map_to_rows, maps_callouts, read_documents
+from ..sources import explode_envelope, map_to_rows, maps_callouts, read_documents, read_replaced
 from .derived import FULL_TEAM, SQL_ROSTER_SUPPLIERS, roster_suppliers
 from .documents import conversation_docs, customer_docs, envelope_docs, maps_docs
 from .registry import Tables, register
@@ -286,5 +286,5 @@ def marts_replace(spark, d):
     root = scratch_path(spark, "marts")
     for _ in range(2):
         write_marts(built, root)
-    counts = [spark.read.parquet(f"{root}/{name}").agg(F.lit(name).alias("mart"), F.count(F.lit(1)).alias("n_rows")) for name in built]
+    counts = [read_replaced(spark, f"{root}/{name}").agg(F.lit(name).alias("mart"), F.count(F.lit(1)).alias("n_rows")) for name in built]
     return reduce(lambda a, b: a.unionByName(b), counts)

@@ -3,17 +3,26 @@
 Targets are paths (Parquet unless ``fmt`` says otherwise) or, when the
 name has no ``/``, catalog tables.  All writes go through Spark's commit
 protocol, so a lost executor only re-runs its tasks.
+
+A replaced table is never half there: each content is written to a folder of
+its own, and then made the current one by a commit in the table's log (a path)
+or by replacing the view of that name (a catalog).  A job that fails leaves the
+old content, and readers that have begun go on with the content they know.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.keys import md5_key
 from ..functions.time import ISO_SECONDS, parse_ts
+from ..schemas import CONTENT_COMMIT
+from .commits import CommitLog, file_system
 
 
 def _is_path(target: str) -> bool:
@@ -33,10 +42,52 @@ def append(df: DataFrame, target: str, fmt: str = "parquet", partition_by: Seque
     w.save(target) if _is_path(target) else w.saveAsTable(target)
 
 
+def _contents(spark: SparkSession, target: str) -> CommitLog:
+    return CommitLog(spark, f"{target.rstrip('/')}/contents", CONTENT_COMMIT)
+
+
 def replace(df: DataFrame, target: str, fmt: str = "parquet") -> None:
-    """Replace the whole table (create-or-replace semantics)."""
-    w = df.write.mode("overwrite").format(fmt)
-    w.save(target) if _is_path(target) else w.saveAsTable(target)
+    """Replace the whole table (create-or-replace semantics); a path is read with ``read_replaced``.
+
+    In a catalog, ``target`` becomes a view of the new content; a table of that name made elsewhere is overwritten
+    in place.  Of writers that replace at once, the last to finish wins.
+    """
+    spark = df.sparkSession
+    if _is_path(target):
+        folder = f"{target.rstrip('/')}/content-{uuid.uuid4().hex}"
+        df.write.format(fmt).save(folder)
+        log = _contents(spark, target)
+        while not log.put(log.latest() + 1, folder=folder.rsplit("/", 1)[1], format=fmt, columns=df.schema.json()):
+            pass
+        return
+    if spark.catalog.tableExists(target) and spark.catalog.getTable(target).tableType not in ("VIEW", "TEMPORARY"):
+        df.write.mode("overwrite").format(fmt).saveAsTable(target)
+        return
+    root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    folder = f"{root}/{target.replace('.', '/')}/content-{uuid.uuid4().hex}"
+    df.write.format(fmt).save(folder)
+    spark.sql(f"CREATE OR REPLACE VIEW {target} AS SELECT * FROM {fmt}.`{folder}`")
+
+
+def read_replaced(spark: SparkSession, target: str) -> DataFrame:
+    """The current content of a replaced table."""
+    if not _is_path(target):
+        return spark.table(target)
+    now = _contents(spark, target).frame().orderBy(F.desc("version")).first()
+    if now is None:
+        raise FileNotFoundError(f"{target} has no content yet")
+    return spark.read.schema(T._parse_datatype_json_string(now["columns"])).format(now["format"]).load(f"{target.rstrip('/')}/{now['folder']}")
+
+
+def drop_old_contents(spark: SparkSession, target: str, keep: int = 2) -> int:
+    """Delete all but the last ``keep`` contents of a replaced path, for when no reader uses them any more; returns how
+    many."""
+    old = _contents(spark, target).frame().orderBy(F.desc("version")).offset(max(1, keep)).select("folder")
+    dropped = 0
+    for r in old.toLocalIterator():
+        fs, path = file_system(spark, f"{target.rstrip('/')}/{r['folder']}")
+        dropped += bool(fs.delete(path, True))
+    return dropped
 
 
 def as_view(df: DataFrame, name: str) -> DataFrame:

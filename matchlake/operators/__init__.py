@@ -1,6 +1,6 @@
 """DataFrame -> DataFrame operators (nested, relational, contract, checks)."""
 
-from .checks import Check, check_not_null, check_report, check_unique
+from .checks import Check, check_not_null, check_report, check_unique, read_checks
 from .contract import cast_first_n, check_castable, contract_types, enforce, read_contract, warehouse_schema
 from .nested import (explode_child, explode_positional, flatten_shallow,
                      flatten_struct, vertical_split)
@@ -9,7 +9,7 @@ from .relational import (cond_count_distinct, count_distinct, dedupe, first_per_
                          star_except, top1_rows, union_all, union_by_name)
 
 __all__ = [
-    "Check", "check_not_null", "check_report", "check_unique",
+    "Check", "check_not_null", "check_report", "check_unique", "read_checks",
     "cast_first_n", "check_castable", "contract_types", "enforce", "read_contract", "warehouse_schema",
     "explode_child", "explode_positional", "flatten_shallow", "flatten_struct",
     "vertical_split",

@@ -6,11 +6,12 @@ filter, and :func:`check_report` unions their one-row summaries.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .nested import q
@@ -50,6 +51,14 @@ class Check:
             F.lit(",".join(cols)).alias("column_name"), F.col("failures"))
 
 
+def read_checks(spark: SparkSession, path: str, tables: Mapping[str, DataFrame]) -> list[Check]:
+    """The checks that a JSON file declares, ``{table: {column: [kind, ...]}}``, in any store; the columns of a composite
+    key are joined by commas.  ``tables`` are the frames by name; a table that is not there is an error."""
+    declared = json.loads(spark.read.text(path, wholetext=True).first()[0])
+    return [Check(kind, table, tuple(column.split(",")) if "," in column else column, tables[table])
+            for table, columns in declared.items() for column, kinds in columns.items() for kind in kinds]
+
+
 def _null_counts(table: str, checks: Sequence[Check]) -> DataFrame:
     """The not-null checks of one frame in one aggregate, a row for each column."""
     cols = [c.column if isinstance(c.column, str) else c.column[0] for c in checks]

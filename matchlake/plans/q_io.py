@@ -12,7 +12,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from ..functions.time import ISO_SECONDS, format_ts, shift_hours
-from ..operators import Check, check_castable, check_not_null, check_report, check_unique, enforce, read_contract
+from ..operators import check_castable, check_not_null, check_report, check_unique, enforce, read_checks, read_contract
 from ..operators.relational import only_new
 from ..schemas import API_ERROR_LOG, MATCH_IN_STORAGE
 from ..session import scratch_path
@@ -31,6 +31,9 @@ RELOAD_YEAR = 1995
 EVENT_CONTRACT = {"int": ["event_id", "user_id", "props"], "float": ["value"], "bool": ["is_error"],
                   "str": ["event_type"]}
 
+DECLARED_CHECKS = {"lineitem": {"l_orderkey,l_linenumber": ["unique"]}, "orders": {"o_orderkey": ["unique"]},
+                   "order_lines": {"n_lines": ["not_null"]}, "customer": {"c_name": ["not_null"]}}
+
 
 def _events_as_text(T: Tables):
     e = T.events
@@ -256,12 +259,10 @@ SELECT 'not_null', 'order_lines', 'n_lines',
 UNION ALL
 SELECT 'not_null', 'customer', 'c_name', (SELECT COUNT(*) FROM customer WHERE c_name IS NULL)""")
 def check_report_q(spark, d):
+    """The checks are declared in a file and read from there."""
     T = Tables(spark, d)
     ol = T.orders.select("o_orderkey").join(order_lines(T).select("matchid", "n_lines"),
                                             F.col("o_orderkey") == F.col("matchid"), "left")
-    return check_report([
-        Check("unique", "lineitem", ("l_orderkey", "l_linenumber"), T.lineitem),
-        Check("unique", "orders", "o_orderkey", T.orders),
-        Check("not_null", "order_lines", "n_lines", ol),
-        Check("not_null", "customer", "c_name", T.customer),
-    ])
+    path = scratch_path(spark, "checks")
+    spark.createDataFrame([(json.dumps(DECLARED_CHECKS),)], "value string").coalesce(1).write.text(path)
+    return check_report(read_checks(spark, path, {"lineitem": T.lineitem, "orders": T.orders, "order_lines": ol, "customer": T.customer}))

@@ -116,12 +116,17 @@ def ids_from_paths(df: DataFrame, path_col: str = "source_path", id_col: str = "
     return df.select(id_from_path(path_col).alias(id_col)).distinct()
 
 
-def list_stored_ids(spark: SparkSession, folder: str, id_col: str = "matchid",
-                    glob: str = "*.json") -> DataFrame:
-    """Ids of stored documents from the file listing only (content unread)."""
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder)
+# Fixed value: the value of the last folder's ``key=value`` name.
+FOLDER_VALUE = r"=([^/=]*)/[^/]+$"
+
+
+def list_stored_ids(spark: SparkSession, folder: str | list[str], id_col: str = "matchid",
+                    glob: str = "*.json", by_folder: bool = False) -> DataFrame:
+    """Ids of stored documents from the file listing only (content unread): the files' names, or with ``by_folder``
+    those of the ``key=<id>`` folders that they lie in, of one or several landing folders."""
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(folder)
              .select("path"))
-    return files.select(id_from_path("path").alias(id_col)).distinct()
+    return files.select((id_from_path("path", FOLDER_VALUE) if by_folder else id_from_path("path")).alias(id_col)).distinct()
 
 
 def map_to_rows(df: DataFrame, col: str, key: str = "key", value: str = "value",

@@ -183,3 +183,24 @@ def test_order_with_very_many_lines(spark):
     assert mid["count"] == n
     assert [r["round"] for r in star["round"].filter(F.col("matchid") == mid["matchid"]).orderBy("round").collect()] == list(range(n))
     assert star["player"].groupBy("matchid", "puuid").count().filter("count > 1").count() == 0
+
+
+def test_bucketed_star_join_has_no_exchange(spark):
+    from matchlake.plans import QUERIES
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = QUERIES["star_join_bucketed"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("SortMergeJoin") == 4 and "Exchange" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_ids_from_folders_of_the_listing(spark):
+    from matchlake.sources import list_stored_ids
+    land = scratch_path(spark, "land")
+    spark.createDataFrame([("m1", 1), ("m 2", 2), ("m1", 3)], "matchid string, x int").repartition(2).write.partitionBy("matchid").json(f"{land}/a")
+    spark.createDataFrame([("m3", 1)], "matchid string, x int").write.partitionBy("matchid").json(f"{land}/b")
+    ids = list_stored_ids(spark, [f"{land}/a", f"{land}/b"], by_folder=True)
+    assert rows(ids) == [("m 2",), ("m1",), ("m3",)]
+    assert "content" not in ids._jdf.queryExecution().executedPlan().toString().split("ReadSchema")[-1]

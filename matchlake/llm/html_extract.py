@@ -2,24 +2,29 @@
 
 Every page is parsed into elements.  The subtree of an element is hashed from
 its tag, its text and its children's hashes; Spark counts on how many
-different pages of its host each hash stands (pages with the same main element
-count once, so copies of an article make no template).  Subtrees that recur on
-at least ``min_pages`` pages and ``min_share`` of a host's pages are the site's
-template and are deleted; this bounds the templates of a host by the subtrees
-of a page over ``min_share``.  Hosts with few pages have no counts to go by,
-so elements whose tag, role or class says that they are no main text (menus,
+different pages of its host each hash stands (pages whose main elements have
+the same blocks, but for the shortest that make up a tenth of the text at most,
+count once, so copies and near copies of an article make no template).  Subtrees that recur on ``many`` pages of a host, however large it
+is, or on at least ``few`` pages and half of a smaller host are the site's
+template and are deleted.  Hosts with few pages have no counts to go by, so
+elements whose tag, role or class says that they are no main text (menus,
 footers, adverts, forms, comments) are deleted as well.
 
 Main text is what stands in ``article`` or ``main`` elements, or in the body of
 a page without them.  Inside a main element only containers (not paragraphs
 or headings) can be template: a sentence that many articles quote stays.
-Character references are decoded, white space in a block becomes one space,
-blocks are joined in page order by one space.
+Classes count by their words on block containers alone (``with-sidebar`` and the
+like say what else the page has, and do not), ids and roles as a whole; neither
+a template nor a class or id takes an element that holds most of the text (over
+``MOST`` of it).  Character references are decoded, white space in a block
+becomes one space, blocks are joined in page order by one space.
 
 Defined cases: null html is empty and gives empty text.  Pages whose url has no
 host (or is null) have no template counts.  Missing end tags are closed as
-browsers do; what an unclosed script, style or comment swallows is no text.
-Rows are independent apart from the counts; repeated rows each give their row.
+browsers do; what an unclosed script, style or comment swallows is no text, but
+an element that browsers show instead of its content (video, svg, ...) loses it
+only if it is closed.  Rows are independent apart from the counts; repeated
+rows each give their row.
 """
 
 from __future__ import annotations
@@ -35,11 +40,13 @@ from pyspark.sql import functions as F
 
 from .common import append_columns, store, texts_of
 
-MIN_PAGES, MIN_SHARE = 3, 0.1
+MANY_PAGES, FEW_PAGES, MOST = 20, 5, 2 / 3
 
 # HTML element names by role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title svg math iframe object canvas audio video select".split())
+RAW = frozenset("script style textarea title iframe".split())
+REPLACED = frozenset("svg math object canvas audio video select noscript template".split())      # their content is not shown
+FOREIGN = frozenset("svg math".split())
 NEVER = frozenset("nav footer aside form button dialog menu".split())   # no main text wherever they stand
 MAIN = frozenset("article main".split())
 INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup "
@@ -57,11 +64,29 @@ MARKS = frozenset("ad ads advert advertisement adverts banner breadcrumb breadcr
 OUTER_MARKS = frozenset("header masthead related widget".split())
 
 TAG = re.compile(r"<(?:!--|(/?)([a-zA-Z][^\s/>]*)|[!?])")
+# A class that begins so speaks of the page, not of the element.
+ABOUT_PAGE = frozenset("with without has have no not is show hide".split())
+MARKED = CONTAINERS | MAIN | frozenset("blockquote center".split())
 ATTRIBUTE = re.compile(r"""(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 TAG_END = re.compile(r"""[^"'>]*(?:(?:"[^"]*"|'[^']*')[^"'>]*)*>""")
 PIECE = re.compile(r"[a-z]+")
 
 
+def marks_of(tag: str, attributes: str, known: frozenset) -> frozenset:
+    """Which of the ``known`` words the class, id and role of a container say of it."""
+    if tag not in MARKED or "=" not in attributes:
+        return frozenset()
+    found = set()
+    for key, value in ATTRIBUTE.findall(attributes):
+        value = value.strip("\"'").lower()
+        if key.lower() == "class":
+            words = [PIECE.findall(token) for token in value.split()]
+            found.update(w for token in words if token and token[0] not in ABOUT_PAGE for w in token)
+        elif key.lower() == "role" or tag != "section":
+            found.add(value.strip())
+    return frozenset(found & known)
+
+
 @dataclass
 class _Open:
     tag: str
@@ -85,26 +110,62 @@ class Page:
         self.has_main = False
         self.main_hash = 0
         self.stack = [_Open("", frozenset(), False, 0, 0, 0)]
-        self.count: dict[str, int] = {}
+        self.where: dict[str, list[int]] = {}      # places of the open elements, by tag
         self.mains = 0
+        self.blocks: list[str] = []         # of main elements
+        self.later: list[tuple[bool, int, int, int, int]] = []      # to delete unless it is most of the text
         self._read(html)
         while len(self.stack) > 1:
             self._close(False)
-        if not self.has_main:
-            self.main_hash = self._hash(self.stack[0])
+        self.main_hash = self._gist() if self.blocks else self._hash(self.stack[0])
+        self._delete_later()
         self.text = " ".join("".join(self.main if self.has_main else self.pieces).split())
 
-    def _hash(self, e: _Open) -> int:
-        h = xxhash.xxh64_intdigest("\x00".join([e.tag, *e.parts]).encode("utf-8", "surrogatepass"))
+    def _gist(self) -> int:
+        """Hash of the main elements' blocks without the shortest that make up a tenth of the text at most."""
+        left = sum(map(len, self.blocks)) / 10
+        small = set()
+        for n, i in sorted((len(b), i) for i, b in enumerate(self.blocks)):
+            left -= n
+            if left < 0:
+                break
+            small.add(i)
+        kept = "\x00".join(b for i, b in enumerate(self.blocks) if i not in small)
+        return self._signed(xxhash.xxh64_intdigest(kept.encode("utf-8", "surrogatepass")))
+
+    def _delete_later(self) -> None:
+        """Outer elements first; what is most of the text stays, and then as a copy: no template is taken out of it."""
+        pieces = self.main if self.has_main else self.pieces
+        at = [(ma, mb) if self.has_main else (a, b) for _, a, b, ma, mb in self.later]
+        size = [0]
+        for piece in pieces:
+            size.append(size[-1] + len(piece.strip()))
+        gone, copies = [], []
+        for (template, *_), (a, b) in zip(reversed(self.later), reversed(at)):
+            if size[b] - size[a] > MOST * size[-1]:
+                copies += [(a, b)] if template else []
+            elif not (template and any(x <= a and b <= y for x, y in copies)):
+                gone.append((a, b))
+        for a, b in gone:
+            pieces[a:b] = [" "] * (b - a)
+
+    @staticmethod
+    def _signed(h: int) -> int:
         return h - (1 << 64) if h >> 63 else h
 
+    def _hash(self, e: _Open) -> int:
+        return self._signed(xxhash.xxh64_intdigest("\x00".join([e.tag, *e.parts]).encode("utf-8", "surrogatepass")))
+
     def _text(self, raw: str) -> None:
         text = unescape(raw) if "&" in raw else raw
         self.pieces.append(text)
         if self.mains:
             self.main.append(text)
         if words := text.split():
-            self.stack[-1].parts.append(" ".join(words))
+            block = " ".join(words)
+            self.stack[-1].parts.append(block)
+            if self.mains:
+                self.blocks.append(block)
 
     def _space(self) -> None:
         self.pieces.append(" ")
@@ -147,41 +208,40 @@ class Page:
             self._space()
         if tag in VOID:
             return
-        if tag in CLOSES_P and self.count.get("p"):
+        if tag in FOREIGN and attributes.rstrip().endswith("/"):
+            return
+        if tag in CLOSES_P and self.where.get("p"):
             self._close_to(("p",), ("table", "td", "button"))
         if tag in SIBLINGS:
             self._close_to(SIBLINGS[tag], LIMITS.get(tag, ("table", "td")))
-        marks = frozenset()
-        if attributes and "=" in attributes:
-            words = {w for k, v in ATTRIBUTE.findall(attributes) for w in PIECE.findall(v.lower())}
-            marks = frozenset(words & (MARKS if self.mains else MARKS | OUTER_MARKS))
+        marks = marks_of(tag, attributes, MARKS if self.mains else MARKS | OUTER_MARKS)
         if tag == "header" and not self.mains:
             marks |= {tag}
         if tag in MAIN:
             self.mains += 1
         self.stack.append(_Open(tag, marks, self.mains > 0, len(self.pieces), len(self.main), len(self.entries)))
-        self.count[tag] = self.count.get(tag, 0) + 1
+        self.where.setdefault(tag, []).append(len(self.stack) - 1)
+
+    def _last(self, tags: tuple) -> int:
+        return max((self.where[t][-1] for t in tags if self.where.get(t)), default=0)
 
     def _close_to(self, tags: tuple, limits: tuple) -> None:
-        for i in range(len(self.stack) - 1, max(0, len(self.stack) - 64), -1):
-            if self.stack[i].tag in tags:
-                while len(self.stack) > i:
-                    self._close(True)
-                return
-            if self.stack[i].tag in limits:
-                return
+        at = self._last(tags)
+        if at > self._last(limits):
+            while len(self.stack) > at:
+                self._close(True)
 
     def _end(self, tag: str) -> None:
         if tag == "p" or tag not in INLINE:
             self._space()
-        if self.count.get(tag):
+        if self.where.get(tag):
             while self.stack[-1].tag != tag:
                 self._close(False)
             self._close(True)
 
     def _close(self, explicit: bool) -> None:
         e = self.stack.pop()
-        self.count[e.tag] -= 1
+        self.where[e.tag].pop()
         above = self.stack[-1]
         h = self._hash(e)
         above.parts.append(f"{h:x}")
@@ -189,21 +249,24 @@ class Page:
             self.mains -= 1
             if not self.mains and not e.marks:
                 self.has_main = above.holds_main = True
-                self.main_hash ^= h
         above.holds_main |= e.holds_main
         safe = e.tag in ("html", "body") or e.holds_main and not (explicit and e.tag in NEVER) or e.tag in MAIN and not e.in_main
         if e.tag in MAIN and not e.marks and not self.mains:
             safe = True
         if safe:
             return
-        ruled = e.tag in NEVER or bool(e.marks)
+        never = e.tag in NEVER or explicit and e.tag in REPLACED
         countable = e.tag not in INLINE and (e.tag in CONTAINERS or e.tag in NEVER or not e.in_main)
+        if never:
+            del self.entries[e.known:]      # what it holds goes with it
         if countable:
-            if ruled:
-                del self.entries[e.known:]      # what it holds goes with it
             self.entries.append(h)
-        if ruled or countable and h in self.template:
+        if never:
             del self.pieces[e.at:], self.main[e.main_at:]
+            while self.later and self.later[-1][1] >= e.at:
+                self.later.pop()
+        elif e.marks or countable and h in self.template:
+            self.later.append((not e.marks, e.at, len(self.pieces), e.main_at, len(self.main)))
         if e.tag not in INLINE:
             self._space()
 
@@ -215,7 +278,7 @@ def host_of(url):
 
 
 def _page_key(url: str, html: str):
-    return F.xxhash64(F.coalesce(F.col(url), F.lit("")), F.coalesce(F.col(html), F.lit("")))
+    return F.md5(F.concat(F.coalesce(F.col(url), F.lit("")), F.lit("\n"), F.coalesce(F.col(html), F.lit(""))))
 
 
 def parsed_pages(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -232,17 +295,19 @@ def parsed_pages(pages: DataFrame, url_col: str = "url", html_col: str = "html")
     return append_columns(rows, ["html"], [("main", "bigint"), ("subtrees", "array<bigint>")], start, "html", keep=["page", "host"])
 
 
-def templates(parsed: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
-    """(host, subtree): the subtrees that recur on many pages of the host; ``parsed`` as from ``parsed_pages``."""
+def templates(parsed: DataFrame, many: int = MANY_PAGES, few: int = FEW_PAGES) -> DataFrame:
+    """(host, subtree): the subtrees that recur on ``many`` pages of the host, or on ``few`` and half of its pages;
+    ``parsed`` as from ``parsed_pages``."""
     # a row for each subtree of a page, and one (null) for the page itself
     rows = parsed.select("host", "main", F.explode(F.array_append(F.col("subtrees"), F.lit(None).cast("bigint"))).alias("subtree"))
-    counts = store(rows.distinct().groupBy("host", "subtree").agg(F.count("*").alias("n")).where((F.col("n") >= min_pages)), "subtrees")
+    counts = store(rows.distinct().groupBy("host", "subtree").agg(F.count("*").alias("n")).where((F.col("n") >= min(few, many))), "subtrees")
     total = counts.where("subtree is null").select("host", F.col("n").alias("pages"))
-    return counts.where("subtree is not null").join(total, "host").where(F.col("n") >= F.col("pages") * min_share).select("host", "subtree")
+    return counts.where("subtree is not null").join(total, "host") \
+        .where((F.col("n") >= many) | (F.col("n") >= few) & (2 * F.col("n") >= F.col("pages"))).select("host", "subtree")
 
 
-def extract(pages: DataFrame, url_col: str = "url", html_col: str = "html", min_pages: int = MIN_PAGES,
-            min_share: float = MIN_SHARE, keep: list[str] | None = None) -> DataFrame:
+def extract(pages: DataFrame, url_col: str = "url", html_col: str = "html", many: int = MANY_PAGES, few: int = FEW_PAGES,
+            keep: list[str] | None = None) -> DataFrame:
     """``pages`` plus text string, n_chars bigint and n_templates (template subtrees found on the page).
 
     Templates meet the subtrees of pages on narrow rows; pages then meet their
@@ -254,7 +319,7 @@ def extract(pages: DataFrame, url_col: str = "url", html_col: str = "html", min_
     url, html = f"c{names.index(url_col)}", f"c{names.index(html_col)}"
     parsed = store(parsed_pages(inner, url, html), "parsed")
     found = parsed.select("page", "host", F.explode("subtrees").alias("subtree")) \
-        .join(store(templates(parsed, min_pages, min_share), "templates"), ["host", "subtree"]) \
+        .join(store(templates(parsed, many, few), "templates"), ["host", "subtree"]) \
         .groupBy("page").agg(F.collect_set("subtree").alias("template"))
     joined = inner.withColumn("page", _page_key(url, html)).join(store(found, "found"), "page", "left")
 

@@ -10,7 +10,12 @@ Prediction: the script of each word (by code-point ranges) narrows the
 languages it can be of; its n-grams give a score per language, bounded to
 ``WORD_BOUND`` either way; Viterbi over the words with a penalty for every
 switch labels the text with spans of one language.  The language that holds
-most letters is the prediction, its share of all letters the score.
+most letters is the prediction.  The score is the share of all letters that
+stand in its words and are known: in a script that some learned language uses,
+and with n-grams whose log probability in some language is above chance (one
+bucket in ``BUCKETS``) by at least ``KNOWN_SHARE`` of what is usual for the text
+that was learned from.  So texts in other languages, and noise, get a learned
+label and a low score.
 
 Defined cases: null text or text without a letter (Unicode category L) ->
 ``und``, score 0, no spans.  Ties go to the language that sorts first.  Words
@@ -38,6 +43,7 @@ BUCKETS = 1 << 17
 SCRIPT_SHARE = 0.01
 WORD_BOUND = 8.0
 SWITCH_PENALTY = 20.0
+KNOWN_SHARE = 0.25
 FAR = -1e4  # for a language that the word's script excludes
 UNDETERMINED = "und"
 SLICE = 1 << 19  # bytes of text that are looked at together; bounds a task's memory
@@ -83,6 +89,8 @@ class Model:
     languages: list          # sorted
     table: np.ndarray        # bucket x language: log probability less the languages' mean
     allowed: np.ndarray      # script x language; script 0 fits all, a row of False is a script none of them uses
+    chance: np.ndarray       # bucket: the languages' mean, less the log probability of a bucket by chance
+    usual: np.ndarray        # language: what an n-gram learned from is above chance, on average
 
 
 @dataclass
@@ -128,7 +136,7 @@ def learn(docs: DataFrame, text_col: str = "text", label_col: str = "lang", id_c
     sizes = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     languages = sorted(sizes)
     if not languages:
-        return Model([], np.zeros((BUCKETS, 0)), np.ones((len(SCRIPTS) + 1, 0), dtype=bool))
+        return Model([], np.zeros((BUCKETS, 0)), np.ones((len(SCRIPTS) + 1, 0), dtype=bool), np.zeros(BUCKETS), np.zeros(0))
     share = F.create_map(*[F.lit(x) for k in languages for x in (k, min(1.0, sample_docs / sizes[k]))])
     taken = labelled.where(F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(1_000_000)) < share[F.col("lang")] * 1_000_000)
     number = {k: i for i, k in enumerate(languages)}
@@ -161,7 +169,9 @@ def learn(docs: DataFrame, text_col: str = "text", label_col: str = "lang", id_c
     log = np.log((grams + 0.5) / (grams.sum(axis=0) + 0.5 * BUCKETS))
     allowed = letters >= np.maximum(1, SCRIPT_SHARE * letters.sum(axis=0))
     allowed[0] = True
-    return Model(languages, (log - log.mean(axis=1, keepdims=True)).astype(np.float32), allowed)
+    mean = log.mean(axis=1, keepdims=True)
+    usual = (grams * (log + np.log(BUCKETS))).sum(axis=0) / np.maximum(grams.sum(axis=0), 1)
+    return Model(languages, (log - mean).astype(np.float32), allowed, (mean[:, 0] + np.log(BUCKETS)).astype(np.float32), usual)
 
 
 def _viterbi(score: np.ndarray, penalty: float) -> np.ndarray:
@@ -215,6 +225,14 @@ def label_words(words: Words, model: Model, n_docs: int, penalty: float = SWITCH
     return label
 
 
+def known_words(words: Words, model: Model) -> np.ndarray:
+    """Which words some language whose script they are in makes clearly more probable than chance does."""
+    score = np.add.reduceat(model.table[words.grams], words.gram_first, axis=0)
+    score += np.add.reduceat(model.chance[words.grams], words.gram_first)[:, None]
+    size = np.diff(np.append(words.gram_first, len(words.grams)))
+    return ((score > KNOWN_SHARE * size[:, None] * model.usual) & model.allowed[words.script]).any(axis=1)
+
+
 def identify(docs: DataFrame, model: Model, text_col: str = "text", penalty: float = SWITCH_PENALTY,
              keep: list[str] | None = None) -> DataFrame:
     """``docs`` plus lang_pred string, score double and spans array<struct<start,end,lang>> (code points, end
@@ -236,7 +254,9 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", penalty: flo
                 np.add.at(letters, (w.doc, label), w.end - w.first)
                 some = np.flatnonzero(letters.sum(axis=1))
                 top = letters.argmax(axis=1)
-                score[some] = letters[some, top[some]] / letters[some].sum(axis=1)
+                sure = known_words(w, m) & (label == top[w.doc])
+                known = np.bincount(w.doc, weights=(w.end - w.first) * sure, minlength=len(texts))
+                score[some] = known[some] / letters[some].sum(axis=1)
                 for i in some.tolist():
                     lang[i] = m.languages[top[i]]
                 new = np.append(True, (np.diff(w.doc) != 0) | (np.diff(label) != 0))

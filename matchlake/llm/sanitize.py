@@ -4,18 +4,23 @@ Base spans are e-mail addresses, IP addresses, card numbers and phone numbers,
 found by their patterns and checks, leftmost and non-overlapping per kind.
 
 The method then looks at terms: the words of a text outside its base spans.
-Spark counts over all different texts of the corpus how many there are (N), how
-many hold entity e (n_e), how many hold term t (n_t) and how many of e's hold t
-(n_et).  Pointwise mutual information
-log(N n_et / (n_e n_t)) says how much of e a reader learns from t; e's own
-information content is log(N / n_e).  The share of e among the texts with t,
-n_et / n_t, is smoothed towards e's share of the corpus as if ``prior`` more
-texts had been seen, so the estimate holds for entities and terms of one text
-too, with less disclosure the fewer the texts.  A term gives e away if its mutual
-information reaches ``generalise_at`` of that content: it is generalised
-to its shape class, and at ``remove_at`` (it all but names e) removed,
-wherever it stands in the texts that hold e.  Texts without personal data stay
-as they are, and base spans stay whatever the terms do.
+Spark counts over all different texts of the corpus how many hold entity e
+(n_e), how many hold term t (n_t) and how many of e's hold t (n_et).  The
+pointwise mutual information of e and t, less the information content of their
+standing together, is log(n_et^2 / (n_e n_t)): minus the bits that are still
+missing of e when t is known, and of t when e is.  The size of the corpus has no
+part in it, so the same evidence gives the same verdict in a corpus of any size.
+Half of it as a share, n_et / sqrt(n_e n_t), is the disclosure, with ``prior``
+texts more in both n_e and n_t, so that entities and terms of one text are
+judged too, with less disclosure the fewer the texts.  A term of
+``generalise_at`` or more gives e away: it is generalised to its shape class, and
+at ``remove_at`` (it all but names e) removed, wherever it stands in the texts
+that hold e.  Texts without personal data stay as they are, and base spans stay
+whatever the terms do.
+
+Entities that stand in the same texts have the same counts with every term, so
+one class stands for them: a text with very many addresses of its own meets its
+terms once, not once an address.  Texts are told apart by 128 bits.
 
 Defined cases: null text is empty; empty text has no spans.  Rows with null id
 and repeated rows each give their row; equal texts count once as evidence.
@@ -28,15 +33,15 @@ import hashlib
 import re
 
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import append_columns, store, texts_of
+from .common import append_columns, slices, store, texts_of
 
 KINDS = ("email", "ip", "card", "phone")
 TERM, GONE = "term", "gone"     # what the method adds: generalised, removed
-CONTEXT, PRIOR, GENERALISE_AT, REMOVE_AT = 8, 1.0, 0.8, 0.95
+PRIOR, GENERALISE_AT, REMOVE_AT = 1.0, 0.5, 0.95
+LEXICON = 1 << 18       # terms that a task adds up before it gives them away
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -110,27 +115,6 @@ def entity_key(kind: str, surface: str) -> str:
     return f"{kind}:{NOT_DIGIT.sub('', surface) if kind in ('card', 'phone') else surface.lower()}"
 
 
-# not part of the method, which looks at whole texts
-def context_terms(text: str, a: int, b: int, taken: list[tuple[int, int]], context: int) -> list[tuple[str, int, int]]:
-    """(term, start, end) of up to ``context`` words on either side of [a, b); words inside other spans don't count."""
-    reach = context
-    left: list = []
-    width = 24 * context
-    while True:     # a window in characters that is widened until it holds the words
-        x = max(0, a - width)
-        left = [m.span() for m in WORD.finditer(text, x, a)]
-        left = left[1:] if x and left and left[0][0] == x and text[x - 1].isalnum() else left
-        if len(left) >= reach or x == 0:
-            break
-        width *= 2
-    right = []
-    for m in WORD.finditer(text, b):
-        right.append(m.span())
-        if len(right) == reach:
-            break
-    return [(text[s:e].lower(), s, e) for s, e in left[-reach:] + right if not any(s < z and y < e for y, z in taken)]
-
-
 def words_outside(text: str, spans: list[tuple[int, int]]):
     """(term, start, end) of the words that overlap none of ``spans`` (sorted)."""
     ends, most = [], 0
@@ -146,76 +130,88 @@ def words_outside(text: str, spans: list[tuple[int, int]]):
             yield m[0].lower(), x, y
 
 
-def contexts(docs: DataFrame, text_col: str = "text", held_only: bool = False) -> DataFrame:
-    """(doc bigint, entities array<string>, terms array<string>) of every row, without repeats; doc is a hash of the text.
-
-    With ``held_only`` rows without entities have no terms either.
-    """
-    fields = [("doc", "bigint"), ("entities", "array<string>"), ("terms", "array<string>")]
-
-    def start():
-        def work(text):
-            keys, entities, terms = [], [], []
-            for t in texts_of(text):
-                spans = base_spans(t)
-                keys.append(text_key(t))
-                entities.append(sorted({entity_key(k, t[a:b]) for k, a, b in spans}))
-                look = spans or not held_only
-                terms.append(sorted({w for w, _, _ in words_outside(t, sorted({(a, b) for _, a, b in spans}))}) if look else [])
-            return [pa.array(keys, pa.int64()), pa.array(entities, pa.list_(pa.string())), pa.array(terms, pa.list_(pa.string()))]
-        return work
-
-    return append_columns(docs.select(text_col), [text_col], fields, start, text_col, keep=[])
-
-
-def text_key(text: str) -> int:
-    h = xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass"), 11)
-    return h - (1 << 64) if h >> 63 else h
+def text_key(col: Column) -> Column:
+    return F.md5(F.coalesce(col, F.lit("")))
+
+
+def contexts(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """One pass over all texts: (doc, entities, terms) of each row whose text holds entities, doc being the text's key,
+    and (term, weight) of all rows.  A text with copies weighs 1 / copies in each; weights are added up in the task."""
+    keyed = docs.select(text_key(F.col(text_col)).alias("doc"), F.col(text_col).alias("text"))
+    copies = store(keyed.groupBy("doc").agg(F.count("*").alias("copies")).where("copies > 1"), "copied-texts")
+    weighed = keyed.join(copies, "doc", "left").select("doc", "text", (1 / F.coalesce("copies", F.lit(1))).alias("weight"))
+    names = ["doc", "entities", "terms", "term", "weight"]
+    strings = pa.list_(pa.string())
+
+    def run(batches):
+        lexicon: dict[str, float] = {}
+
+        def told():
+            n = len(lexicon)
+            return pa.RecordBatch.from_arrays([pa.nulls(n, pa.string()), pa.nulls(n, strings), pa.nulls(n, strings),
+                                               pa.array(list(lexicon), pa.string()), pa.array(list(lexicon.values()), pa.float64())], names=names)
+        for batch in batches:
+            for part in slices(batch, 1):
+                docs, entities, terms = [], [], []
+                for k, (t, weight) in enumerate(zip(texts_of(part.column(1)), part.column(2).to_pylist())):
+                    spans = base_spans(t)
+                    if spans:
+                        words = {w for w, _, _ in words_outside(t, sorted({(a, b) for _, a, b in spans}))}
+                        docs.append(k)
+                        entities.append(sorted({entity_key(k, t[a:b]) for k, a, b in spans}))
+                        terms.append(sorted(words))
+                    else:
+                        words = {w.lower() for w in set(WORD.findall(t))}
+                    for w in words:
+                        lexicon[w] = lexicon.get(w, 0.0) + weight
+                n = len(docs)
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(docs, pa.int64())), pa.array(entities, strings), pa.array(terms, strings),
+                                                  pa.nulls(n, pa.string()), pa.nulls(n, pa.float64())], names=names)
+                if len(lexicon) > LEXICON:
+                    yield told()
+                    lexicon = {}
+        yield told()
+
+    return weighed.mapInArrow(run, "doc string, entities array<string>, terms array<string>, term string, weight double")
 
 
 def revealing_terms(seen: DataFrame, prior: float = PRIOR, generalise_at: float = GENERALISE_AT,
                     remove_at: float = REMOVE_AT) -> DataFrame:
     """(entity, term, gone boolean) above the disclosure thresholds; ``seen`` as from ``contexts``."""
-    return revealing(judged(seen, seen, seen.select("doc"), prior, generalise_at)[1], remove_at)
+    classes, _, both = judged(store(seen, "contexts"), prior, generalise_at)
+    return classes.join(revealing(both, remove_at), "class").select("entity", "term", "gone")
 
 
-def judged(seen: DataFrame, held: DataFrame, keys: DataFrame, prior: float, generalise_at: float) -> tuple[DataFrame, DataFrame]:
-    """From all texts, those that hold entities, and the hash of each row's text: (doc, entity, term) of the terms that can give the entity away, and (entity, term, share) of those that do.
+def judged(seen: DataFrame, prior: float, generalise_at: float) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(entity, class) of all entities; (doc, class, term) of the terms that can give a class of entities away, and
+    (class, term, share) of those that do.  ``seen`` is stored.
 
-    The unit of evidence is a different text: a text with copies weighs
-    1 / copies in each.  n_t is summed before anything is shuffled.  A term in
-    so many texts that it would not reveal e if it stood in all of e's meets e nowhere.
+    A term in so many texts that it would not reveal e if it stood in all of e's meets e nowhere.
     """
-    copies = store(keys.groupBy("doc").agg(F.count("*").alias("copies")), "text-copies")
-    total = copies.agg(F.count("*").alias("n"))
-    weighed = seen.join(store(copies.where("copies > 1"), "copied-texts"), "doc", "left").select("terms", (1 / F.coalesce("copies", F.lit(1))).alias("weight"))
-    n_term = store(weighed.select(F.explode("terms").alias("term"), "weight").groupBy("term")
-                   .agg(F.round(F.sum("weight")).cast("bigint").alias("n_t")), "term-counts")
-    held = store(held.where("size(entities) > 0").dropDuplicates(["doc"]), "texts-with-entities")
+    n_term = seen.where("term is not null").groupBy("term").agg(F.round(F.sum("weight")).cast("bigint").alias("n_t"))
+    held = store(seen.where("doc is not null").dropDuplicates(["doc"]).select("doc", "entities", "terms"), "texts-with-entities")
     units = held.select("doc", F.explode("entities").alias("entity"))
-    n_entity = units.groupBy("entity").agg(F.count("*").alias("n_e"))
-    units = store(units.join(store(n_entity, "entity-counts"), "entity").crossJoin(F.broadcast(total)).where("n_e < n"), "units")
-    terms = store(held.select("doc", F.explode("terms").alias("term")).join(n_term, "term"), "context-terms")
+    # which texts an entity stands in, in 128 bits: the exclusive-or of the texts' hashes
+    of = units.groupBy("entity").agg(F.count("*").alias("n_e"), *[F.bit_xor(F.xxhash64("doc", F.lit(k))).alias(f"x{k}") for k in (1, 2)])
+    classes = store(of.select("entity", "n_e", F.struct("n_e", "x1", "x2").alias("class")), "entity-classes")
+    units = store(units.join(classes, "entity").select("doc", "class", "n_e").distinct(), "units")
+    words = held.select("doc", F.explode("terms").alias("term"))
+    terms = store(words.join(store(n_term.join(words.select("term").distinct(), "term", "left_semi"), "term-counts"), "term"), "context-terms")
     best = disclosure(prior, F.least("n_e", "n_t"))     # were all of e's texts to hold t
     pairs = store(units.join(terms, "doc").where(best >= generalise_at), "pairs")
-    both = pairs.groupBy("entity", "term").agg(F.count("*").alias("n_et"), *[F.first(c).alias(c) for c in ("n_e", "n_t", "n")]) \
+    both = pairs.groupBy("class", "term").agg(F.count("*").alias("n_et"), *[F.first(c).alias(c) for c in ("n_e", "n_t")]) \
         .withColumn("share", disclosure(prior, F.col("n_et"))).where(F.col("share") >= generalise_at)
-    return pairs.select("doc", "entity", "term"), both.select("entity", "term", "share")
+    return classes.select("entity", "class"), pairs.select("doc", "class", "term"), both.select("class", "term", "share")
 
 
 def revealing(both: DataFrame, remove_at: float) -> DataFrame:
-    return both.select("entity", "term", (F.col("share") >= remove_at).alias("gone"))
+    return both.select("class", "term", (F.col("share") >= remove_at).alias("gone"))
 
 
 def disclosure(prior: float, n_et: Column):
-    """Mutual information of entity and term as a share of the entity's information content, from n, n_e, n_t and ``n_et``.
-
-    log(P(e|t) / P(e)) / log(1 / P(e)), with P(e|t) smoothed by ``prior`` texts
-    in which e is as frequent as in the corpus.
-    """
-    p = F.col("n_e") / F.col("n")
-    given = (n_et + prior * p) / (F.col("n_t") + prior)
-    return 1 - F.log(given) / F.log(p)
+    """How nearly entity and term stand in the same texts, from n_e, n_t and ``n_et``: exp of half their mutual
+    information less the information content of both together, smoothed by ``prior`` texts."""
+    return n_et / F.sqrt((F.col("n_e") + prior) * (F.col("n_t") + prior))
 
 
 def shape(term: str) -> str:
@@ -230,22 +226,21 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pr
     Terms reach their documents by a join on the text's hash; only texts with
     revealing terms have rows there.
     """
-    keys = append_columns(docs.select(text_col), [text_col], [("doc", "bigint")],
-                          lambda: lambda t: [pa.array([text_key(x) for x in texts_of(t)], pa.int64())], text_col, keep=[])
-    pairs, both = judged(contexts(docs, text_col), contexts(docs, text_col, held_only=True), keys, prior, generalise_at)
+    _, pairs, both = judged(store(contexts(docs, text_col), "contexts"), prior, generalise_at)
     # stored tables meet in joins, so that the skew join can split entities and texts with very many copies
-    places = pairs.join(store(revealing(both, remove_at), "terms"), ["entity", "term"]) \
+    places = pairs.join(store(revealing(both, remove_at), "terms"), ["class", "term"]) \
         .groupBy("doc", "term").agg(F.max("gone").alias("gone")) \
         .groupBy("doc").agg(F.collect_list(F.struct("term", "gone")).alias("_terms"))
     places = store(places, "places")
     names = docs.columns
     inner = docs.toDF(*[f"c{i}" for i in range(len(names))])
     text = f"c{names.index(text_col)}"
-    keyed = append_columns(inner, [text], [("_doc", "bigint"), ("_held", "boolean")], lambda: lambda t: [
-        pa.array([text_key(x) for x in texts_of(t)], pa.int64()), pa.array([bool(base_spans(x)) for x in texts_of(t)], pa.bool_())], text)
+    keyed = append_columns(inner, [text], [("_held", "boolean")], lambda: lambda t: [
+        pa.array([bool(base_spans(x)) for x in texts_of(t)], pa.bool_())], text)
     # only texts with personal data are moved
     without = keyed.where("not _held").withColumn("_terms", F.lit(None).cast(places.schema["_terms"].dataType))
-    joined = keyed.where("_held").join(places.withColumnRenamed("doc", "_doc"), "_doc", "left").unionByName(without)
+    held = keyed.where("_held").withColumn("_doc", text_key(F.col(text)))
+    joined = held.join(places.withColumnRenamed("doc", "_doc"), "_doc", "left").drop("_doc").unionByName(without)
     fields = [*[(f"n_{k}", "bigint") for k in KINDS], ("base_sha256", "string"), ("spans", "string"), ("clean_text", "string")]
 
     def start():
@@ -264,7 +259,7 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pr
             return [pa.array(c, pa.int64()) for c in cols[:4]] + [pa.array(c, pa.string()) for c in cols[4:]]
         return work
 
-    kept = [c for c in joined.columns if c not in ("_doc", "_held", "_terms")]
+    kept = [c for c in joined.columns if c not in ("_held", "_terms")]
     out = append_columns(joined, [text, "_terms"], fields, start, text, keep=kept)
     new = [f for f, _ in fields]
     take = [i for i, n in enumerate(names) if n.lower() not in new and (keep is None or n in keep)]

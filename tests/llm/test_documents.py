@@ -1,6 +1,7 @@
 """Row-wise and pair operators on documents, against brute force and on odd rows."""
 
 import random
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -130,6 +131,17 @@ def test_scripts_narrow_languages(spark):
     model = langid.learn(docs)
     out = langid.identify(spark.createDataFrame([(1, "жжж ццц"), (2, "qqq zzz"), (3, "漢字")], "doc_id long, text string"), model)
     assert {r["doc_id"]: r["lang_pred"] for r in out.collect()} == {1: "ru", 2: "en", 3: "en"}
+    assert {r["doc_id"]: r["score"] for r in out.collect()}[3] < 0.5
+
+
+def test_other_languages_and_noise_have_low_scores(spark):
+    model = langid.learn(spark.read.parquet(f"{SF}/documents.parquet"))
+    rows = [(1, "Привет мир это русский текст"), (2, "这是中文文本"), (3, "qwrtp zxcv"), (4, "xqzjk vvwq kkqx jjzq"), (5, "Ελληνικό κείμενο")]
+    out = langid.identify(spark.createDataFrame(rows, "doc_id long, text string"), model)
+    assert all(r["score"] < 0.5 and r["lang_pred"] != "und" for r in out.collect())
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("length(regexp_replace(text, '[^A-Za-z]', '')) > 0.6 * length(text)")
+    low = langid.identify(table, model).where("score < 0.5")
+    assert low.count() <= 0.01 * table.count()
 
 
 # -- 5 ---------------------------------------------------------------------
@@ -339,32 +351,49 @@ def test_terms_that_reveal_are_changed(spark):
     assert "Person4" in out[24]["clean_text"]      # one text is no evidence
 
 
-def test_disclosure_against_counts(spark):
+@pytest.mark.parametrize("more", [0, 400])
+def test_disclosure_against_counts(spark, more):
+    """All pairs by the definition, over whole different texts; texts without entities and terms of theirs change nothing."""
     import math
     random.seed(1)
-    rows = [(i, " ".join(random.choice("abcdefg") + "w" for _ in range(3)) + f" e{random.randint(0, 3)}@x.yz " + random.choice(["kk", "ll", "mm"])) for i in range(60)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
-    seen = set()
-    for _, t in rows:
-        for k, a, b in personal(t):
-            seen |= {(t, t[a:b], w) for w, _, _ in sanitize.context_terms(t, a, b, [(a, b)], sanitize.CONTEXT)}
-    units = {(t, e) for t, e, _ in seen}
-    n, expected = len(units), set()
-    for e in {e for _, e in units}:
-        ne = sum(x == e for _, x in units)
-        for w in {w for _, _, w in seen}:
-            net, nt = sum(x[1:] == (e, w) for x in seen), sum(x[2] == w for x in seen)
-            if net >= 3 and ne >= 3 and math.log(n * net / (ne * nt)) / math.log(n / ne) >= 0.2:
-                expected.add((f"email:{e}", w))
-    got = sanitize.revealing_terms(sanitize.contexts(docs), generalise_at=0.2)
-    assert {(r["entity"], r["term"]) for r in got.collect()} == expected and expected
+    rows = [(i, " ".join(random.choice("abcdefg") + "w" for _ in range(3)) + f" e{random.randint(0, 3)}@x.yz " + random.choice(["kk", "ll", f"n{i % 9}"])
+             + f" far {i % 2}") for i in range(60)]
+    rows += [(100, "own1 a1@b.cd e5@f.gh"), (101, "own2 own1 a1@b.cd e5@f.gh z@z.zz"), (102, rows[4][1]), (103, None), (104, "aw kk")]
+    rows += [(1000 + i, f"plain text {i} without any") for i in range(more)]
+    held = {t: ({t[a:b] for _, a, b in personal(t)}, set(re.findall(r"[^\W_]+", re.sub(r"\S+@\S+", " ", t.lower())))) for t in {t or "" for _, t in rows}}
+    expected = {}
+    for e in {e for es, _ in held.values() for e in es}:
+        n_e = sum(e in es for es, _ in held.values())
+        for w in {w for _, ws in held.values() for w in ws}:
+            n_t, n_et = sum(w in ws for _, ws in held.values()), sum(e in es and w in ws for es, ws in held.values())
+            share = n_et / math.sqrt((n_e + 1) * (n_t + 1))
+            if share >= 0.3:
+                expected[f"email:{e}", w] = share >= 0.6
+    got = sanitize.revealing_terms(sanitize.contexts(spark.createDataFrame(rows, "doc_id long, text string")), generalise_at=0.3, remove_at=0.6)
+    assert {(r["entity"], r["term"]): r["gone"] for r in got.collect()} == expected and set(expected.values()) == {True, False}
+
+
+def test_very_many_entities_of_one_text_are_one_class(spark, monkeypatch):
+    text = " ".join(f"u{i}@x{i}.example" for i in range(2000)) + " " + " ".join(f"word{i}" for i in range(500))
+    rows = [(1, text), (2, "word3 only u5@x5.example"), (3, "plain")]
+    made, plain = {}, sanitize.store
+
+    def counted(df, name, **options):
+        made[name] = (out := plain(df, name, **options)).count()
+        return out
+    monkeypatch.setattr(sanitize, "store", counted)
+    out = {r["doc_id"]: r["clean_text"] for r in sanitize.sanitise(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert made["pairs"] <= 3 * 502 and out[3] == "plain" and "word7" not in out[1]
 
 
 def test_sanitise_of_odd_rows(odd, none):
     out = sanitize.sanitise(odd)
     assert out.count() == odd.count() and sanitize.sanitise(none).count() == 0
     assert {c for c in odd.columns if c != "spans"} <= set(out.columns)
-    assert all(r["clean_text"] == (r["text"] or "").replace("tail@example.org", "[EMAIL]") for r in out.collect())
+    # "word" stands in the text of the address and in no other
+    said = {None: "", **{r["text"]: r["text"].replace("word ", "[WORD] ").replace("tail@example.org", "[EMAIL]") if r["text"] and "@" in r["text"]
+                         else r["text"] for r in odd.collect() if r["text"] is not None}}
+    assert all(r["clean_text"] == said[r["text"]] for r in out.collect())
 
 
 def test_entities_of_one_text_are_judged(spark):

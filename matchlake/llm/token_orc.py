@@ -36,7 +36,8 @@ MARK = "\x01"
 # tokenizers part letters from other characters first.  Not so the apostrophe of contractions and what special tokens
 # are written with.
 WORD_END, PARTED = r"""([A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{12F}\x{131}-\x{17F}])([!"#$%&()*+,\-./:;=>?@\[\]^_`{}~])""", r"\1 \2"
-CACHE = 1_000_000  # pieces of text between white space whose ids a task remembers
+CACHE, CACHE_IDS = 1_000_000, 4_000_000  # pieces of text between white space that a task remembers, and ids of them in all
+
 @lru_cache(4)
 def _tokenizer(spec: str):
     from tokenizers import Tokenizer
@@ -118,7 +119,7 @@ class Encoder:
 
     def ids(self, texts: pa.Array, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, concatenated, each followed by ``end``; and the number of ids of each."""
-        if len(self.number) > CACHE:
+        if len(self.number) > CACHE or len(self.pool) > CACHE_IDS:
             self._forget()
         texts = pc.fill_null(texts, "")
         rows = pc.ascii_split_whitespace(pc.replace_substring_regex(texts, WORD_END, PARTED) if self.parted else texts)

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import append_columns, slices, store, texts_of
+from .common import append_columns, bloom_filters, slices, store, texts_of
 
 KINDS = ("email", "ip", "card", "phone")
 TERM, GONE = "term", "gone"     # what the method adds: generalised, removed
@@ -134,12 +134,24 @@ def text_key(col: Column) -> Column:
     return F.md5(F.coalesce(col, F.lit("")))
 
 
-def contexts(docs: DataFrame, text_col: str = "text") -> DataFrame:
+def copied_texts(keyed: DataFrame) -> DataFrame:
+    """(doc, text, weight) of one row, or the rows of one id, of each text that has copies: the copies that count too
+    much, as a negative weight.  ``keyed`` is (doc, id, text); only these rows move."""
+    of_id = keyed.groupBy("doc", "id").agg(F.count("*").alias("n"))
+    first = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "n"))
+    copies = of_id.groupBy("doc").agg(F.sum("n").alias("copies"), first.alias("first")).where("copies > 1")
+    copies = store(copies.select(F.xxhash64("doc", "first.id").alias("at"), "doc", "first.id", ((1 - F.col("copies")) / F.col("first.n")).alias("weight")),
+                   "copied-texts")
+    rows = keyed.withColumn("at", F.xxhash64("doc", "id"))
+    same = (rows["at"] == copies["at"]) & (rows["doc"] == copies["doc"]) & rows["id"].eqNullSafe(copies["id"])
+    return rows.join(copies, same).select(rows["doc"], "text", "weight")
+
+
+def contexts(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """One pass over all texts: (doc, entities, terms) of each row whose text holds entities, doc being the text's key,
-    and (term, weight) of all rows.  A text with copies weighs 1 / copies in each; weights are added up in the task."""
-    keyed = docs.select(text_key(F.col(text_col)).alias("doc"), F.col(text_col).alias("text"))
-    copies = store(keyed.groupBy("doc").agg(F.count("*").alias("copies")).where("copies > 1"), "copied-texts")
-    weighed = keyed.join(copies, "doc", "left").select("doc", "text", (1 / F.coalesce("copies", F.lit(1))).alias("weight"))
+    and (term, weight), added up in the task: 1 for each row, less what copies of a text count too much."""
+    keyed = docs.select(text_key(F.col(text_col)).alias("doc"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    weighed = keyed.select("doc", "text", F.lit(1.0).alias("weight")).unionByName(copied_texts(keyed))
     names = ["doc", "entities", "terms", "term", "weight"]
     strings = pa.list_(pa.string())
 
@@ -157,11 +169,12 @@ def contexts(docs: DataFrame, text_col: str = "text") -> DataFrame:
                     spans = base_spans(t)
                     if spans:
                         words = {w for w, _, _ in words_outside(t, sorted({(a, b) for _, a, b in spans}))}
+                    else:
+                        words = {w.lower() for w in set(WORD.findall(t))}
+                    if spans and weight > 0:
                         docs.append(k)
                         entities.append(sorted({entity_key(k, t[a:b]) for k, a, b in spans}))
                         terms.append(sorted(words))
-                    else:
-                        words = {w.lower() for w in set(WORD.findall(t))}
                     for w in words:
                         lexicon[w] = lexicon.get(w, 0.0) + weight
                 n = len(docs)
@@ -226,7 +239,9 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pr
     Terms reach their documents by a join on the text's hash; only texts with
     revealing terms have rows there.
     """
-    _, pairs, both = judged(store(contexts(docs, text_col), "contexts"), prior, generalise_at)
+    with bloom_filters(docs.sparkSession):
+        seen = store(contexts(docs, text_col, id_col), "contexts")
+    _, pairs, both = judged(seen, prior, generalise_at)
     # stored tables meet in joins, so that the skew join can split entities and texts with very many copies
     places = pairs.join(store(revealing(both, remove_at), "terms"), ["class", "term"]) \
         .groupBy("doc", "term").agg(F.max("gone").alias("gone")) \

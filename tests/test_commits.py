@@ -11,6 +11,7 @@ from matchlake.plans import load
 from matchlake.plans.load import BATCH_COL, LoadConflict, commit_log, committed, load_documents, loaded_ids, read_rejects, read_star
 from matchlake.schemas import LOAD_COMMIT
 from matchlake.session import scratch_path
+from matchlake.sources import commits
 from matchlake.sources import CommitLog, drop_old_contents, field_drift, read_documents, read_replaced, replace
 from matchlake.streaming import file_stream, keep_first, read_kept
 
@@ -30,15 +31,32 @@ def test_a_number_is_taken_once(spark):
 def test_a_file_without_its_line_is_no_commit(spark, tmp_path):
     log = CommitLog(spark, str(tmp_path), "version bigint, batch string")
     log.put(1, batch="a")
-    (tmp_path / "00000000000000000002.json").write_text("")
-    (tmp_path / "00000000000000000003.json").write_text('{"version": 3, "bat')
+    (tmp_path / "000000000000" / "00000000000000000002.json").write_text("")
+    (tmp_path / "000000000000" / "00000000000000000003.json").write_text('{"version": 3, "bat')
     assert rows(log.frame()) == [(1, "a")] and log.latest() == 3 and log.put(4, batch="d")
 
 
+def test_full_folders_are_sealed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(commits, "FOLDER", 10)
+    log = CommitLog(spark, str(tmp_path), "version bigint, batch string")
+    for n in range(1, 36):
+        assert log.put(n, batch=f"b{n}")
+        if n == 13:     # a writer that has its number, and not its line yet
+            (tmp_path / "000000000001" / "00000000000000000013.json").write_text("")
+    assert not log.put(35, batch="again") and log.latest() == 35
+    assert sorted(p.name for p in (tmp_path / "sealed").glob("0*.json")) == ["000000000000.json", "000000000002.json"]
+    want = sorted([(n, f"b{n}") for n in range(1, 36) if n != 13], key=repr)
+    assert rows(log.frame()) == want
+    for p in (tmp_path / "000000000000").glob("*.json"):
+        p.write_text("")        # sealed commits are not read from their files any more
+    (tmp_path / "sealed-000000000001-of-a-dead-writer").mkdir()
+    assert rows(log.frame()) == want
+
+
 def test_ten_thousand_batches_are_no_list(spark, tmp_path):
     wh = str(tmp_path / "wh")
     load_documents(spark, read_documents(spark, _landed(spark, _doc("m1")), with_path=True), wh, tables=SMALL)
-    folder = tmp_path / "wh" / "commits"
+    folder = tmp_path / "wh" / "commits" / "000000000000"
     table = [{"name": "metadata", "columns": spark.range(0).schema.json()}]
     lines = [json.dumps({"version": n, "batch": f"b{n}", "tables": table}) for n in range(2, 10_001)]
     (folder / f"{10_000:020d}.json").write_text("\n".join(lines) + "\n")

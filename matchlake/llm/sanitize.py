@@ -141,7 +141,7 @@ def copied_texts(keyed: DataFrame) -> DataFrame:
     first = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "n"))
     copies = of_id.groupBy("doc").agg(F.sum("n").alias("copies"), first.alias("first")).where("copies > 1")
     copies = store(copies.select(F.xxhash64("doc", "first.id").alias("at"), "doc", "first.id", ((1 - F.col("copies")) / F.col("first.n")).alias("weight")),
-                   "copied-texts")
+                   "copied-texts").where("weight < 0")      # all; a filter lets the runtime Bloom filter be made of them
     rows = keyed.withColumn("at", F.xxhash64("doc", "id"))
     same = (rows["at"] == copies["at"]) & (rows["doc"] == copies["doc"]) & rows["id"].eqNullSafe(copies["id"])
     return rows.join(copies, same).select(rows["doc"], "text", "weight")

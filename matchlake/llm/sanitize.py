@@ -201,7 +201,6 @@ def judged(seen: DataFrame, prior: float, generalise_at: float) -> tuple[DataFra
 
     A term in so many texts that it would not reveal e if it stood in all of e's meets e nowhere.
     """
-    n_term = seen.where("term is not null").groupBy("term").agg(F.round(F.sum("weight")).cast("bigint").alias("n_t"))
     held = store(seen.where("doc is not null").dropDuplicates(["doc"]).select("doc", "entities", "terms"), "texts-with-entities")
     units = held.select("doc", F.explode("entities").alias("entity"))
     # which texts an entity stands in, in 128 bits: the exclusive-or of the texts' hashes
@@ -209,7 +208,13 @@ def judged(seen: DataFrame, prior: float, generalise_at: float) -> tuple[DataFra
     classes = store(of.select("entity", "n_e", F.struct("n_e", "x1", "x2").alias("class")), "entity-classes")
     units = store(units.join(classes, "entity").select("doc", "class", "n_e").distinct(), "units")
     words = held.select("doc", F.explode("terms").alias("term"))
-    terms = store(words.join(store(n_term.join(words.select("term").distinct(), "term", "left_semi"), "term-counts"), "term"), "context-terms")
+    # only the counts of terms that stand beside entities move
+    asked = store(words.groupBy("term").agg(F.count("*").alias("n")), "asked-terms").where("n > 0")
+    with bloom_filters(seen.sparkSession):
+        n_term = seen.where("term is not null").select("term", "weight").join(asked.select("term"), "term") \
+            .groupBy("term").agg(F.round(F.sum("weight")).cast("bigint").alias("n_t"))
+        n_term = store(n_term, "term-counts")
+    terms = store(words.join(n_term, "term"), "context-terms")
     best = disclosure(prior, F.least("n_e", "n_t"))     # were all of e's texts to hold t
     pairs = store(units.join(terms, "doc").where(best >= generalise_at), "pairs")
     both = pairs.groupBy("class", "term").agg(F.count("*").alias("n_et"), *[F.first(c).alias(c) for c in ("n_e", "n_t")]) \

@@ -204,3 +204,20 @@ def test_ids_from_folders_of_the_listing(spark):
     ids = list_stored_ids(spark, [f"{land}/a", f"{land}/b"], by_folder=True)
     assert rows(ids) == [("m 2",), ("m1",), ("m3",)]
     assert "content" not in ids._jdf.queryExecution().executedPlan().toString().split("ReadSchema")[-1]
+
+
+def test_places_go_on_from_deal_to_deal(spark):
+    """Parents that lie in several deals, a null one too: places without a second shuffle of the rows."""
+    from matchlake.plans.documents import placed
+    data = [(p, i) for p, n in (("a", 3), ("hot", 4000), (None, 700), ("z", 1)) for i in range(n)]
+    df = spark.createDataFrame(data, "p string, i int").repartition(4)
+    old = {c: spark.conf.get(c) for c in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "6")
+    try:
+        out = placed(df, ["p"], ["i"], "places")
+        assert "hashpartitioning" not in out._jdf.queryExecution().executedPlan().toString()
+        assert sorted((str(r["p"]), r["i"], r["place"]) for r in out.collect()) == sorted((str(p), i, i) for p, i in data)
+    finally:
+        for c, v in old.items():
+            spark.conf.set(c, v)

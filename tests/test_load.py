@@ -221,3 +221,19 @@ def test_places_go_on_from_deal_to_deal(spark):
     finally:
         for c, v in old.items():
             spark.conf.set(c, v)
+
+
+def test_first_load_moves_no_documents_and_leaves_no_stage(spark):
+    import glob
+
+    from matchlake.plans.load import select_new
+    from matchlake.session import checkpoint_root
+    from matchlake.sources import read_documents
+    land, wh = scratch_path(spark, "land"), scratch_path(spark, "wh")
+    _land(spark, land, _doc("m1"), _doc("m2"))
+    docs = read_documents(spark, land, with_path=True)
+    assert "Join" not in select_new(spark, docs, wh)._jdf.queryExecution().optimizedPlan().toString()
+    stages = f"{checkpoint_root(spark).removeprefix('file:')}/matchlake/stage-*"
+    before = set(glob.glob(stages))
+    load_documents(spark, docs, wh)
+    assert set(glob.glob(stages)) <= before and read_star(spark, wh)["metadata"].count() == 2

@@ -111,10 +111,20 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str],
 
 
 def land_json(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Store documents as JSON Lines (one document per line)."""
-    w = df.write.mode("append")
+    """Store documents as JSON Lines (one document per line).
+
+    With ``partition_by``, a folder for each of its values (many, where it is
+    the document's id): the values are dealt to all cores, whatever the rows'
+    size, and each task puts its files in place itself instead of leaving all
+    to the driver at the end of the job.
+    """
+    w = df
     if partition_by:
-        w = w.partitionBy(*partition_by)
+        n = max(df.sparkSession.sparkContext.defaultParallelism, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        w = df.repartition(n, *partition_by)
+    w = w.write.mode("append")
+    if partition_by:
+        w = w.partitionBy(*partition_by).option("mapreduce.fileoutputcommitter.algorithm.version", "2")
     w.json(path)
 
 

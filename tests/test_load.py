@@ -237,3 +237,14 @@ def test_first_load_moves_no_documents_and_leaves_no_stage(spark):
     before = set(glob.glob(stages))
     load_documents(spark, docs, wh)
     assert set(glob.glob(stages)) <= before and read_star(spark, wh)["metadata"].count() == 2
+
+
+def test_landing_by_id_is_dealt_to_several_tasks(spark):
+    import glob
+
+    from matchlake.sources import land_json, list_stored_ids
+    land = scratch_path(spark, "land")
+    land_json(spark.range(40).selectExpr("CAST(id AS STRING) AS matchid", "id AS x").coalesce(1), land, ["matchid"])
+    files = glob.glob(f"{land.removeprefix('file:')}/matchid=*/part-*.json")
+    assert len(files) == 40 and len({os.path.basename(f).split("-")[1] for f in files}) > 1
+    assert list_stored_ids(spark, land, by_folder=True).count() == 40

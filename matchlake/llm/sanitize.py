@@ -191,7 +191,7 @@ def contexts(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") ->
 def revealing_terms(seen: DataFrame, prior: float = PRIOR, generalise_at: float = GENERALISE_AT,
                     remove_at: float = REMOVE_AT) -> DataFrame:
     """(entity, term, gone boolean) above the disclosure thresholds; ``seen`` as from ``contexts``."""
-    classes, _, both = judged(store(seen, "contexts"), prior, generalise_at)
+    classes, _, both = judged(store(seen, "contexts", compression="zstd"), prior, generalise_at)
     return classes.join(revealing(both, remove_at), "class").select("entity", "term", "gone")
 
 
@@ -199,22 +199,27 @@ def judged(seen: DataFrame, prior: float, generalise_at: float) -> tuple[DataFra
     """(entity, class) of all entities; (doc, class, term) of the terms that can give a class of entities away, and
     (class, term, share) of those that do.  ``seen`` is stored.
 
-    A term in so many texts that it would not reveal e if it stood in all of e's meets e nowhere.
+    A term in so many texts that it would not reveal e if it stood in all of e's meets e nowhere.  Most terms of a text
+    stand in too many texts for any of its entities (``most``: the largest n_e there), so they are left out before counts
+    and texts move: on the texts with entities alone first, then on n_t.
     """
-    held = store(seen.where("doc is not null").dropDuplicates(["doc"]).select("doc", "entities", "terms"), "texts-with-entities")
-    units = held.select("doc", F.explode("entities").alias("entity"))
+    held = seen.where("doc is not null")
+    units = held.select("doc", F.explode("entities").alias("entity")).distinct()
     # which texts an entity stands in, in 128 bits: the exclusive-or of the texts' hashes
     of = units.groupBy("entity").agg(F.count("*").alias("n_e"), *[F.bit_xor(F.xxhash64("doc", F.lit(k))).alias(f"x{k}") for k in (1, 2)])
     classes = store(of.select("entity", "n_e", F.struct("n_e", "x1", "x2").alias("class")), "entity-classes")
     units = store(units.join(classes, "entity").select("doc", "class", "n_e").distinct(), "units")
-    words = held.select("doc", F.explode("terms").alias("term"))
-    # only the counts of terms that stand beside entities move
-    asked = store(words.groupBy("term").agg(F.count("*").alias("n")), "asked-terms").where("n > 0")
+    words = held.select("doc", "terms").dropDuplicates(["doc"]).join(units.groupBy("doc").agg(F.max("n_e").alias("most")), "doc") \
+        .select("doc", "most", F.explode("terms").alias("term"))
+    words = store(words, "context-words")
+    asked = words.groupBy("term").agg(F.count("*").alias("n"), F.max("most").alias("most")).where(may_reveal(prior, generalise_at, "n"))
+    asked = store(asked, "asked-terms").where("n > 0")      # all; a filter lets the runtime Bloom filter be made of them
     with bloom_filters(seen.sparkSession):
-        n_term = seen.where("term is not null").select("term", "weight").join(asked.select("term"), "term") \
-            .groupBy("term").agg(F.round(F.sum("weight")).cast("bigint").alias("n_t"))
-        n_term = store(n_term, "term-counts")
-    terms = store(words.join(n_term, "term"), "context-terms")
+        n_term = seen.where("term is not null").select("term", "weight").join(asked.select("term", "most"), "term") \
+            .groupBy("term").agg(F.round(F.sum("weight")).cast("bigint").alias("n_t"), F.first("most").alias("most"))
+        n_term = store(n_term.where(may_reveal(prior, generalise_at, "n_t")).select("term", "n_t"), "term-counts").where("n_t > 0")
+        terms = words.join(n_term, "term").where(may_reveal(prior, generalise_at, "n_t"))
+        terms = store(terms.select("doc", "term", "n_t"), "context-terms")
     best = disclosure(prior, F.least("n_e", "n_t"))     # were all of e's texts to hold t
     pairs = store(units.join(terms, "doc").where(best >= generalise_at), "pairs")
     both = pairs.groupBy("class", "term").agg(F.count("*").alias("n_et"), *[F.first(c).alias(c) for c in ("n_e", "n_t")]) \
@@ -232,6 +237,11 @@ def disclosure(prior: float, n_et: Column):
     return n_et / F.sqrt((F.col("n_e") + prior) * (F.col("n_t") + prior))
 
 
+def may_reveal(prior: float, generalise_at: float, n: str) -> Column:
+    """Whether a term in at least ``n`` texts can reach the threshold with an entity in at most ``most``."""
+    return (F.col(n) <= F.col("most")) | (F.col("most") / F.sqrt((F.col("most") + prior) * (F.col(n) + prior)) >= generalise_at)
+
+
 def shape(term: str) -> str:
     """The class that stands for a generalised term."""
     return "[NUMBER]" if term.isdigit() else "[NAME]" if term[:1].isupper() else "[WORD]"
@@ -245,7 +255,7 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pr
     revealing terms have rows there.
     """
     with bloom_filters(docs.sparkSession):
-        seen = store(contexts(docs, text_col, id_col), "contexts")
+        seen = store(contexts(docs, text_col, id_col), "contexts", compression="zstd")
     _, pairs, both = judged(seen, prior, generalise_at)
     # stored tables meet in joins, so that the skew join can split entities and texts with very many copies
     places = pairs.join(store(revealing(both, remove_at), "terms"), ["class", "term"]) \

@@ -420,6 +420,21 @@ def test_very_many_entities_of_one_text_are_one_class(spark, monkeypatch):
     assert made["pairs"] <= 3 * 502 and out[3] == "plain" and "word7" not in out[1]
 
 
+def test_terms_of_too_many_texts_do_not_move(spark, monkeypatch):
+    """Words that stand in too many texts with entities for any of them are not counted or carried to their texts."""
+    common = " ".join(f"common{i}" for i in range(50))
+    rows = [(i, f"{common} own{i} u{i}@x.example") for i in range(40)] + [(100 + i, f"own{i} in a plain text") for i in range(10)]
+    made, plain = {}, sanitize.store
+
+    def counted(df, name, **options):
+        made[name] = (out := plain(df, name, **options)).count()
+        return out
+    monkeypatch.setattr(sanitize, "store", counted)
+    out = {r["doc_id"]: r["clean_text"] for r in sanitize.sanitise(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert made["asked-terms"] == 40 and made["term-counts"] == made["context-terms"] == made["pairs"] == 30
+    assert out[3] == f"{common} own3 [EMAIL]" and out[30] == f"{common} [WORD] [EMAIL]" and out[103] == rows[43][1]
+
+
 def test_sanitise_of_odd_rows(odd, none):
     out = sanitize.sanitise(odd)
     assert out.count() == odd.count() and sanitize.sanitise(none).count() == 0

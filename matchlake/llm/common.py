@@ -25,12 +25,18 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from ..session import scratch_path
 
 SLICE_BYTES = 2 << 20
+#: Most bytes of a batch on its way to a Python worker; both sides hold it whole, Spark off its heap.
+BATCH_BYTES = 2 * SLICE_BYTES
 #: Most bits of a Bloom filter that guards a join (2 MB).
 FILTER_BITS = 1 << 24
 
 
 def ship(spark: SparkSession) -> None:
-    """Make this package importable in Python workers (``addPyFile``, once a session)."""
+    """Make this package importable in Python workers (``addPyFile``, once a session), and bound the batches they get:
+    by default 10,000 rows of any length go at once."""
+    batch = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(batch).rstrip("bB")) > BATCH_BYTES:
+        spark.conf.set(batch, str(BATCH_BYTES))
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     sc = spark.sparkContext
     if getattr(sc, "_matchlake_shipped", False):

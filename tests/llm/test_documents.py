@@ -28,6 +28,17 @@ def texts(docs_rows):
     return odd + [t[:600] for _, t in docs_rows[:40]]
 
 
+def test_batches_of_python_workers_are_bounded(spark):
+    from matchlake.llm.common import BATCH_BYTES, ship
+    ship(spark)
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int64())], names=["n"])
+    got = [r["n"] for r in spark.range(0, 9000, 1, 1).select(F.repeat(F.lit("x"), 4000).alias("text")).mapInArrow(sizes, "n long").collect()]
+    assert sum(got) == 9000 and max(got) * 4000 <= BATCH_BYTES + 4000
+
+
 # -- 1 ---------------------------------------------------------------------
 
 def test_pieces_without_dropout_equal_the_library(texts):

@@ -248,3 +248,72 @@ def test_landing_by_id_is_dealt_to_several_tasks(spark):
     files = glob.glob(f"{land.removeprefix('file:')}/matchid=*/part-*.json")
     assert len(files) == 40 and len({os.path.basename(f).split("-")[1] for f in files}) > 1
     assert list_stored_ids(spark, land, by_folder=True).count() == 40
+
+
+def _shop(spark, n_orders=40, per_order=5):
+    """Tables of own rows: orders, their lines (the last order has none, a line has no order), suppliers."""
+    from matchlake.plans.registry import Tables
+    T = Tables(spark, "/nowhere")
+    T._cache["orders"] = spark.range(1, n_orders + 1).selectExpr(
+        "id AS o_orderkey", "id % 7 AS o_custkey", "'F' AS o_orderstatus", "1.0D AS o_totalprice",
+        "timestamp_ntz'1995-01-01 00:00:00' AS o_orderdate", "concat('p', id % 3) AS o_orderpriority")
+    T._cache["lineitem"] = spark.range((n_orders - 1) * per_order + 1).selectExpr(
+        f"CASE WHEN id = {(n_orders - 1) * per_order} THEN 999999 ELSE id DIV {per_order} + 1 END AS l_orderkey", "id * 3 % 50 AS l_partkey",
+        "id % 4 AS l_suppkey", f"CAST(id % {per_order} + 1 AS INT) AS l_linenumber", "CAST(id % 30 AS DOUBLE) AS l_quantity",
+        "0.1D AS l_discount", "0.2D AS l_tax", "substring('RAN', CAST(id % 3 + 1 AS INT), 1) AS l_returnflag",
+        "substring('FO', CAST(id % 2 + 1 AS INT), 1) AS l_linestatus", "timestamp_ntz'1995-01-01 00:00:00' AS l_shipdate")
+    T._cache["supplier"] = spark.range(4).selectExpr("id AS s_suppkey", "concat('S', id) AS s_name", "CAST(id AS INT) AS s_nationkey")
+    return T
+
+
+def test_documents_in_slices_load_as_one_batch(spark, monkeypatch):
+    from matchlake.plans import documents
+    T = _shop(spark)
+    whole, sliced = scratch_path(spark, "wh"), scratch_path(spark, "wh")
+    load_documents(spark, documents.match_docs(T), whole)
+    monkeypatch.setattr(documents, "SLICE", 30)
+    frames = list(documents.match_doc_slices(T))
+    assert len(frames) > 3
+    assert load_documents(spark, frames, sliced) is not None and load_documents(spark, frames, sliced) is None
+    one, several = read_star(spark, whole), read_star(spark, sliced)
+    for name in TABLES:
+        assert rows(one[name]) == rows(several[name]), name
+    assert one["metadata"].count() == 40 and len(os.listdir(f"{sliced.removeprefix('file:')}/metadata")) >= 1
+
+
+def test_match_in_two_frames_is_loaded_once(spark):
+    land, wh = scratch_path(spark, "land"), scratch_path(spark, "wh")
+    _land(spark, f"{land}/1", _doc("m1", kills=2), _doc("m2"))
+    _land(spark, f"{land}/2", _doc("m1", kills=3), _doc("m3"), '{"kills": []}')
+    load_documents(spark, [read_documents(spark, f"{land}/{n}") for n in (1, 2)], wh)
+    counts = _counts(spark, wh)
+    assert (counts["metadata"], counts["kills"]) == (3, 4)
+
+
+def _shuffle_files(spark):
+    import glob
+    import time
+    time.sleep(1)       # Spark deletes them beside the work
+    dirs = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirsString()
+    return {f for d in dirs for f in glob.glob(f"{d}/*/shuffle_*.data")}
+
+
+def test_stored_tables_leave_no_shuffle_files(spark):
+    from matchlake.session import FREE_SHUFFLES, materialize, stored
+    before, was = _shuffle_files(spark), spark.conf.get(FREE_SHUFFLES, None)
+    df = spark.range(1000).repartition(4, "id")
+    assert len(materialize(df, "kept", df).collect()) == 2000
+    with stored(df, "passing") as held:
+        path = held.inputFiles()[0].removeprefix("file:").removeprefix("//")
+        assert len(held.collect()) == 1000 and os.path.exists(path)
+    assert not os.path.exists(path)
+    assert _shuffle_files(spark) <= before and spark.conf.get(FREE_SHUFFLES, None) == was
+
+
+def test_bucketed_load_writes_a_file_for_each_bucket(spark):
+    import glob
+    import uuid as _uuid
+    from matchlake.plans.documents import match_docs
+    wh = scratch_path(spark, "wh")
+    load_documents(spark, match_docs(_shop(spark)).repartition(6), wh, tables=("player", "metadata"), database=f"star_{_uuid.uuid4().hex[:8]}", buckets=3)
+    assert len(glob.glob(f"{wh.removeprefix('file:')}/player/*/part-*")) == 3
